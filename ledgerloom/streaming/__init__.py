@@ -1,0 +1,4 @@
+"""Intentionally empty: the product is a daily batch, so no streaming operator is owed.
+
+"Late" is a batch quality rule (`operators.rules`, code D06), not a watermark.
+"""
