@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,10 +15,17 @@ def _row(df: DataFrame, check: str, violations: Column) -> DataFrame:
     return df.agg(violations.cast("bigint").alias("violations")).select(F.lit(check).alias("check"), "violations")
 
 
+def count_violations(df: DataFrame, tests: Mapping[str, Column]) -> DataFrame:
+    """`check`, `violations` for each row test, all counted in one pass."""
+    counts = df.agg(*[count_if(test).alias(f"test_{i}") for i, test in enumerate(tests.values())])
+    pairs = [
+        F.struct(F.lit(name).alias("check"), F.col(f"test_{i}").alias("violations")) for i, name in enumerate(tests)
+    ]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """`check`, `violations` for each column, from one pass."""
-    counts = df.agg(*[count_if(F.col(c).isNull()).alias(f"{table}.{c} not null") for c in columns])
-    return counts.unpivot([], counts.columns, "check", "violations")
+    return count_violations(df, {f"{table}.{c} not null": F.col(c).isNull() for c in columns})
 
 
 def unique(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
@@ -44,10 +51,6 @@ def relationship(child: DataFrame, child_key: str, parent: DataFrame, parent_key
     return _row(orphans, check, F.coalesce(F.sum("n"), F.lit(0)))
 
 
-def violations_of(df: DataFrame, check: str, broken: Column) -> DataFrame:
-    return _row(df, check, count_if(broken))
-
-
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

@@ -77,7 +77,8 @@ def inject_defects(
     the rate, so the same seed hits the same rows whatever the partitioning."""
 
     def hit(item: Injection) -> Column:
-        slot = F.pmod(F.xxhash64(F.col(key), F.lit(item.code), F.lit(seed)), F.lit(_SLOTS))
+        digest = F.md5(F.concat_ws("|", F.col(key), F.lit(item.code), F.lit(str(seed))))
+        slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % _SLOTS
         return item.where & (slot < int(round(item.rate * _SLOTS)))
 
     marks = {f"hit_{item.code}": F.coalesce(hit(item), F.lit(False)) for item in injections}

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import month_key
 from ledgerloom.operators.rules import category_medians
 from ledgerloom.plans import marts
-from ledgerloom.session import new_folder, write_and_reload
+from ledgerloom.session import clustered, new_folder, write_and_reload
 from ledgerloom.sources.feeds import Feeds, with_auth_date
 
 
@@ -29,6 +29,11 @@ class Warehouse:
         df = build()
         return write_and_reload(df, new_folder(self.spark, name), partition_by).select(*df.columns)
 
+    def _keep_clustered(self, name: str, df: DataFrame, *keys: str) -> DataFrame:
+        path = new_folder(self.spark, name)
+        clustered(df, keys).write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @cached_property
     def staged(self) -> DataFrame:
         return with_auth_date(self.feeds.transactions)
@@ -117,8 +122,14 @@ class Warehouse:
     @cached_property
     def customer_document(self) -> DataFrame:
         """Documents of the newest customer feed, clustered by id for single-key reads."""
-        newest = self.feeds.customers[-1].rows
-        return marts.customer_document(newest)
+        newest = marts.customer_document(self.feeds.customers[-1].rows)
+        return self._keep_clustered("customer_document", newest, "customer_id")
+
+    @cached_property
+    def customer_months(self) -> DataFrame:
+        """The pre-aggregate clustered by customer: the copy a screen reads."""
+        keys = ("customer_id", "month_key", "category")
+        return self._keep_clustered("customer_months", self.agg_customer_category_month, *keys)
 
     @cached_property
     def staged_customers(self) -> DataFrame:
