@@ -56,12 +56,22 @@ def _posted_date() -> Column:
     return F.date_add(F.to_date("l_shipdate"), lag.cast("int"))
 
 
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use every core when the input is one small file of one row group.
+
+    A scan with at least as many splits as cores, which any large input has, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card transactions as staged input: lineitem with its order and part."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag",
         "l_linestatus", "l_shipdate", _row_number_key().alias("k"),
     )
+    lines = _spread(lines, "l_orderkey", "l_linenumber")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
     )
