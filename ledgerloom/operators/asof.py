@@ -59,12 +59,12 @@ def asof_join(
 ) -> DataFrame:
     """Left rows with the latest `value` observed on or before their date; null if none.
 
-    Each observation is stretched over the days it is the latest one for, up to the last day the
-    left side asks about.
+    Each observation is stretched over the days it is the latest one for, up to the last day any
+    key was observed; later left rows look that day up. Only the small side is ever measured.
     """
-    horizon = left.agg(F.max(left_date)).scalar()
+    last_day = observations.agg(F.max(date)).scalar()
     following = F.lead(date).over(Window.partitionBy(key).orderBy(date))
-    until = F.coalesce(F.date_sub(following, 1), F.greatest(F.col(date), horizon))
+    until = F.coalesce(F.date_sub(following, 1), last_day)
     stretched = (
         observations.select(key, date, value, until.alias("until"))
         .where(F.col("until") >= F.col(date))
@@ -72,5 +72,6 @@ def asof_join(
             F.col(key).alias("asof_key"), daily(F.col(date), F.col("until")).alias("asof_day"), F.col(value).alias(out)
         )
     )
-    on = (left[key] == stretched["asof_key"]) & (left[left_date] == stretched["asof_day"])
-    return left.join(stretched, on, "left").drop("asof_key", "asof_day")
+    asked = left.withColumn("asked_day", F.when(F.col(left_date) > last_day, last_day).otherwise(F.col(left_date)))
+    on = (asked[key] == stretched["asof_key"]) & (asked["asked_day"] == stretched["asof_day"])
+    return asked.join(stretched, on, "left").drop("asof_key", "asof_day", "asked_day")

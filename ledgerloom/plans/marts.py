@@ -199,44 +199,47 @@ def fact(
     )
 
 
-def category_of(rows: DataFrame, merchants: DataFrame) -> DataFrame:
-    """`category` by merchant key, `unknown` when there is none."""
+def category_of(rows: DataFrame, merchants: DataFrame, small: bool = False) -> DataFrame:
+    """`category` by merchant key, `unknown` when there is none. `small`: checked to be broadcastable."""
     lookup = merchants.select("merchant_key", "category")
-    return rows.join(lookup, "merchant_key", "left").withColumn(
-        "category", F.coalesce("category", F.lit("unknown"))
-    )
+    joined = rows.join(F.broadcast(lookup) if small else lookup, "merchant_key", "left")
+    return joined.withColumn("category", F.coalesce("category", F.lit("unknown")))
 
 
-def agg_customer_category_month(fact_rows: DataFrame, context: DataFrame, merchants: DataFrame) -> DataFrame:
+def agg_customer_category_month(
+    fact_rows: DataFrame, context: DataFrame, merchants: DataFrame, small_merchants: bool
+) -> DataFrame:
     """Customer x month x category, settled only.
 
-    Counted per merchant first: the merchant join then meets each (customer, month, merchant)
-    once, so neither a busy merchant nor the UNKNOWN one is a hot join key.
+    A small merchant dimension is broadcast and one aggregate does it all. A large one would
+    have to be shuffled against the fact, so rows are then counted per merchant first: the join
+    meets each (customer, month, merchant) once, and neither a busy merchant nor the UNKNOWN one
+    is a hot key.
     """
     amount = F.col("amount_gbp_minor")
+    keys = ("customer_id", "month_start")
     settled = fact_rows.join(
         context.where("is_settled").select("txn_context_key", "counts_towards_spend", "is_card_not_present"),
         "txn_context_key",
-    )
-    narrow = settled.groupBy(
-        "customer_id", dates.month_key(F.col("posted_date")).alias("month_key"), "merchant_key"
-    ).agg(
-        F.count(F.lit(1)).alias("txn_count"),
-        F.sum(amount).alias("spend_gbp_minor"),
-        sum_if(F.col("counts_towards_spend"), amount).alias("net_spend_gbp_minor"),
-        sum_if(F.col("is_card_not_present"), amount).alias("online_spend_gbp_minor"),
-        F.sum("dq_score").alias("score_total"),
-    )
-    return (
-        category_of(narrow, merchants)
-        .groupBy("customer_id", "month_key", "category")
-        .agg(
-            *[
-                F.sum(name).alias(name)
-                for name in ("txn_count", "spend_gbp_minor", "net_spend_gbp_minor", "online_spend_gbp_minor")
-            ],
-            (F.sum("score_total") / F.sum("txn_count")).alias("avg_dq_score"),
-        )
+    ).withColumn("month_start", F.trunc("posted_date", "month"))
+    first = {
+        "txn_count": F.count(F.lit(1)),
+        "spend_gbp_minor": F.sum(amount),
+        "net_spend_gbp_minor": sum_if(F.col("counts_towards_spend"), amount),
+        "online_spend_gbp_minor": sum_if(F.col("is_card_not_present"), amount),
+        "score_total": F.sum("dq_score"),
+    }
+    sums = [value.alias(name) for name, value in first.items()]
+    if small_merchants:
+        totals = category_of(settled, merchants, small=True).groupBy(*keys, "category").agg(*sums)
+    else:
+        narrow = settled.groupBy(*keys, "merchant_key").agg(*sums)
+        again = [F.sum(name).alias(name) for name in first]
+        totals = category_of(narrow, merchants).groupBy(*keys, "category").agg(*again)
+    return totals.select(
+        "customer_id", dates.month_key(F.col("month_start")).alias("month_key"), "category",
+        "txn_count", "spend_gbp_minor", "net_spend_gbp_minor", "online_spend_gbp_minor",
+        (F.col("score_total") / F.col("txn_count")).alias("avg_dq_score"),
     )
 
 

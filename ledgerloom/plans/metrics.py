@@ -59,7 +59,7 @@ def average_basket(w: Warehouse) -> DataFrame:
 def category_mix(w: Warehouse) -> DataFrame:
     """Share of each month's spend by category."""
     rows = spend.by_month(spend.spending(w))
-    monthly = spend.named_month(spend.by_category(rows, w.dim_merchant, [spend.MONTH]))
+    monthly = spend.named_month(spend.by_category(w, rows, [spend.MONTH]))
     whole = F.sum("spend_minor").over(Window.partitionBy("month_key"))
     return monthly.select(
         "month_key", "category", "spend_minor", ratio(F.col("spend_minor"), whole).alias("share")

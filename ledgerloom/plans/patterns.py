@@ -97,7 +97,7 @@ def customer_12m_from_fact(w: Warehouse, p: Parameters) -> DataFrame:
     )
     context = w.dim_txn_context.where("is_settled").select("txn_context_key")
     rows = spend.by_month(recent.join(context, "txn_context_key"))
-    monthly = spend.named_month(spend.by_category(rows, w.dim_merchant, [spend.MONTH]))
+    monthly = spend.named_month(spend.by_category(w, rows, [spend.MONTH]))
     return monthly.orderBy("month_key", "category")
 
 
@@ -114,7 +114,7 @@ def customer_12m_from_agg(w: Warehouse, p: Parameters) -> DataFrame:
 
 def category_month_all(w: Warehouse) -> DataFrame:
     rows = spend.by_month(spend.settled(w))
-    monthly = spend.named_month(spend.by_category(rows, w.dim_merchant, [spend.MONTH]))
+    monthly = spend.named_month(spend.by_category(w, rows, [spend.MONTH]))
     return monthly.orderBy("month_key", "category")
 
 
@@ -122,12 +122,14 @@ def top_merchants_per_segment(w: Warehouse, n: int = TOP_MERCHANTS) -> DataFrame
     """By merchant name, which several merchants may share."""
     rows = spend.spending(w).where((F.col("merchant_key") != UNKNOWN) & (F.col("customer_id") != UNKNOWN))
     segments = spend.current_customers(w).select("customer_id", "segment")
-    per_key = rows.join(segments, "customer_id").groupBy("segment", "merchant_key").agg(*spend.totals())
-    per_name = (
-        per_key.join(w.dim_merchant.select("merchant_key", "merchant_name"), "merchant_key")
-        .groupBy("segment", "merchant_name")
-        .agg(F.sum("spend_minor").alias("spend_minor"), F.sum("txn_count").alias("txn_count"))
-    )
+    owned = rows.join(segments, "customer_id")
+    names = w.dim_merchant.select("merchant_key", "merchant_name")
+    if w.broadcastable("dim_merchant"):
+        named = owned.join(F.broadcast(names), "merchant_key")
+        per_name = named.groupBy("segment", "merchant_name").agg(*spend.totals())
+    else:
+        per_key = owned.groupBy("segment", "merchant_key").agg(*spend.totals())
+        per_name = per_key.join(names, "merchant_key").groupBy("segment", "merchant_name").agg(*spend.again())
     order = [F.col("spend_minor").desc_nulls_last(), F.col("merchant_name").asc()]
     return top_per_group(per_name, "segment", order, n, "rank").orderBy("segment", "rank")
 
@@ -186,7 +188,7 @@ def aggregate_against_fact(w: Warehouse, p: Parameters) -> DataFrame:
     recent = w.fact_by_month.where((F.col("posted_month") >= month) & (F.col("customer_id") == p.customer_id))
     context = w.dim_txn_context.where("is_settled").select("txn_context_key")
     rows = spend.by_month(recent.join(context, "txn_context_key"))
-    left = spend.named_month(spend.by_category(rows, w.dim_merchant, [spend.MONTH])).drop("txn_count")
+    left = spend.named_month(spend.by_category(w, rows, [spend.MONTH])).drop("txn_count")
     right = w.agg_customer_category_month.where(
         (F.col("customer_id") == p.customer_id) & (F.col("month_key") >= month)
     ).select("month_key", "category", F.col("spend_gbp_minor").alias("aggregate_minor"))

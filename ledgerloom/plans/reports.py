@@ -48,7 +48,7 @@ def spend_by_month(w: Warehouse) -> DataFrame:
 
 
 def spend_by_category(w: Warehouse) -> DataFrame:
-    per_category = spend.by_category(spend.spending(w), w.dim_merchant).where(F.col("spend_minor") > 0)
+    per_category = spend.by_category(w, spend.spending(w)).where(F.col("spend_minor") > 0)
     return per_category.select(
         "category",
         pounds(F.col("spend_minor")).alias("spend_gbp"),

@@ -1,8 +1,9 @@
 """Shared shapes of the reports: which rows count, and how they roll up.
 
-Roll-ups count per key before they look anything up: a dimension then joins one row per key, so a
-merchant or customer with a third of all rows is summed on the map side and never becomes a hot
-join key.
+A dimension counted small when it was written is broadcast into the scan, and one aggregate follows.
+Otherwise roll-ups count per key before they look anything up: the dimension then joins one row per
+key, so a merchant or customer with a third of all rows is summed on the map side and never becomes
+a hot join key.
 """
 
 from __future__ import annotations
@@ -46,14 +47,17 @@ def totals() -> list[Column]:
     return [F.count(F.lit(1)).alias("txn_count"), F.sum("amount_gbp_minor").alias("spend_minor")]
 
 
-def by_category(rows: DataFrame, merchants: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def again() -> list[Column]:
+    """`totals` of rows that are totals already."""
+    return [F.sum("txn_count").alias("txn_count"), F.sum("spend_minor").alias("spend_minor")]
+
+
+def by_category(w: Warehouse, rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """`txn_count` and `spend_minor` per category (and `keys`)."""
+    if w.broadcastable("dim_merchant"):
+        return category_of(rows, w.dim_merchant, small=True).groupBy(*keys, "category").agg(*totals())
     per_merchant = rows.groupBy(*keys, "merchant_key").agg(*totals())
-    return (
-        category_of(per_merchant, merchants)
-        .groupBy(*keys, "category")
-        .agg(F.sum("txn_count").alias("txn_count"), F.sum("spend_minor").alias("spend_minor"))
-    )
+    return category_of(per_merchant, w.dim_merchant).groupBy(*keys, "category").agg(*again())
 
 
 def current_customers(w: Warehouse) -> DataFrame:

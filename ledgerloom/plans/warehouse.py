@@ -19,15 +19,27 @@ from ledgerloom.plans import marts
 from ledgerloom.session import clustered, new_folder, write_and_reload
 from ledgerloom.sources.feeds import Feeds, with_auth_date
 
+# Rows of two or three short columns: well under 100 MB once hashed.
+BROADCAST_ROWS = 500_000
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, feeds: Feeds) -> None:
         self.spark = spark
         self.feeds = feeds
+        self.row_counts: dict[str, int] = {}
 
     def _keep(self, name: str, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
-        df = build()
-        return write_and_reload(df, new_folder(self.spark, name), partition_by).select(*df.columns)
+        table, self.row_counts[name] = write_and_reload(build(), new_folder(self.spark, name), partition_by)
+        return table
+
+    def broadcastable(self, name: str) -> bool:
+        """Whether a written table has few enough rows to send a narrow cut of it to every task.
+
+        Callers have a plan for either answer.
+        """
+        getattr(self, name)
+        return self.row_counts[name] <= BROADCAST_ROWS
 
     def _keep_clustered(self, name: str, df: DataFrame, *keys: str) -> DataFrame:
         path = new_folder(self.spark, name)
@@ -111,7 +123,7 @@ class Warehouse:
     @cached_property
     def agg_customer_category_month(self) -> DataFrame:
         build = lambda: marts.agg_customer_category_month(
-            self.fact, self.dim_txn_context, self.dim_merchant
+            self.fact, self.dim_txn_context, self.dim_merchant, self.broadcastable("dim_merchant")
         )
         return self._keep("agg_customer_category_month", build)
 

@@ -7,7 +7,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the plans rely on. AQE splits skewed join partitions and rebalanced writes;
 # dynamic overwrite lets a re-run replace only the partitions it produces.
@@ -56,19 +57,23 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/ledgerloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def write_and_reload(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Cut lineage with a written table.
+def write_and_reload(df: DataFrame, path: str, partition_by: str | None = None) -> tuple[DataFrame, int]:
+    """Cut lineage with a written table; returns its scan and its row count.
+
+    The count is observed while writing, so it costs no second pass.
 
     The reloaded scan carries real file sizes, so Catalyst's broadcast decision downstream is
-    size-checked, and a lost executor costs a re-read instead of a recompute. `rebalance` lets
-    AQE split a hot partition value over several files and merge small ones.
+    size-checked, and a lost executor costs a re-read instead of a recompute. A partitioned
+    write is rebalanced: AQE then splits a hot partition value over several files and merges
+    small ones. A flat one keeps the partitions it has and needs no further shuffle.
     """
-    spark = df.sparkSession
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
     if partition_by:
-        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+        counted.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
     else:
-        df.hint("rebalance").write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        counted.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns), int(seen.get["n"])
 
 
 def clustered(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
