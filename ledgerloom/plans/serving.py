@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import month_key
@@ -11,19 +11,7 @@ from ledgerloom.plans import spend
 from ledgerloom.plans.marts import UNKNOWN
 from ledgerloom.plans.warehouse import Warehouse
 from ledgerloom.session import clustered
-
-
-def counted_write(df: DataFrame, path: str, partition_by: str | None = None) -> int:
-    """Write Parquet and return the row count, observed during the write instead of recounted.
-
-    `rebalance` splits a hot partition value over several files and merges small ones.
-    """
-    seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("n"))
-    out = out.hint("rebalance", partition_by) if partition_by else out.hint("rebalance")
-    writer = out.write.mode("overwrite").option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return int(seen.get["n"])
+from ledgerloom.sources.sinks import counted_write
 
 
 def export_gold(w: Warehouse, gold: str, fact_partition: str = "posted_date") -> DataFrame:
@@ -100,19 +88,6 @@ def publish(w: Warehouse, target: str) -> None:
     )
 
 
-def is_loaded(spark: SparkSession, path: str) -> bool:
-    """Reachable and holding data: an empty store answers fastest and is useless."""
-    try:
-        return not spark.read.parquet(path).isEmpty()
-    except Exception:  # noqa: BLE001 - any unreadable path counts as not loaded
-        return False
-
-
-def write_csv(df: DataFrame, path: str) -> None:
-    """A report as CSV with a header; AQE writes a small one as a single file."""
-    df.hint("rebalance").write.mode("overwrite").csv(path, header=True)
-
-
 def month_ranges(fact: DataFrame) -> DataFrame:
     """Half-open month ranges covering the fact."""
     start = F.trunc("posted_date", "month")

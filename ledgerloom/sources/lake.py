@@ -7,8 +7,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.serving import counted_write
 from ledgerloom.sources import contracts, readers
+from ledgerloom.sources.sinks import counted_write
 
 
 def gate(spark: SparkSession, raw: str, folder: Path, fmt: str, force: bool = False) -> list[contracts.Verdict]:
