@@ -111,6 +111,11 @@ def newest_month_scan(w: Warehouse) -> DataFrame:
     return patterns.latest_month_scan(w, last)
 
 
+def fresh_yesterday(w: Warehouse) -> DataFrame:
+    newest = w.deduped.agg(F.max("posted_date")).scalar()
+    return monitors.fresh_yesterday(w.deduped, F.date_add(newest, 1))
+
+
 def feed_arrival(w: Warehouse) -> DataFrame:
     def run(i: int) -> dict[str, DataFrame]:
         return {"customers": w.feeds.customers[i].rows, "accounts": w.feeds.accounts[i].rows}
@@ -191,6 +196,7 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "customer_12m_from_agg": _with_parameters(patterns.customer_12m_from_agg),
     "aggregate_against_fact": _with_parameters(patterns.aggregate_against_fact),
     "category_month_all": patterns.category_month_all,
+    "category_month_from_agg": patterns.category_month_from_agg,
     "top_merchants_per_segment": patterns.top_merchants_per_segment,
     "fx_revaluation_asof": lambda w: _rounded(
         patterns.fx_revaluation_asof(w), "booked_gbp_minor", "revalued_gbp_minor", "unrealised_gbp_minor"
@@ -224,6 +230,7 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "ledger_reconciliation": lambda w: monitors.ledger_reconciliation(w, driver_feeds.general_ledger(w.deduped)),
     "value_at_risk": monitors.value_at_risk,
     "freshness_3sigma": lambda w: monitors.freshness(w.deduped),
+    "fresh_yesterday": fresh_yesterday,
     "fx_coverage": monitors.fx_coverage,
     "carried_forward_days": monitors.carried_forward_days,
     "document_count": monitors.document_count,

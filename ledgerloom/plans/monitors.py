@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.money import count_if, sum_if
 from ledgerloom.operators import checks
-from ledgerloom.operators.reshape import count_flags
 from ledgerloom.operators.rules import FLAGS
 from ledgerloom.operators.scd2 import scd2_overlaps
 from ledgerloom.plans import reports, spend
@@ -52,6 +52,18 @@ def freshness(transactions: DataFrame) -> DataFrame:
     )
 
 
+def fresh_yesterday(transactions: DataFrame, run_date: Column) -> DataFrame:
+    """One row: did the day before `run_date` arrive, with a plausible number of rows?"""
+    due = F.date_sub(run_date, 1)
+    day = freshness(transactions).where(F.col("posted_date") == due)
+    arrived = F.count(F.lit(1)) > 0
+    return day.agg(
+        F.max(due).alias("due_date"),
+        arrived.alias("arrived"),
+        (arrived & F.coalesce(F.bool_and("within_limits"), F.lit(False))).alias("fresh"),
+    )
+
+
 def fx_coverage(w: Warehouse) -> DataFrame:
     """One row: (day, currency) pairs in use, and those with neither a rate nor a carry."""
     used = w.deduped.groupBy(F.col("posted_date").alias("rate_date"), "currency").agg(F.count(F.lit(1)).alias("n"))
@@ -98,12 +110,18 @@ def ledger_reconciliation(w: Warehouse, ledger: DataFrame) -> DataFrame:
 def value_at_risk(w: Warehouse) -> DataFrame:
     """Rows and absolute value behind each rule, from one scan."""
     size = F.abs("amount_gbp_minor")
-    counted = w.fact.agg(
-        *[F.sum(F.when(F.col(flag), size).otherwise(F.lit(0))).alias(code) for code, flag in FLAGS.items()]
-    ).unpivot([], list(FLAGS), "defect_code", "value_at_risk_minor")
-    failing = w.fact.withColumn("all", F.lit(1))
-    rows = count_flags(failing, "all", FLAGS).drop("all")
-    return rows.join(counted, "defect_code").select("defect_code", "rows_failed", "value_at_risk_minor")
+    sums = []
+    for code, flag in FLAGS.items():
+        sums += [count_if(F.col(flag)).alias(f"{code}_rows"), sum_if(F.col(flag), size).alias(f"{code}_value")]
+    pairs = [
+        F.struct(
+            F.lit(code).alias("defect_code"),
+            F.col(f"{code}_rows").alias("rows_failed"),
+            F.col(f"{code}_value").alias("value_at_risk_minor"),
+        )
+        for code in FLAGS
+    ]
+    return w.fact.agg(*sums).select(F.inline(F.array(*pairs)))
 
 
 def feed_arrival(current: dict[str, DataFrame], previous: dict[str, DataFrame]) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import month_key
-from ledgerloom.operators.asof import asof_join
 from ledgerloom.operators.reshape import top_per_group
 from ledgerloom.plans import reports, spend
 from ledgerloom.plans.marts import UNKNOWN
@@ -118,6 +117,14 @@ def category_month_all(w: Warehouse) -> DataFrame:
     return monthly.orderBy("month_key", "category")
 
 
+def category_month_from_agg(w: Warehouse) -> DataFrame:
+    """The same answer added up from the pre-aggregate."""
+    monthly = w.agg_customer_category_month.groupBy("month_key", "category").agg(
+        F.sum("txn_count").alias("txn_count"), F.sum("spend_gbp_minor").alias("spend_minor")
+    )
+    return monthly.orderBy("month_key", "category")
+
+
 def top_merchants_per_segment(w: Warehouse, n: int = TOP_MERCHANTS) -> DataFrame:
     """By merchant name, which several merchants may share."""
     rows = spend.spending(w).where((F.col("merchant_key") != UNKNOWN) & (F.col("customer_id") != UNKNOWN))
@@ -137,16 +144,17 @@ def top_merchants_per_segment(w: Warehouse, n: int = TOP_MERCHANTS) -> DataFrame
 def fx_revaluation_asof(w: Warehouse) -> DataFrame:
     """Booked at the rate as of each posting date, unrounded, against the newest rate.
 
-    Amounts are added up per (currency, day) before the as-of lookup, so the lookup works on
-    calendar days, not on transactions.
+    `fx_rate` holds every day of the fact, gaps carried, so "on or before" is an equality. The
+    amounts are added up per (currency, day) first: the lookup sees calendar days, not rows.
     """
     daily = (
         spend.settled(w)
         .where(F.col("currency_key") != "GBP")
-        .groupBy(F.col("currency_key").alias("currency"), "posted_date")
+        .groupBy(F.col("currency_key").alias("currency"), F.col("posted_date").alias("rate_date"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("amount_minor").alias("amount_minor"))
     )
-    priced = asof_join(daily, w.fx_rate, "currency", "posted_date", "rate_date", "rate_to_gbp", "rate_at_posting")
+    at_posting = w.fx_rate.select("currency", "rate_date", F.col("rate_to_gbp").alias("rate_at_posting"))
+    priced = daily.join(at_posting, ["currency", "rate_date"], "left")
     then, now, amount = F.col("rate_at_posting"), F.col("rate_to_gbp"), F.col("amount_minor")
     return (
         priced.join(reports.latest_rates(w), "currency")
@@ -221,7 +229,7 @@ PATTERNS: dict[str, Pattern] = {
         ),
         Pattern(
             "category_month_spend_all_customers", "How does the whole book split by category and month?",
-            {"lake": category_month_all, "serving": category_month_all},
+            {"lake": category_month_all, "serving": category_month_from_agg},
         ),
         Pattern(
             "top_merchants_per_segment", "Which merchants lead in each segment?",

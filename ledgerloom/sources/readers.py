@@ -63,10 +63,13 @@ def read_customers(spark: SparkSession, path: str) -> DataFrame:
 
 def _csv(spark: SparkSession, path: str, schema: T.StructType, nulls: tuple[str, ...], lenient: set[str]) -> DataFrame:
     """A CSV bound by header name, every column text first: a declared schema would bind by
-    position, an inferred one would change with the data."""
+    position, an inferred one would change with the data. A column that is not there (a forced
+    landing) is null."""
     text = spark.read.csv(path, header=True, inferSchema=False, nullValue="")
 
     def typed(field: T.StructField) -> Column:
+        if field.name not in text.columns:
+            return F.lit(None).cast(field.dataType).alias(field.name)
         raw = F.when(~F.col(field.name).isin(*nulls), F.col(field.name))
         value = raw.try_cast(field.dataType) if field.name in lenient else raw.cast(field.dataType)
         return value.alias(field.name)

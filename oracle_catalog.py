@@ -349,6 +349,16 @@ SELECT transaction_id, code AS defect_code,
 FROM survivors, (VALUES ('D01', 4000, FALSE), ('D02', 1500, TRUE), ('D03', 2000, TRUE), ('D04', 1000, FALSE),
                         ('D05', 800, TRUE), ('D06', 6000, TRUE), ('D07', 500, TRUE)) AS v(code, slots, any_type)
 """
+PARTS["day_counts"] = """
+WITH d AS (SELECT posted_date, count(*) AS n FROM survivors GROUP BY 1),
+     h AS (SELECT d.posted_date, count(*) AS days, sum(p.n)::DOUBLE AS s1, sum(p.n * p.n)::DOUBLE AS s2
+           FROM d JOIN d p ON p.posted_date >= d.posted_date - 28 AND p.posted_date < d.posted_date GROUP BY 1),
+     j AS (SELECT d.posted_date, n, coalesce(days, 0) AS days, s1 / days AS mean,
+                  sqrt((days * s2 - s1 * s1) / nullif(days * (days - 1), 0)) AS sigma
+           FROM d LEFT JOIN h USING (posted_date))
+SELECT posted_date, n AS txn_count, days AS history_days, round(mean, 6) AS trailing_mean,
+       round(sigma, 6) AS trailing_sigma, abs(n - mean) <= 3 * sigma AS within_limits FROM j
+"""
 
 QUERIES: dict[str, str] = {
     "stg_transactions": "SELECT * EXCLUDE (k) FROM staged",
@@ -481,6 +491,9 @@ QUERIES: dict[str, str] = {
     "category_month_all": """
         SELECT month_key, category, count(*) AS txn_count, CAST(sum(amount_gbp_minor) AS BIGINT) AS spend_minor
         FROM wide WHERE is_settled GROUP BY 1, 2""",
+    "category_month_from_agg": """
+        SELECT month_key, category, count(*) AS txn_count, CAST(sum(amount_gbp_minor) AS BIGINT) AS spend_minor
+        FROM wide WHERE is_settled GROUP BY 1, 2""",
     "top_merchants_per_segment": """
         SELECT segment, merchant_name, CAST(sum(amount_gbp_minor) AS BIGINT) AS spend_minor, count(*) AS txn_count,
                CAST(row_number() OVER (PARTITION BY segment ORDER BY sum(amount_gbp_minor) DESC, merchant_name) AS INTEGER) AS rank
@@ -636,15 +649,10 @@ QUERIES: dict[str, str] = {
         SELECT defect_code, count(*) FILTER (failed) AS rows_failed,
                CAST(coalesce(sum(abs(amount_gbp_minor)) FILTER (failed), 0) AS BIGINT) AS value_at_risk_minor
         FROM rule_hits GROUP BY 1""",
-    "freshness_3sigma": """
-        WITH d AS (SELECT posted_date, count(*) AS n FROM survivors GROUP BY 1),
-             h AS (SELECT d.posted_date, count(*) AS days, sum(p.n)::DOUBLE AS s1, sum(p.n * p.n)::DOUBLE AS s2
-                   FROM d JOIN d p ON p.posted_date >= d.posted_date - 28 AND p.posted_date < d.posted_date GROUP BY 1),
-             j AS (SELECT d.posted_date, n, coalesce(days, 0) AS days, s1 / days AS mean,
-                          sqrt((days * s2 - s1 * s1) / nullif(days * (days - 1), 0)) AS sigma
-                   FROM d LEFT JOIN h USING (posted_date))
-        SELECT posted_date, n AS txn_count, days AS history_days, round(mean, 6) AS trailing_mean,
-               round(sigma, 6) AS trailing_sigma, abs(n - mean) <= 3 * sigma AS within_limits FROM j""",
+    "freshness_3sigma": "SELECT * FROM day_counts",
+    "fresh_yesterday": """
+        SELECT posted_date AS due_date, TRUE AS arrived, coalesce(within_limits, FALSE) AS fresh
+        FROM day_counts WHERE posted_date = (SELECT max(posted_date) FROM survivors)""",
     "fx_coverage": """
         SELECT count(*) AS pairs_in_use, count(*) FILTER (rate_to_gbp IS NULL) AS pairs_without_rate
         FROM (SELECT DISTINCT posted_date AS rate_date, currency FROM survivors) LEFT JOIN dense_rates USING (rate_date, currency)""",
