@@ -207,6 +207,7 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "busiest_customer": patterns.busiest_customer,
     "full_scan": patterns.full_scan,
     "partition_month_scan": newest_month_scan,
+    "partition_months_opened": patterns.months_opened,
     "serving_customers": lambda w: serving.tables(w)["dim_customer_current"],
     "serving_accounts": lambda w: serving.tables(w)["dim_account_current"],
     # detection quality

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOME_ZONE = "Europe/London"
 OPEN_END = "9999-12-31 00:00:00"
@@ -14,16 +15,28 @@ def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def as_utc(ts: Column, zoned: bool) -> Column:
-    """UTC wall-clock time, free of the session time zone."""
-    if not zoned:
+def session_is_utc(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z")
+
+
+def as_utc(df: DataFrame, name: str) -> Column:
+    """UTC wall-clock time of a timestamp column, free of the session time zone."""
+    ts = F.col(name)
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
         return ts
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    plain = ts.cast("timestamp_ntz")
+    return plain if session_is_utc(df) else F.convert_timezone(F.current_timezone(), F.lit("UTC"), plain)
+
 
+def home_date(df: DataFrame, name: str) -> Column:
+    """The London date of a UTC wall-clock column.
 
-def home_date(utc_ts: Column) -> Column:
-    """The London date of a UTC wall-clock timestamp."""
-    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(HOME_ZONE), utc_ts))
+    In a UTC session the zone rules are looked up once per task; `convert_timezone` looks them up
+    per row, about ten times the cost, and serves every other session.
+    """
+    if session_is_utc(df):
+        return F.to_date(F.from_utc_timestamp(F.col(name).cast("timestamp"), HOME_ZONE))
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(HOME_ZONE), F.col(name)))
 
 
 def date_key(day: Column) -> Column:

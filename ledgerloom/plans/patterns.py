@@ -260,3 +260,15 @@ def plan_text(df: DataFrame) -> str:
 def files_touched(rows: DataFrame) -> DataFrame:
     """How many files a filtered scan opens: call on the scan, before any aggregate."""
     return rows.select(F.col("_metadata.file_path").alias("path")).agg(F.count_distinct("path").alias("files"))
+
+
+def months_opened(w: Warehouse) -> DataFrame:
+    """Month directories a full scan and a newest-month scan open: the evidence of pruning."""
+    newest = w.fact.agg({"posted_date": "max"}).first()[0].strftime("%Y-%m")
+    scans = {"full": w.fact_by_month, "newest month": w.fact_by_month.where(F.col("posted_month") >= newest)}
+    month = F.regexp_extract("_metadata.file_path", r"posted_month=([0-9-]+)", 1)
+    counts = [
+        rows.select(month.alias("m")).agg(F.count_distinct("m").alias("months")).select(F.lit(scan).alias("scan"), "months")
+        for scan, rows in scans.items()
+    ]
+    return counts[0].unionByName(counts[1])

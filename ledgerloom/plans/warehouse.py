@@ -8,6 +8,7 @@ never forces the chain behind it to be recomputed.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,12 @@ class Warehouse:
         table, self.row_counts[name] = write_and_reload(build(), new_folder(self.spark, name), partition_by)
         return table
 
+    def _together(self, *names: str) -> None:
+        """Build independent tables at the same time, so that small jobs fill the gaps of large ones."""
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            for built in [pool.submit(getattr, self, name) for name in names]:
+                built.result()
+
     def broadcastable(self, name: str) -> bool:
         """Whether a written table has few enough rows to send a narrow cut of it to every task.
 
@@ -111,6 +118,8 @@ class Warehouse:
     @cached_property
     def fact_by_month(self) -> DataFrame:
         """The fact in month directories: `posted_month` + the fact's own columns."""
+        self._together("deduped", "dim_customer", "dim_account", "dim_merchant")
+        self._together("fx_rate", "medians", "dim_txn_context", "account_timeline")
         rows = lambda: marts.fact(
             self.scored, self.fx_rate, self.account_timeline, self.dim_txn_context
         ).withColumn("posted_month", month_key(F.col("posted_date")))

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloom.functions.dates import as_utc, home_date
 from ledgerloom.schemas import LAKE_FLAT, LAKE_TRANSACTIONS_READ
@@ -30,18 +29,14 @@ class Feeds:
     fx_rates: DataFrame
 
 
-def _utc(df: DataFrame, name: str) -> Column:
-    return as_utc(F.col(name), isinstance(df.schema[name].dataType, T.TimestampType))
-
-
 def with_auth_date(transactions: DataFrame) -> DataFrame:
     """UTC timestamps without zone, and the London date of the authorisation."""
-    utc = transactions.withColumn("txn_timestamp", _utc(transactions, "txn_timestamp"))
-    return utc.withColumn("auth_date", home_date(F.col("txn_timestamp")))
+    utc = transactions.withColumn("txn_timestamp", as_utc(transactions, "txn_timestamp"))
+    return utc.withColumn("auth_date", home_date(utc, "txn_timestamp"))
 
 
 def stage_customers(lake: DataFrame) -> DataFrame:
-    created, verified = _utc(lake, "created_at"), _utc(lake, "kyc_verified_at")
+    created, verified = as_utc(lake, "created_at"), as_utc(lake, "kyc_verified_at")
     return lake.select(
         "customer_id", created.alias("onboarded_at"), F.to_date(created).alias("onboarded_on"), "segment",
         "marketing_consent", "first_name", "last_name", "date_of_birth", "email", "phone", "address_line1", "city",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,20 +128,23 @@ def writer_fields(spark: SparkSession, path: str, fmt: str) -> frozenset[str]:
 def feed_versions(spark: SparkSession, base: str, fmt: str, switched_on: str | None = None) -> dict[int, list[str]]:
     """Feed version -> partition directories it wrote.
 
-    One header per directory is read on the driver (metadata only). Where the date of the switch
+    One header per directory is read, sixteen at a time (metadata only). Where the date of the switch
     is known, `switched_on` spares even that.
     """
     days = [str(row["day"]) for row in partition_dates(spark, base).toLocalIterator()]
-    found: dict[int, list[str]] = {}
-    for day in days:
-        folder = f"{base}/posted_date={day}"
+
+    def version(day: str) -> int:
         if switched_on is not None:
-            version = 1 if day < switched_on else 2
-        else:
-            fields = writer_fields(spark, folder, fmt) | {"posted_date"}
-            version = 1 if fields == RAW_TRANSACTIONS_V1_FIELDS else 2
-        found.setdefault(version, []).append(folder)
-    return found
+            return 1 if day < switched_on else 2
+        fields = writer_fields(spark, f"{base}/posted_date={day}", fmt) | {"posted_date"}
+        return 1 if fields == RAW_TRANSACTIONS_V1_FIELDS else 2
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        versions = list(pool.map(version, days))
+    return {
+        number: [f"{base}/posted_date={day}" for day, v in zip(days, versions) if v == number]
+        for number in sorted(set(versions))
+    }
 
 
 def read_transactions(
@@ -151,7 +156,7 @@ def read_transactions(
     `posted_date` is the directory's.
     """
     parts = []
-    for version, folders in sorted(feed_versions(spark, base, fmt, switched_on).items()):
+    for version, folders in feed_versions(spark, base, fmt, switched_on).items():
         known = [f for f in RAW_TRANSACTIONS.fields if version == 2 or f.name not in FIELDS_ADDED_IN_V2]
         reader = spark.read.format(fmt).option("basePath", base)
         if fmt == "avro" and avro_schema:

@@ -517,6 +517,9 @@ QUERIES: dict[str, str] = {
     "partition_month_scan": """
         SELECT count(*) AS txn_count, CAST(sum(amount_minor) AS BIGINT) AS amount_minor FROM f
         WHERE strftime(posted_date, '%Y-%m') = (SELECT strftime(max(posted_date), '%Y-%m') FROM f)""",
+    "partition_months_opened": """
+        SELECT 'full' AS scan, count(DISTINCT strftime(posted_date, '%Y-%m')) AS months FROM f
+        UNION ALL SELECT 'newest month', 1""",
     "detection_recall_precision": """
         WITH t AS (SELECT defect_code, count(*) AS injected, count(*) FILTER (found) AS true_positives FROM hits GROUP BY 1),
              g AS (SELECT defect_code, count(*) FILTER (failed) AS flagged FROM rule_hits GROUP BY 1)
