@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 _BITS_KEPT = 11
@@ -34,6 +34,50 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     )
 
 
+def _ranks(total: Column, fraction: float, method: str) -> dict[str, Column]:
+    """The two ranks to interpolate between, and how far along."""
+    position = (total - 1) * F.lit(float(fraction))
+    if method == "nearest":
+        low = high = F.rint(position)
+        weight = F.lit(0.0)
+    else:
+        low, high = F.floor(position), F.ceil(position)
+        weight = position - low
+    return {"low_rank": low.cast("bigint"), "high_rank": high.cast("bigint"), "weight": weight}
+
+
+def picked() -> Column:
+    """Aggregate of ranked values (`value`, `first`, `last` and the ranks): the percentile."""
+
+    def at(rank: str) -> Column:
+        return F.max(F.when(F.col(rank).between(F.col("first"), F.col("last")), F.col("value")))
+
+    return (at("low_rank") + (at("high_rank") - at("low_rank")) * F.max("weight")).cast("double")
+
+
+def _over(keys: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*[F.col(k) for k in keys]) if keys else Window.partitionBy(F.lit(0))
+
+
+def _upto(group: WindowSpec, order: Column) -> WindowSpec:
+    return group.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def rank_counts(counts: DataFrame, keys: Sequence[str], fraction: float, method: str = "linear") -> DataFrame:
+    """A histogram (`keys`, `value`, `n`) made ready for `picked`.
+
+    For groups with a bounded number of distinct values: one window per group. Null values are
+    ranked last and never counted.
+    """
+    known = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    last = F.sum(known).over(_upto(_over(keys), F.col("value").asc_nulls_last())) - 1
+    return (
+        counts.withColumns({"total": F.sum(known).over(_over(keys)), "last": last})
+        .withColumn("first", F.col("last") - known + 1)
+        .withColumns(_ranks(F.col("total"), fraction, method))
+    )
+
+
 def grouped_percentile(
     df: DataFrame,
     keys: Sequence[str],
@@ -42,56 +86,33 @@ def grouped_percentile(
     out: str,
     method: str = "linear",
     few_groups: bool = False,
-    counted: bool = False,
 ) -> DataFrame:
     """`keys` + `out`: the exact `fraction` percentile of an integer column.
 
     method      "linear" interpolates between neighbours; "nearest" rounds the rank half to even.
     few_groups  the caller knows a bound on the number of groups, so the bins looked for
                 (two per group) may be broadcast.
-    counted     `df` is already a histogram: keys, `value`, `n`.
     """
-    counts = df if counted else value_counts(df, keys, value)
-    counts = counts.withColumn("bin", _bin_floor(F.col("value")))
+    counts = value_counts(df, keys, value).withColumn("bin", _bin_floor(F.col("value")))
     bins = counts.groupBy(*keys, "bin").agg(F.sum("n").alias("bin_n"))
-
-    group = Window.partitionBy(*[F.col(k) for k in keys]) if keys else Window.partitionBy(F.lit(0))
-    upto = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    position = (F.col("total") - 1) * F.lit(float(fraction))
-    if method == "nearest":
-        low = high = F.rint(position)
-    else:
-        low, high = F.floor(position), F.ceil(position)
+    before = F.sum("bin_n").over(_upto(_over(keys), F.col("bin"))) - F.col("bin_n")
+    here = [F.col(r).between(F.col("before"), F.col("before") + F.col("bin_n") - 1) for r in ("low_rank", "high_rank")]
     wanted = (
-        bins.withColumn("total", F.sum("bin_n").over(group))
-        .withColumn("before", F.sum("bin_n").over(upto) - F.col("bin_n"))
-        .withColumn("low_rank", low.cast("bigint"))
-        .withColumn("high_rank", high.cast("bigint"))
-        .withColumn("weight", position - F.col("low_rank") if method == "linear" else F.lit(0.0))
-        .where(
-            F.col("low_rank").between(F.col("before"), F.col("before") + F.col("bin_n") - 1)
-            | F.col("high_rank").between(F.col("before"), F.col("before") + F.col("bin_n") - 1)
-        )
+        bins.withColumns({"total": F.sum("bin_n").over(_over(keys)), "before": before})
+        .withColumns(_ranks(F.col("total"), fraction, method))
+        .where(here[0] | here[1])
         .drop("bin_n", "total")
     )
     if few_groups:
         wanted = F.broadcast(wanted)
 
-    inside = Window.partitionBy(*[F.col(k) for k in keys], F.col("bin")).orderBy("value")
-    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.col("before") + F.sum("n").over(inside) - 1
+    inside = _upto(_over([*keys, "bin"]), F.col("value"))
     ranked = (
         _null_safe_join(counts, wanted, [*keys, "bin"])
-        .withColumn("last", last)
+        .withColumn("last", F.col("before") + F.sum("n").over(inside) - 1)
         .withColumn("first", F.col("last") - F.col("n") + 1)
     )
-    at_low = F.max(F.when(F.col("low_rank").between(F.col("first"), F.col("last")), F.col("value")))
-    at_high = F.max(F.when(F.col("high_rank").between(F.col("first"), F.col("last")), F.col("value")))
-    picked = ranked.groupBy(*keys).agg(
-        at_low.alias("at_low"), at_high.alias("at_high"), F.max("weight").alias("weight")
-    )
-    result = F.col("at_low") + (F.col("at_high") - F.col("at_low")) * F.col("weight")
-    return picked.select(*keys, result.cast("double").alias(out))
+    return ranked.groupBy(*keys).agg(picked().alias(out))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import pounds, ratio, sum_if
 from ledgerloom.functions.text import reader_label
-from ledgerloom.operators.percentile import grouped_percentile
+from ledgerloom.operators.percentile import picked, rank_counts
 from ledgerloom.operators.reshape import latest_per_key, top_n_other
 from ledgerloom.operators.rules import LATE_AFTER_DAYS
 from ledgerloom.plans import spend
@@ -163,7 +163,7 @@ def fx_exposure(w: Warehouse) -> DataFrame:
 def posting_lag(w: Warehouse) -> DataFrame:
     """Every status. All four figures come from one histogram of (month, lag).
 
-    One group per calendar month, so the percentile's bins are few.
+    A lag is a number of calendar days, so a month has few distinct ones.
     """
     lags = (
         spend.by_month(w.fact)
@@ -172,16 +172,17 @@ def posting_lag(w: Warehouse) -> DataFrame:
     )
     known = F.when(F.col("value").isNotNull(), F.col("n"))
     late = F.when(F.col("value") > LATE_AFTER_DAYS, F.col("n")).otherwise(F.lit(0))
-    monthly = lags.groupBy(spend.MONTH).agg(
-        ratio(F.sum(F.col("value") * F.col("n")), F.sum(known)).alias("avg_lag_days"),
-        F.sum(late).alias("breaches"),
-        F.sum("n").alias("txn_count"),
-    )
-    p95 = grouped_percentile(
-        lags.where("value is not null"), [spend.MONTH], "value", 0.95, "p95_lag_days", few_groups=True, counted=True
+    monthly = (
+        rank_counts(lags, [spend.MONTH], 0.95)
+        .groupBy(spend.MONTH)
+        .agg(
+            ratio(F.sum(F.col("value") * F.col("n")), F.sum(known)).alias("avg_lag_days"),
+            picked().alias("p95_lag_days"),
+            F.sum(late).alias("breaches"),
+            F.sum("n").alias("txn_count"),
+        )
     )
-    out = spend.named_month(monthly.join(p95, spend.MONTH, "left"))
-    return out.select("month_key", "avg_lag_days", "p95_lag_days", "breaches", "txn_count").orderBy("month_key")
+    return spend.named_month(monthly).orderBy("month_key")
 
 
 def posting_lag_with_rate(w: Warehouse) -> DataFrame:

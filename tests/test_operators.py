@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import asof, reshape, scd2
 from ledgerloom.operators.dedupe import dedupe_latest
-from ledgerloom.operators.percentile import grouped_percentile
+from ledgerloom.operators.percentile import grouped_percentile, picked, rank_counts, value_counts
 
 D = dt.date.fromisoformat
 ORDER = [("at", "desc"), ("version", "desc"), ("amount", "asc")]
@@ -98,6 +98,14 @@ def test_percentile_matches_brute_force(spark, method, expected):
         assert out.keys() == groups.keys()
         for g, values in groups.items():
             assert out[g] == pytest.approx(expected(values, q), rel=1e-12), (g, q)
+        ranked = rank_counts(value_counts(df, ["g"], "v"), ["g"], q, method)
+        assert dict(rows(ranked.groupBy("g").agg(picked()))) == out
+
+
+def test_null_values_are_ranked_nowhere(spark):
+    counts = spark.createDataFrame([("g", 1, 1), ("g", None, 50), ("g", 3, 1), ("none", None, 2)], "g string, value bigint, n bigint")
+    out = dict(rows(rank_counts(counts, ["g"], 0.5).groupBy("g").agg(picked())))
+    assert out == {"g": 2.0, "none": None}
 
 
 def test_percentile_of_nothing_and_of_everything(spark):
