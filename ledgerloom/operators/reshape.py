@@ -67,7 +67,11 @@ def count_flags(df: DataFrame, by: str, flags: Mapping[str, str], code: str = "d
 
 
 def presence_flag(left: DataFrame, key: str, known: DataFrame, known_key: str, flag: str) -> DataFrame:
-    """All left rows, `flag` true when the key has no match in `known`."""
-    keys = known.select(F.col(known_key).alias("known_key")).distinct()
+    """All left rows, `flag` true when the key is not in `known`, whose keys must be distinct.
+
+    Deduplicating `known` inside this plan would put an aggregate under the join, and AQE splits
+    a hot key only where both sides come straight from a shuffle.
+    """
+    keys = known.select(F.col(known_key).alias("known_key"))
     joined = left.join(keys, left[key] == keys["known_key"], "left")
     return joined.withColumn(flag, F.col("known_key").isNull()).drop("known_key")

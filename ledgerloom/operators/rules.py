@@ -79,7 +79,7 @@ def score() -> Column:
 
 
 def apply_rules(transactions: DataFrame, cards: DataFrame, medians: DataFrame) -> DataFrame:
-    """Flags, `posting_lag_days` and `dq_score`. Bad rows stay, flagged.
+    """Flags, `posting_lag_days` and `dq_score`. Bad rows stay, flagged. `cards` has distinct ids.
 
     The medians are at most 9,000 rows (integers 1000..9999), hence the broadcast.
     """

@@ -207,7 +207,7 @@ def category_of(rows: DataFrame, merchants: DataFrame, small: bool = False) -> D
 
 
 def agg_customer_category_month(
-    fact_rows: DataFrame, context: DataFrame, merchants: DataFrame, small_merchants: bool
+    fact_rows: DataFrame, settled_context: DataFrame, merchants: DataFrame, small_merchants: bool
 ) -> DataFrame:
     """Customer x month x category, settled only.
 
@@ -218,10 +218,8 @@ def agg_customer_category_month(
     """
     amount = F.col("amount_gbp_minor")
     keys = ("customer_id", "month_start")
-    settled = fact_rows.join(
-        context.where("is_settled").select("txn_context_key", "counts_towards_spend", "is_card_not_present"),
-        "txn_context_key",
-    ).withColumn("month_start", F.trunc("posted_date", "month"))
+    settled = fact_rows.join(settled_context, "txn_context_key")
+    settled = settled.withColumn("month_start", F.trunc("posted_date", "month"))
     first = {
         "txn_count": F.count(F.lit(1)),
         "spend_gbp_minor": F.sum(amount),

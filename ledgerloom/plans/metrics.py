@@ -41,7 +41,7 @@ def spend_net_gross(w: Warehouse) -> DataFrame:
 
 def approval_rate(w: Warehouse) -> DataFrame:
     """Per month, 1 - declined / all attempts."""
-    rows = spend.by_month(w.fact.join(w.dim_txn_context.select("txn_context_key", "status"), "txn_context_key"))
+    rows = spend.by_month(w.fact.join(w.context(F.lit(True), "status"), "txn_context_key"))
     monthly = rows.groupBy(spend.MONTH).agg(
         F.count(F.lit(1)).alias("attempts"), count_if(_is("declined", "status")).alias("declined")
     )

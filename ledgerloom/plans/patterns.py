@@ -94,8 +94,7 @@ def customer_12m_from_fact(w: Warehouse, p: Parameters) -> DataFrame:
         & (F.col("posted_date") >= F.lit(p.from_date))
         & (F.col("customer_id") == p.customer_id)
     )
-    context = w.dim_txn_context.where("is_settled").select("txn_context_key")
-    rows = spend.by_month(recent.join(context, "txn_context_key"))
+    rows = spend.by_month(recent.join(w.context(F.col("is_settled")), "txn_context_key"))
     monthly = spend.named_month(spend.by_category(w, rows, [spend.MONTH]))
     return monthly.orderBy("month_key", "category")
 
@@ -194,8 +193,7 @@ def aggregate_against_fact(w: Warehouse, p: Parameters) -> DataFrame:
     """
     month = p.from_month
     recent = w.fact_by_month.where((F.col("posted_month") >= month) & (F.col("customer_id") == p.customer_id))
-    context = w.dim_txn_context.where("is_settled").select("txn_context_key")
-    rows = spend.by_month(recent.join(context, "txn_context_key"))
+    rows = spend.by_month(recent.join(w.context(F.col("is_settled")), "txn_context_key"))
     left = spend.named_month(spend.by_category(w, rows, [spend.MONTH])).drop("txn_count")
     right = w.agg_customer_category_month.where(
         (F.col("customer_id") == p.customer_id) & (F.col("month_key") >= month)

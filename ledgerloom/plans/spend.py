@@ -22,15 +22,13 @@ MONTH = "month_start"
 
 def settled(w: Warehouse, *context: str) -> DataFrame:
     """Settled fact rows with the named context columns."""
-    chosen = w.dim_txn_context.where("is_settled").select("txn_context_key", *context)
-    return w.fact.join(chosen, "txn_context_key")
+    return w.fact.join(w.context(F.col("is_settled"), *context), "txn_context_key")
 
 
 def spending(w: Warehouse, *context: str) -> DataFrame:
     """Settled rows that count towards spend: the population of the spend reports."""
     rule = F.col("is_settled") & F.col("counts_towards_spend")
-    chosen = w.dim_txn_context.where(rule).select("txn_context_key", *context)
-    return w.fact.join(chosen, "txn_context_key")
+    return w.fact.join(w.context(rule, *context), "txn_context_key")
 
 
 def by_month(rows: DataFrame) -> DataFrame:

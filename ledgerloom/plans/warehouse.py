@@ -11,7 +11,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import month_key
@@ -48,6 +48,11 @@ class Warehouse:
         getattr(self, name)
         return self.row_counts[name] <= BROADCAST_ROWS
 
+    def context(self, rule: Column, *columns: str) -> DataFrame:
+        """Key and `columns` of the context rows that satisfy `rule`: a broadcast side if counted small."""
+        chosen = self.dim_txn_context.where(rule).select("txn_context_key", *columns)
+        return F.broadcast(chosen) if self.broadcastable("dim_txn_context") else chosen
+
     def _keep_clustered(self, name: str, df: DataFrame, *keys: str) -> DataFrame:
         path = new_folder(self.spark, name)
         clustered(df, keys).write.parquet(path)
@@ -69,9 +74,14 @@ class Warehouse:
     def medians(self) -> DataFrame:
         return self._keep("medians", lambda: category_medians(self.deduped))
 
+    @cached_property
+    def card_ids(self) -> DataFrame:
+        """The distinct ids of the cards extract."""
+        return self._keep("card_ids", lambda: self.feeds.cards.select("card_id").distinct())
+
     @cached_property
     def scored(self) -> DataFrame:
-        return marts.scored(self.deduped, self.feeds.cards, self.medians)
+        return marts.scored(self.deduped, self.card_ids, self.medians)
 
     @cached_property
     def customer_history(self) -> DataFrame:
@@ -118,7 +128,7 @@ class Warehouse:
     @cached_property
     def fact_by_month(self) -> DataFrame:
         """The fact in month directories: `posted_month` + the fact's own columns."""
-        self._together("deduped", "dim_customer", "dim_account", "dim_merchant")
+        self._together("deduped", "dim_customer", "dim_account", "dim_merchant", "card_ids")
         self._together("fx_rate", "medians", "dim_txn_context", "account_timeline")
         rows = lambda: marts.fact(
             self.scored, self.fx_rate, self.account_timeline, self.dim_txn_context
@@ -132,7 +142,10 @@ class Warehouse:
     @cached_property
     def agg_customer_category_month(self) -> DataFrame:
         build = lambda: marts.agg_customer_category_month(
-            self.fact, self.dim_txn_context, self.dim_merchant, self.broadcastable("dim_merchant")
+            self.fact,
+            self.context(F.col("is_settled"), "counts_towards_spend", "is_card_not_present"),
+            self.dim_merchant,
+            self.broadcastable("dim_merchant"),
         )
         return self._keep("agg_customer_category_month", build)
 

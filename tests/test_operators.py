@@ -290,6 +290,6 @@ def test_count_flags_counts_null_as_checked_only(spark):
 
 def test_presence_keeps_all_rows(spark):
     left = spark.createDataFrame([("a",), ("b",), (None,), ("a",)], "k string")
-    known = spark.createDataFrame([("a",), ("a",)], "kk string")
+    known = spark.createDataFrame([("a",), ("c",)], "kk string")
     out = reshape.presence_flag(left, "k", known, "kk", "missing")
     assert sorted((r["k"] or "", r["missing"]) for r in out.collect()) == [("", True), ("a", False), ("a", False), ("b", True)]

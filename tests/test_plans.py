@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from ledgerloom.operators import asof, scd2
+from ledgerloom.operators import asof, reshape, scd2
 from ledgerloom.plans import marts, metrics, patterns, reports, serving, spend
 from ledgerloom.plans.warehouse import Warehouse
 from ledgerloom.session import build_session, new_folder, shared_folder
@@ -63,10 +63,11 @@ def test_large_merchant_dimension_gives_the_same_answers(spark, w, monkeypatch):
         ]
 
     small = answers()
-    agg = marts.agg_customer_category_month(w.fact, w.dim_txn_context, w.dim_merchant, True)
+    context = w.context(F.col("is_settled"), "counts_towards_spend", "is_card_not_present")
+    agg = marts.agg_customer_category_month(w.fact, context, w.dim_merchant, True)
     monkeypatch.setattr(Warehouse, "broadcastable", lambda self, name: False)
     assert answers() == small
-    big = marts.agg_customer_category_month(w.fact, w.dim_txn_context, w.dim_merchant, False)
+    big = marts.agg_customer_category_month(w.fact, context, w.dim_merchant, False)
     assert big.exceptAll(agg).count() == 0 and agg.exceptAll(big).count() == 0
 
 
@@ -84,8 +85,8 @@ def test_fact_without_broadcasts_is_the_same(spark, w):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_hot_account_is_split_by_the_skew_join(spark):
-    """A third of all rows on one account: AQE splits its partition, the result stays whole."""
+def test_hot_keys_are_split_by_the_skew_join(spark, tmp_path):
+    """A third of all rows on one account or card: AQE splits its partition, the result stays whole."""
     overrides = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
@@ -106,8 +107,14 @@ def test_hot_account_is_split_by_the_skew_join(spark):
         )
         joined = scd2.scd2_join(left, dim, "acc", "account_id", "at")
         assert joined.where("key is not null").select("id").distinct().count() == n
-        out = joined.select(F.spark_partition_id().alias("p"), "acc").where("acc = '0'")
-        assert out.groupBy("p").count().count() > 1
+        dim.select("account_id").write.parquet(str(tmp_path / "known"))
+        known = spark.read.parquet(str(tmp_path / "known"))
+        present = reshape.presence_flag(left, "acc", known, "account_id", "missing")
+        assert present.where("not missing").count() == n
+        for result in (joined, present):
+            tasks = result.select(F.spark_partition_id().alias("p"), "acc").where("acc = '0'")
+            seen = tasks.rdd.map(lambda r: r["p"]).distinct().count()
+            assert seen > 1
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
