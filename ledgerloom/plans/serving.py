@@ -83,9 +83,7 @@ def publish(w: Warehouse, target: str) -> None:
         out = clustered(df, keys) if keys else df.hint("rebalance")
         out.write.mode("overwrite").parquet(f"{target}/{name}")
     by_month = tables(w)["fct_card_transaction"].withColumn("posted_month", month_key(F.col("posted_date")))
-    by_month.hint("rebalance", "posted_month").write.mode("overwrite").partitionBy("posted_month").parquet(
-        f"{target}/fct_card_transaction_by_month"
-    )
+    counted_write(by_month, f"{target}/fct_card_transaction_by_month", "posted_month")
 
 
 def month_ranges(fact: DataFrame) -> DataFrame:

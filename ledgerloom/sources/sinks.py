@@ -11,12 +11,13 @@ from ledgerloom.schemas import DEFECT_LEDGER
 def counted_write(df: DataFrame, path: str, partition_by: str | None = None) -> int:
     """Write Parquet and return the row count, observed during the write instead of recounted.
 
-    `rebalance` splits a hot partition value over several files and merges small ones.
+    `rebalance` splits a hot partition value over several files and merges small ones. Only the
+    partitions that `df` holds are replaced.
     """
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("n"))
     out = out.hint("rebalance", partition_by) if partition_by else out.hint("rebalance")
-    writer = out.write.mode("overwrite").option("compression", "zstd")
+    writer = out.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return int(seen.get["n"])
 

@@ -228,3 +228,31 @@ def test_ledger_write_counts(spark, tmp_path):
     ledger = spark.createDataFrame([("D01", "t1"), ("D03", "t2")], "defect_code string, transaction_id string")
     assert sinks.write_ledger(ledger, str(tmp_path / "defects")) == 2
     assert spark.read.parquet(str(tmp_path / "defects")).columns == ["transaction_id", "defect_code"]
+
+
+def test_a_hot_day_is_written_as_several_files(spark, tmp_path):
+    overrides = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {k: spark.conf.get(k) for k in overrides}
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("2026-01-01")).otherwise(F.date_add(F.lit("2026-02-01").cast("date"), (F.col("id") % 5).cast("int")))
+        .cast("date").alias("posted_date"), F.md5(F.col("id").cast("string")).alias("v"),
+    )
+    try:
+        for key, value in overrides.items():
+            spark.conf.set(key, value)
+        assert sinks.counted_write(df, str(tmp_path / "t"), "posted_date") == 200_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(list((tmp_path / "t/posted_date=2026-01-01").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
+
+
+def test_landing_again_replaces_only_the_delivered_days(spark, tmp_path):
+    days = spark.createDataFrame([(dt.date(2026, 1, 1), 1), (dt.date(2026, 1, 2), 2)], "posted_date date, v int")
+    sinks.counted_write(days, str(tmp_path / "t"), "posted_date")
+    sinks.counted_write(days.where("v = 2").withColumn("v", F.lit(20)), str(tmp_path / "t"), "posted_date")
+    assert sorted(r["v"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 20]
