@@ -50,7 +50,9 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Order, flag: str =
         *[part.alias(f"rank_{i}") for i, part in enumerate(ranks)],
         F.struct(*rest).alias("row"),
     )
-    best = df.groupBy(F.xxhash64(*keys).alias("key_hash"), *keys).agg(F.min(entry).alias("best"), F.count(F.lit(1)).alias("copies"))
+    best = df.groupBy(F.xxhash64(*keys).alias("key_hash"), *keys).agg(
+        F.min(entry).alias("best"), F.count(F.lit(1)).alias("copies")
+    )
     return best.select(
         *keys,
         *[F.col("best.row")[name].alias(name) for name in rest],

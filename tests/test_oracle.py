@@ -37,3 +37,24 @@ def test_runs_are_identical(spark, w):
 
     for build in (reports.fx_exposure, reports.headline, patterns.top_merchants_per_segment):
         assert build(w).collect() == build(w).collect()
+
+
+def test_known_counts_of_the_feed_mapping(w):
+    """Counts taken independently when the mapping was written down."""
+    from pyspark.sql import functions as F
+
+    from ledgerloom.operators.rules import FLAGS
+
+    assert (w.staged.count(), w.deduped.count()) == (6000, 4599)
+    failed = w.agg_dq_scorecard.groupBy("defect_code").agg(F.sum("rows_failed").alias("n"))
+    assert {r["defect_code"]: r["n"] for r in failed.collect()} == dict(
+        zip(FLAGS, (6, 1161, 9, 5, 5, 27, 6), strict=True)
+    )
+    assert w.dim_txn_context.count() == 78
+    assert w.deduped.where("status = 'settled'").count() == 3160
+    assert [s.rows.count() for s in w.feeds.customers] == [148, 148]
+    history = w.customer_history
+    assert history.where("valid_to is not null").count() == 13 + 2
+    assert history.where("valid_from > '1996-01-01'").count() == 13 + 2
+    assert w.dim_account.where("is_current and dq_open_with_closed_date").count() == 3
+    assert w.account_history.where("valid_to is not null").count() == 12
