@@ -88,7 +88,8 @@ def customer_profile(w: Warehouse, p: Parameters) -> DataFrame:
 
 
 def customer_12m_from_fact(w: Warehouse, p: Parameters) -> DataFrame:
-    """Month directories before the window are never opened; the date filter trims the first one."""
+    """Partitions before the window are never opened: by month where the fact is kept in month
+    directories, by date where it is kept in daily ones."""
     recent = w.fact_by_month.where(
         (F.col("posted_month") >= p.from_month)
         & (F.col("posted_date") >= F.lit(p.from_date))
@@ -192,7 +193,11 @@ def aggregate_against_fact(w: Warehouse, p: Parameters) -> DataFrame:
     for every whole month.
     """
     month = p.from_month
-    recent = w.fact_by_month.where((F.col("posted_month") >= month) & (F.col("customer_id") == p.customer_id))
+    recent = w.fact_by_month.where(
+        (F.col("posted_month") >= month)
+        & (F.col("posted_date") >= F.lit(p.from_date.replace(day=1)))
+        & (F.col("customer_id") == p.customer_id)
+    )
     rows = spend.by_month(recent.join(w.context(F.col("is_settled")), "txn_context_key"))
     left = spend.named_month(spend.by_category(w, rows, [spend.MONTH])).drop("txn_count")
     right = w.agg_customer_category_month.where(

@@ -9,7 +9,7 @@ from ledgerloom.functions.dates import month_key
 from ledgerloom.operators.detection import Injection
 from ledgerloom.plans import spend
 from ledgerloom.plans.marts import UNKNOWN
-from ledgerloom.plans.warehouse import Warehouse
+from ledgerloom.plans.warehouse import GOLD_FACT, Warehouse
 from ledgerloom.session import clustered
 from ledgerloom.sources.sinks import counted_write
 
@@ -21,7 +21,7 @@ def export_gold(w: Warehouse, gold: str, fact_partition: str = "posted_date") ->
     """
     report = []
     for name, df in w.gold().items():
-        by = fact_partition if name == "fct_card_transaction" else None
+        by = fact_partition if name == GOLD_FACT else None
         rows = counted_write(df, f"{gold}/{name}", by)
         report.append((name, rows, _partitions(w.spark, f"{gold}/{name}", by)))
     return w.spark.createDataFrame(report, "table string, rows bigint, partitions bigint")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from ledgerloom.operators import asof, reshape, scd2
 from ledgerloom.plans import marts, metrics, patterns, reports, serving, spend
-from ledgerloom.plans.warehouse import Warehouse
+from ledgerloom.plans.warehouse import GoldMarts, Warehouse
 from ledgerloom.session import build_session, new_folder, shared_folder
 from ledgerloom.sources import sinks
 from tests.conftest import SF_DIR
@@ -219,6 +219,24 @@ def test_gold_export_reports_rows_and_partitions(spark, small, tmp_path):
     assert serving.scan_gold(spark, str(tmp_path / "gold"), "fct_card_transaction").count() == n
 
 
+def test_reports_run_on_the_exported_gold(spark, small, tmp_path):
+    gold = str(tmp_path / "gold")
+    serving.export_gold(small, gold)
+    marts_again = GoldMarts(spark, gold)
+    p = patterns.pick_parameters(small)
+    assert patterns.pick_parameters(marts_again) == p
+    for report in reports.REPORTS.values():
+        assert report.build(marts_again).collect() == report.build(small).collect(), report.key
+    for build in (patterns.category_month_all, patterns.top_merchants_per_segment, patterns.fx_revaluation_stored):
+        assert build(marts_again).collect() == build(small).collect()
+    recent = patterns.customer_12m_from_fact(marts_again, p)
+    assert recent.collect() == patterns.customer_12m_from_fact(small, p).collect()
+    assert "PartitionFilters: [isnotnull(posted_date" in patterns.plan_text(recent)
+    assert sorted(metrics.category_mix(marts_again).collect()) == sorted(metrics.category_mix(small).collect())
+    with pytest.raises(LookupError):
+        marts_again.staged
+
+
 def test_serving_copies(spark, small, tmp_path):
     serving.publish(small, str(tmp_path / "serving"))
     for name, df in serving.tables(small).items():
