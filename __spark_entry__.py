@@ -17,6 +17,14 @@ from ledgerloom.plans.warehouse import Warehouse
 from ledgerloom.sources import driver_feeds
 from ledgerloom.sources.contracts import customer_value_rules
 
+try:  # the training-data operators are optional: their folder and the pipeline can be absent
+    import corpus_pipeline
+    from ledgerloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in {"corpus_pipeline", "ledgerloom.llm"}:
+        raise
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
@@ -262,8 +270,16 @@ def queries() -> dict[str, Query]:
     def bind(build: Callable[[Warehouse], DataFrame]) -> Query:
         return lambda spark, sf_dir: build(warehouse(spark, sf_dir))
 
-    return {name: bind(build) for name, build in _BUILDERS.items()}
+    registered = {name: bind(build) for name, build in _BUILDERS.items()}
+    if llm_queries:
+        registered |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return registered
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: oracle_catalog.statement(sql) for name, sql in oracle_catalog.QUERIES.items() if name in _BUILDERS}
+    statements = {name: oracle_catalog.statement(sql) for name, sql in oracle_catalog.QUERIES.items() if name in _BUILDERS}
+    if llm_queries:
+        statements |= llm_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return statements
