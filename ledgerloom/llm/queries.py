@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import op7_toxicity
+from ledgerloom.llm import op1_sentencepiece, op3_mix, op5_pii, op7_toxicity, op8_simhash
 from ledgerloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,16 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(table(spark, sf_dir, name))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_sentencepiece": _over("documents", op1_sentencepiece.encoded),
+    "op3_mix": _over("documents", op3_mix.mixture),
+    "op5_pii": _over("documents", op5_pii.personal_data),
     "op7_toxicity": _op7,
+    "op8_simhash": _over("documents", op8_simhash.near_duplicates),
 }
 
 ORACLE_SQL: dict[str, str] = {}
