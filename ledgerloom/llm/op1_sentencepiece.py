@@ -85,8 +85,6 @@ def double_array(keys: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.nda
         if not codes:
             base[state] = 0
             continue
-        while used[low]:
-            low += 1
         b = max(1, low - codes[0])
         while any(used[b + c] for c in codes):
             b += 1
@@ -97,6 +95,7 @@ def double_array(keys: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.nda
                 check = np.concatenate([check, np.full(grow, -1, np.int32)])
                 ends = np.concatenate([ends, np.full(grow, -1, np.int32)])
         base[state] = b
+        low = max(low, b + codes[0])  # search on from here: a few slots stay free, none is searched twice
         for c in codes:
             used[b + c] = 1
             check[b + c] = state
@@ -188,8 +187,8 @@ def _path(raw: bytes, start: list[int], piece: list[int], v: Vocabulary) -> list
     return out[::-1]
 
 
-def segment_many(raws: list[bytes], v: Vocabulary) -> list[list[int]]:
-    """Many runs of one length in lockstep: the state arrays hold one entry per run."""
+def segment_many(raws: list[bytes], v: Vocabulary) -> list[bytes]:
+    """Many runs of one length in lockstep, each result packed as 32-bit integers."""
     length, count = len(raws[0]), len(raws)
     text = np.frombuffer(b"".join(raws), dtype=np.uint8).reshape(count, length)
     width = np.where(text < 0x80, 1, np.where(text < 0xE0, 2, np.where(text < 0xF0, 3, 4)))
@@ -226,8 +225,29 @@ def segment_many(raws: list[bytes], v: Vocabulary) -> list[list[int]]:
                 total = best[i, at] + v.unknown
                 at, total = at[total > best[i + w, at]], total[total > best[i + w, at]]
                 best[i + w, at], start[i + w, at], piece[i + w, at] = total, i, -1
-    starts, pieces = start.T.tolist(), piece.T.tolist()
-    return [_path(r, s, p, v) for r, s, p in zip(raws, starts, pieces, strict=True)]
+    # Walk all paths back together, filling each row from the right.
+    row = np.arange(count)
+    at = np.full(count, length)
+    back = np.full((count, length), -1, np.int32)
+    filled = np.zeros(count, np.int64)
+    fallback = np.zeros(count, bool)
+    for k in range(length):
+        p = piece[at, row]
+        fallback |= (p < 0) & (at > 0)
+        back[:, length - 1 - k] = p
+        filled += at > 0
+        at = start[at, row]
+        if not at.any():
+            break
+    flat, width_bytes = back.tobytes(), 4 * length
+    found = [flat[(r + 1) * width_bytes - 4 * n : (r + 1) * width_bytes] for r, n in enumerate(filled.tolist())]
+    for r in np.flatnonzero(fallback).tolist():
+        found[r] = _packed(_path(raws[r], start[:, r].tolist(), piece[:, r].tolist(), v))
+    return found
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.asarray(ids, dtype=np.int32).tobytes()
 
 
 class Encoder:
@@ -244,11 +264,11 @@ class Encoder:
             by_length.setdefault(len(raw), []).append((run, raw))
         for length, members in by_length.items():
             if length > LONG_RUN:
-                found = [segment(raw, self.vocabulary) for _, raw in members]
+                found = [_packed(segment(raw, self.vocabulary)) for _, raw in members]
             else:
                 found = segment_many([raw for _, raw in members], self.vocabulary)
             for (run, _), ids in zip(members, found, strict=True):
-                self.known[run] = np.asarray(ids, dtype=np.int32).tobytes()
+                self.known[run] = ids
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [runs(t, self.vocabulary) for t in texts]
@@ -263,7 +283,7 @@ class Encoder:
         return text[1:] if text[:1] == " " else text
 
 
-_BATCH = 512
+_BATCH = 2_048
 
 
 def _codec(spark: SparkSession, path: str):
