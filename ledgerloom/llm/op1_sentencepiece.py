@@ -22,10 +22,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
@@ -283,52 +283,55 @@ class Encoder:
         return text[1:] if text[:1] == " " else text
 
 
-_BATCH = 2_048
+_BATCH = 1_024
 
 
-def _codec(spark: SparkSession, path: str):
+def _codec(documents: DataFrame, path: str) -> DataFrame:
+    """The rows with `ids`, `n_pieces`, `n_bytes`, `decoded_sha256` and `round_trip` after their other columns."""
     # Bounded by the vocabulary of the file; plain fields, as broadcasts are pickled by reference.
-    shared = spark.sparkContext.broadcast(tuple(vars(load(path)).values()))
-
-    @F.pandas_udf("ids array<int>, n_bytes long, decoded_sha256 string, round_trip boolean")
-    def codec(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(*shared.value)
-        encoder = Encoder(vocabulary)
-        is_byte = np.zeros(len(vocabulary.surface), bool)
-        is_byte[vocabulary.byte_ids] = True
-        for texts in batches:
-            rows = []
-            for i in range(0, len(texts), _BATCH):
-                part = texts.iloc[i : i + _BATCH].tolist()
-                for text, ids in zip(part, encoder.encode(part), strict=True):
-                    back = encoder.decode(ids)
-                    digest = hashlib.sha256(back.encode("utf-8", "replace")).hexdigest()
-                    rows.append((ids, int(is_byte[ids].sum()), digest, back == text))
-            yield pd.DataFrame(rows, columns=["ids", "n_bytes", "decoded_sha256", "round_trip"])
-
-    return codec
+    spread = documents.sparkSession.sparkContext.broadcast(tuple(vars(load(path)).values()))
+    names = documents.columns
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(Vocabulary(*spread.value))
+        is_byte = np.zeros(len(encoder.vocabulary.surface), bool)
+        is_byte[encoder.vocabulary.byte_ids] = True
+        for big in batches:
+            for begin in range(0, big.num_rows, _BATCH):
+                part = big.slice(begin, _BATCH)
+                given = part.column(names.index("text")).to_pylist()
+                texts = [t or "" for t in given]
+                ids = encoder.encode(texts)
+                back = [encoder.decode(i) for i in ids]
+                sizes = np.array([len(i) for i in ids], dtype=np.int64)
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(offsets), pa.array(np.concatenate(ids)), mask=pa.array([t is None for t in given])
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *part.columns, lists, pa.array(sizes), pa.array([int(is_byte[i].sum()) for i in ids], pa.int64()),
+                        pa.array([hashlib.sha256(b.encode("utf-8", "replace")).hexdigest() for b in back]),
+                        pa.array([b == t for b, t in zip(back, texts, strict=True)]),
+                    ],
+                    [*names, "ids", "n_pieces", "n_bytes", "decoded_sha256", "round_trip"],
+                )
+
+    schema = T.StructType(list(documents.schema.fields))
+    schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("n_pieces", "long").add("n_bytes", "long")
+    return documents.mapInArrow(coded, schema.add("decoded_sha256", "string").add("round_trip", "boolean"))
 
 
 def encoded(documents: DataFrame, path: str = MODEL_FILE) -> DataFrame:
     """Every document's ids with what decoding them gives."""
-    codec = _codec(documents.sparkSession, path)
-    done = documents.select("doc_id", "text", codec(F.coalesce("text", F.lit(""))).alias("found"))
-    ids = F.when(F.col("text").isNotNull(), F.col("found.ids"))
-    return done.select(
-        "doc_id", ids.alias("ids"), F.size("found.ids").cast("long").alias("n_pieces"),
-        F.col("found.n_bytes").alias("n_bytes"), "found.decoded_sha256", "found.round_trip",
-    )
+    return _codec(documents.select("doc_id", "text"), path).drop("text")
 
 
 def encode_documents(documents: DataFrame, path: str = MODEL_FILE) -> DataFrame:
     """The documents' own columns with `ids`, `n_pieces` and `round_trip` after them, replacing any of that name."""
-    codec = _codec(documents.sparkSession, path)
-    own = [c for c in documents.columns if c not in {"ids", "n_pieces", "round_trip"}]
-    done = documents.select(*own, codec(F.coalesce("text", F.lit(""))).alias("_found"))
-    return done.select(
-        *own, F.when(F.col("text").isNotNull(), F.col("_found.ids")).alias("ids"),
-        F.size("_found.ids").cast("long").alias("n_pieces"), F.col("_found.round_trip").alias("round_trip"),
-    )
+    added = ["ids", "n_pieces", "n_bytes", "decoded_sha256", "round_trip"]
+    own = documents.select(*[c for c in documents.columns if c not in added])
+    return _codec(own, path).drop("n_bytes", "decoded_sha256")
 
 
 def decode(ids: list[int], vocabulary: Vocabulary) -> str:
