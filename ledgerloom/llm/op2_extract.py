@@ -243,14 +243,13 @@ def main_text(page: str) -> str:
     return " ".join(b.text for b, keep in zip(blocks, kept, strict=True) if keep)
 
 
-@F.pandas_udf("string")
 def _main_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for pages in batches:
         yield pd.Series([main_text(p) for p in pages], dtype=object)
 
 
 def extract(page: Column) -> Column:
-    return _main_texts(F.coalesce(page, F.lit("")))
+    return F.pandas_udf(_main_texts, "string")(F.coalesce(page, F.lit("")))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

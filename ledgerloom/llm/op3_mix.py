@@ -117,16 +117,16 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
             "row",
             ((F.col("pass") * F.col("source_size") + F.col("start") + F.col("size")) / F.col("target")).alias("finish"),
         )
-        .groupBy("row")
-        .agg(F.collect_list("finish").alias("finishes"))
+        .groupBy(F.col("row").alias("_mix_served"))
+        .agg(F.collect_list("finish").alias("_mix_finishes"))
     )
-    keyed = documents.withColumn("_row", row_hash(documents))
+    keyed = documents.withColumn("_mix_row", row_hash(documents))
     return (
-        # Equal rows are one row here: `finishes` already holds the passes of each of them.
-        keyed.join(served, keyed["_row"] == served["row"])
-        .dropDuplicates(["_row"])
-        .withColumn("_finish", F.explode("finishes"))
-        .repartitionByRange("_finish", "_row")
-        .sortWithinPartitions("_finish", "_row")
+        # Equal rows are one row here: the finishes already hold the passes of each of them.
+        keyed.join(served, F.col("_mix_row") == F.col("_mix_served"))
+        .dropDuplicates(["_mix_row"])
+        .withColumn("_mix_finish", F.explode("_mix_finishes"))
+        .repartitionByRange("_mix_finish", "_mix_row")
+        .sortWithinPartitions("_mix_finish", "_mix_row")
         .select(*documents.columns)
     )

@@ -177,7 +177,6 @@ def redact(text: str, spans: list[Span]) -> str:
 _REPORT = ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string"
 
 
-@F.pandas_udf(_REPORT)
 def _report(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     automaton = anchors()
     names = [f"n_{k}" for k in KINDS] + ["base_sha256", "spans"]
@@ -191,7 +190,6 @@ def _report(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=names)
 
 
-@F.pandas_udf("string")
 def _redacted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     automaton = anchors()
     for texts in batches:
@@ -200,7 +198,7 @@ def _redacted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def find(text: Column) -> Column:
     """A struct of the counts by kind, the digest of the base spans, and all spans."""
-    return _report(F.coalesce(text, F.lit("")))
+    return F.pandas_udf(_report, _REPORT)(F.coalesce(text, F.lit("")))
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
@@ -209,7 +207,8 @@ def personal_data(documents: DataFrame) -> DataFrame:
 
 def redact_documents(documents: DataFrame) -> DataFrame:
     """The documents with every span replaced; null texts stay null and `n_chars`, if there, is renewed."""
-    text = F.when(F.col("text").isNotNull(), _redacted(F.coalesce("text", F.lit(""))))
+    redacted = F.pandas_udf(_redacted, "string")
+    text = F.when(F.col("text").isNotNull(), redacted(F.coalesce("text", F.lit(""))))
     done = documents.withColumn("text", text)
     if "n_chars" in documents.columns:
         done = done.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))

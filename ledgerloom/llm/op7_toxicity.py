@@ -3,7 +3,8 @@
 Two raw-content zstandard dictionaries are trained: one on ordinary text, one that also holds what
 toxic text has and ordinary text lacks. Every text is cut into windows of a few words, each window is
 compressed with both, and the difference in length is the window's gain. A document's evidence is the
-sum over all its windows of the log-likelihood ratio of their gains, calibrated to a probability.
+sum over all its windows of the log-likelihood ratio of their gains. The evidence that parts the labelled
+sample best (F1 at the true class shares) is calibrated to the score 0.3, the decision threshold.
 
 Null and empty texts have one empty window and get a score like any other. Repeated rows get equal
 scores. Without rows of both classes the score is the smoothed share of label 1 (0.5 if unlabelled).
@@ -160,8 +161,23 @@ def fit(sample: list[tuple[str, int]], share: float) -> Model:
         np.add.at(counts[y], g, 1)
     evidence = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     x = np.clip([evidence[g].sum() for g, _ in measured], -30, 30)
-    slope, intercept = _logistic(np.asarray(x), np.asarray([y for _, y in measured], dtype=float))
-    return Model(base, contrast, tuple(evidence), slope, intercept + prior - math.log(len(toxic) / len(ordinary)))
+    y = np.asarray([label for _, label in measured])
+    slope = max(_logistic(np.asarray(x), y.astype(float))[0], 0.1)
+    cut = best_cut(np.asarray(x), y, share)
+    return Model(base, contrast, tuple(evidence), slope, math.log(THRESHOLD / (1 - THRESHOLD)) - slope * cut)
+
+
+def best_cut(x: np.ndarray, y: np.ndarray, share: float) -> float:
+    """The value from which calling a text toxic has the best F1, if `share` of all texts are toxic."""
+    weight = np.where(y == 1, share / (y == 1).sum(), (1 - share) / (y == 0).sum())
+    order = np.argsort(-x, kind="stable")
+    right = np.cumsum((weight * y)[order])
+    called = np.cumsum(weight[order])
+    f1 = 2 * right / (called + share)
+    ends = np.append(np.diff(x[order]) != 0, True)  # equal values fall on one side
+    best = int(np.argmax(np.where(ends, f1, -1)))
+    below = x[order][best + 1] if best + 1 < len(x) else x[order][best] - 1
+    return float((x[order][best] + below) / 2)
 
 
 def train(documents: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS) -> Model:

@@ -52,14 +52,13 @@ def simhash(text: str) -> int:
     return int(np.packbits(2 * ones > len(spans)).view(">i8")[0])
 
 
-@F.pandas_udf("long")
 def _simhashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield pd.Series([simhash(t) for t in texts], dtype="int64")
 
 
 def fingerprint(text: Column) -> Column:
-    return _simhashes(F.coalesce(text, F.lit("")))
+    return F.pandas_udf(_simhashes, "long")(F.coalesce(text, F.lit("")))
 
 
 def as_hex(value: Column) -> Column:
