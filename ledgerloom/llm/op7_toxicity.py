@@ -31,13 +31,14 @@ from ledgerloom.llm import shared
 # The documented bound of the training sample: texts of each class, and their length.
 SAMPLE_PER_CLASS = 2_500
 SAMPLE_CHARS = 20_000
-WINDOW_WORDS = 10
+WINDOW_WORDS = 8
 DICTIONARY_BYTES = 65_536
 TOXIC_BYTES = 2_048
 # A term belongs in the toxic dictionary if its share of toxic texts exceeds that of ordinary ones
 # by this many standard errors.
-TERM_Z = 6.0
+TERM_Z = 5.0
 THRESHOLD = 0.3
+FOLDS = 3
 GAIN_LOW, GAIN_HIGH = -6, 12
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -62,7 +63,7 @@ def windows(text: str) -> list[bytes]:
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
     settings = zstandard.ZstdCompressionParameters(
-        window_log=17, hash_log=16, chain_log=16, search_log=5, min_match=6, target_length=16,
+        window_log=17, hash_log=16, chain_log=16, search_log=5, min_match=5, target_length=16,
         strategy=zstandard.STRATEGY_LAZY, write_content_size=False, write_checksum=False, write_dict_id=False,
     )
     dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -96,6 +97,8 @@ def without_copies(sample: list[tuple[str, int]]) -> list[tuple[str, int]]:
 
 def toxic_terms(toxic: list[str], ordinary: list[str]) -> list[str]:
     """Words that set toxic texts apart, the strongest first."""
+    if not toxic or not ordinary:
+        return []
 
     def frequencies(texts: list[str]) -> Counter[str]:
         return Counter(w for t in texts for w in set(_WORD.findall(t.lower())))
@@ -113,6 +116,8 @@ def toxic_terms(toxic: list[str], ordinary: list[str]) -> list[str]:
 
 
 def _trained(size: int, samples: list[bytes]) -> bytes:
+    if not samples:
+        return b" "
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:  # too few samples for the trainer: take them as they are
@@ -153,9 +158,12 @@ def fit(sample: list[tuple[str, int]], share: float) -> Model:
     toxic, ordinary = [t for t, y in kept if y == 1], [t for t, y in kept if y == 0]
     if not toxic or not ordinary:
         return Model(b" ", b" ", (0.0,) * (GAIN_HIGH - GAIN_LOW + 1), 0.0, prior)
-    base, contrast = dictionaries(toxic, ordinary)
-    one, two = compressor(base), compressor(contrast)
-    measured = [(gains(t, one, two), y) for t, y in kept]
+    measured = []
+    for fold in range(FOLDS):  # gains of texts that the dictionaries have not seen
+        rest = [r for i, r in enumerate(kept) if i % FOLDS != fold]
+        pair = dictionaries([t for t, y in rest if y == 1], [t for t, y in rest if y == 0])
+        one, two = compressor(pair[0]), compressor(pair[1])
+        measured += [(gains(t, one, two), y) for i, (t, y) in enumerate(kept) if i % FOLDS == fold]
     counts = np.full((2, GAIN_HIGH - GAIN_LOW + 1), 0.5)
     for g, y in measured:
         np.add.at(counts[y], g, 1)
@@ -164,6 +172,7 @@ def fit(sample: list[tuple[str, int]], share: float) -> Model:
     y = np.asarray([label for _, label in measured])
     slope = max(_logistic(np.asarray(x), y.astype(float))[0], 0.1)
     cut = best_cut(np.asarray(x), y, share)
+    base, contrast = dictionaries(toxic, ordinary)
     return Model(base, contrast, tuple(evidence), slope, math.log(THRESHOLD / (1 - THRESHOLD)) - slope * cut)
 
 
