@@ -110,7 +110,7 @@ def core_members(hits: DataFrame) -> DataFrame:
     placed = placed.select("*", F.xxhash64("anchor", "which", "hash").alias("core"))
     placed = staged(placed.select("doc_id", "row", "place", "which", "core", "open"), "cores")
     met = placed.groupBy("core").agg(F.count("*").alias("members"), F.max("open").alias("any_open"))
-    return placed.join(met.where("members > 1 AND any_open").drop("any_open"), "core")
+    return placed.join(staged(met.where("members > 1 AND any_open").drop("any_open"), "met"), "core")
 
 
 _SIDES = "core long, members long, open boolean, doc_id long, row long, first long, lefts binary, rights binary"
@@ -241,10 +241,11 @@ def _hash_levels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def repeated_spans(keyed: DataFrame) -> DataFrame:
     """Byte ranges of `(doc_id, row)` texts that repeated strings cover; ranges of one text may overlap."""
     narrow = anchor_rows(keyed).select("anchor", "stretch")
-    kinds = narrow.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Written tables on the counted side: both sides of the joins are then plain shuffles that AQE can split.
+    kinds = staged(narrow.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "kinds")
     hits = staged(anchor_rows(keyed).join(kinds, "anchor"), "anchors")
-    twice = hits.groupBy("anchor", "stretch").agg(F.count("*").alias("n")).where("n > 1")
-    whole = hits.join(twice.select("anchor", "stretch"), ["anchor", "stretch"], "left_semi").select(
+    twice = hits.groupBy("anchor", "stretch").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "stretch")
+    whole = hits.join(staged(twice, "stretches"), ["anchor", "stretch"], "left_semi").select(
         "doc_id", "row", _low().alias("low"), _high().alias("high")
     )
     members = core_members(hits)
