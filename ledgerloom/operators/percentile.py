@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BITS_KEPT = 11
 
@@ -26,12 +27,20 @@ def _bin_floor(value: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
 
 
+def _whole(df: DataFrame, value: str) -> Column:
+    """An integer that never falls as the value rises: integers as they are, others in steps of 1/1024.
+
+    It only chooses the bin; values inside a bin are ranked as they are.
+    """
+    if isinstance(df.schema[value].dataType, T.IntegralType):
+        return F.col(value).cast("bigint")
+    bound = float(1 << 60)
+    return F.floor(F.least(F.greatest(F.col(value).cast("double") * 1024, F.lit(-bound)), F.lit(bound)))
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("bigint").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    kept = F.col(value).cast("bigint") if isinstance(df.schema[value].dataType, T.IntegralType) else F.col(value)
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, kept.alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _ranks(total: Column, fraction: float, method: str) -> dict[str, Column]:
@@ -52,7 +61,8 @@ def picked() -> Column:
     def at(rank: str) -> Column:
         return F.max(F.when(F.col(rank).between(F.col("first"), F.col("last")), F.col("value")))
 
-    return (at("low_rank") + (at("high_rank") - at("low_rank")) * F.max("weight")).cast("double")
+    low, high = at("low_rank").cast("double"), at("high_rank").cast("double")
+    return low + (high - low) * F.max("weight")
 
 
 def _over(keys: Sequence[str]) -> WindowSpec:
@@ -87,13 +97,13 @@ def grouped_percentile(
     method: str = "linear",
     few_groups: bool = False,
 ) -> DataFrame:
-    """`keys` + `out`: the exact `fraction` percentile of an integer column.
+    """`keys` + `out`: the exact `fraction` percentile of a numeric column.
 
     method      "linear" interpolates between neighbours; "nearest" rounds the rank half to even.
     few_groups  the caller knows a bound on the number of groups, so the bins looked for
                 (two per group) may be broadcast.
     """
-    counts = value_counts(df, keys, value).withColumn("bin", _bin_floor(F.col("value")))
+    counts = value_counts(df, keys, value).withColumn("bin", _bin_floor(_whole(df.select(F.col(value).alias("value")), "value")))
     bins = counts.groupBy(*keys, "bin").agg(F.sum("n").alias("bin_n"))
     before = F.sum("bin_n").over(_upto(_over(keys), F.col("bin"))) - F.col("bin_n")
     here = [F.col(r).between(F.col("before"), F.col("before") + F.col("bin_n") - 1) for r in ("low_rank", "high_rank")]

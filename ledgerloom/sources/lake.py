@@ -25,7 +25,6 @@ def land(
     folder: Path = contracts.BUNDLED,
     fmt: str = "avro",
     force: bool = False,
-    switched_on: str | None = None,
 ) -> DataFrame:
     """Land a delivery; returns (and keeps under `_ingest`) the rows written per feed.
 
@@ -41,7 +40,7 @@ def land(
     }
     counts = {feed: counted_write(df, f"{lake}/{feed}") for feed, df in flat.items()}
     avro_schema = (Path(folder) / "card_transactions.v2.avsc").read_text() if fmt == "avro" else None
-    history = readers.read_transactions(spark, f"{raw}/card_transactions", fmt, avro_schema, switched_on)
+    history = readers.read_transactions(spark, f"{raw}/card_transactions", fmt, avro_schema)
     counts["card_transactions"] = counted_write(history, f"{lake}/card_transactions", "posted_date")
 
     days = readers.partition_dates(spark, f"{lake}/card_transactions").count()

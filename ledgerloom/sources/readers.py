@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.schemas import (
-    FIELDS_ADDED_IN_V2,
     LAKE_ACCOUNTS,
     LAKE_CARDS,
     LAKE_CUSTOMERS,
@@ -106,16 +105,22 @@ def _source(spark: SparkSession, fmt: str, path: str | list[str], **options: str
         raise
 
 
-def list_files(spark: SparkSession, base: str, glob: str = "*") -> DataFrame:
-    """`path`, `day` of the files below day directories, listed without opening them."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    day = F.regexp_extract("path", r"_date=(\d{4}-\d{2}-\d{2})/", 1).try_cast("date")
-    return files.load(base).select("path", day.alias("day"))
+def day_files(spark: SparkSession, base: str) -> list[tuple[str, str]]:
+    """`(day, path)` of the files below day directories, in order: one glob of the file system, nothing opened."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/*_date=*/*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    paths = [status.getPath() for status in found]
+    return sorted(
+        (path.getParent().getName().rpartition("=")[2], path.toString())
+        for path in paths
+        if path.getName()[0] not in "._"
+    )
 
 
 def partition_dates(spark: SparkSession, base: str) -> DataFrame:
     """The day partitions that hold files, in order."""
-    return list_files(spark, base).select("day").where(F.col("day").isNotNull()).distinct().orderBy("day")
+    days = sorted({day for day, _ in day_files(spark, base)})
+    return spark.createDataFrame([(day,) for day in days], "day string").select(F.col("day").cast("date")).orderBy("day")
 
 
 def writer_fields(spark: SparkSession, path: str, fmt: str) -> frozenset[str]:
@@ -125,52 +130,49 @@ def writer_fields(spark: SparkSession, path: str, fmt: str) -> frozenset[str]:
     return frozenset(_source(spark, fmt, path).schema.names)
 
 
-def feed_versions(spark: SparkSession, base: str, fmt: str, switched_on: str | None = None) -> dict[int, list[str]]:
-    """Feed version -> partition directories it wrote.
+def feed_versions(spark: SparkSession, files: list[tuple[str, str]], fmt: str) -> DataFrame:
+    """`day`, `file`, `feed_version`: which writer each file came from, by its own header or footer.
 
-    One header per directory is read, sixteen at a time (metadata only). Where the date of the switch
-    is known, `switched_on` spares even that.
+    A delivery's files are looked at one by one, sixteen at a time (metadata only): files of both
+    versions can share a day.
     """
-    days = [str(row["day"]) for row in partition_dates(spark, base).toLocalIterator()]
 
-    def version(day: str) -> int:
-        if switched_on is not None:
-            return 1 if day < switched_on else 2
-        fields = writer_fields(spark, f"{base}/posted_date={day}", fmt) | {"posted_date"}
+    def version(path: str) -> int:
+        fields = writer_fields(spark, path, fmt) | {"posted_date"}
         return 1 if fields == RAW_TRANSACTIONS_V1_FIELDS else 2
 
     with ThreadPoolExecutor(max_workers=16) as pool:
-        versions = list(pool.map(version, days))
-    return {
-        number: [f"{base}/posted_date={day}" for day, v in zip(days, versions) if v == number]
-        for number in sorted(set(versions))
-    }
+        versions = list(pool.map(version, [path for _, path in files]))
+    rows = [(day, path.rpartition("/")[2], v) for (day, path), v in zip(files, versions, strict=True)]
+    table = spark.createDataFrame(rows, "day string, file string, feed_version tinyint")
+    return table.withColumn("day", F.col("day").cast("date"))
 
 
 def read_transactions(
-    spark: SparkSession, base: str, fmt: str = "avro", avro_schema: str | None = None, switched_on: str | None = None
+    spark: SparkSession, base: str, fmt: str = "avro", avro_schema: str | None = None
 ) -> DataFrame:
     """The whole mixed history as one frame in canonical columns, `feed_version` saying who wrote it.
 
-    Directories of one version form one scan. Fields a version does not have come back null;
-    `posted_date` is the directory's.
+    Every file is read with the one full schema: fields a file does not have come back null, none it
+    has is left out. The version is the file's own; `posted_date` is the directory's.
     """
-    parts = []
-    for version, folders in feed_versions(spark, base, fmt, switched_on).items():
-        known = [f for f in RAW_TRANSACTIONS.fields if version == 2 or f.name not in FIELDS_ADDED_IN_V2]
-        reader = spark.read.format(fmt).option("basePath", base)
-        if fmt == "avro" and avro_schema:
-            reader = reader.option("avroSchema", avro_schema)
-        else:
-            reader = reader.schema(T.StructType(known))
-        tagged = reader.load(folders).withColumn("feed_version", F.lit(version).cast("tinyint"))
-        parts.append(tagged)
-    if not parts:
+    files = day_files(spark, base)
+    if not files:
         return spark.createDataFrame([], LAKE_TRANSACTIONS_READ)
-    history = parts[0]
-    for part in parts[1:]:
-        history = history.unionByName(part, allowMissingColumns=True)
-    return conform(history)
+    reader = spark.read.format(fmt).option("basePath", base)
+    if fmt == "avro" and avro_schema:
+        reader = reader.option("avroSchema", avro_schema)
+    else:
+        reader = reader.schema(RAW_TRANSACTIONS)
+    history = reader.load([path for _, path in files])
+    # The metadata column has the name as in a URI.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    history = history.withColumn("_file", name)
+    versions = feed_versions(spark, files, fmt)
+    tagged = history.join(
+        versions, (history["posted_date"] == versions["day"]) & (history["_file"] == versions["file"]), "left"
+    )
+    return conform(tagged)
 
 
 def conform(history: DataFrame) -> DataFrame:
@@ -211,8 +213,8 @@ def observe_parquet(spark: SparkSession, path: str) -> frozenset[str]:
 
 def _newest(spark: SparkSession, base: str) -> str | None:
     """The newest partition's last file: the one that would carry a producer's change."""
-    row = list_files(spark, base).where(F.col("day").isNotNull()).orderBy(F.desc("day"), F.desc("path")).first()
-    return row["path"] if row else None
+    files = day_files(spark, base)
+    return files[-1][1] if files else None
 
 
 def observe_all(spark: SparkSession, raw: str, transactions_format: str = "avro") -> dict[str, frozenset[str]]:
@@ -228,10 +230,10 @@ def observe_all(spark: SparkSession, raw: str, transactions_format: str = "avro"
         fields = _if_there(lambda look=look, path=path: look(spark, path))
         if fields is not None:
             observed[feed] = fields
-    transactions = _if_there(lambda: _newest(spark, f"{raw}/card_transactions"))
+    transactions = _newest(spark, f"{raw}/card_transactions")
     if transactions is not None:
         observed["card_transactions"] = writer_fields(spark, transactions, transactions_format)
-    rates = _if_there(lambda: _newest(spark, f"{raw}/fx_rates"))
+    rates = _newest(spark, f"{raw}/fx_rates")
     if rates is not None:
         observed["fx_rates"] = observe_json_array(spark, rates)
     return observed

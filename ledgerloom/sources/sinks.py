@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +27,11 @@ def is_loaded(spark: SparkSession, path: str) -> bool:
     """Reachable and holding data: an empty store answers fastest and is useless."""
     try:
         return not spark.read.parquet(path).isEmpty()
-    except Exception:  # noqa: BLE001 - any unreadable path counts as not loaded
-        return False
+    except AnalysisException as failure:
+        # Absent, or a folder without files; what is there but cannot be read stays an error.
+        if failure.getCondition() in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
+            return False
+        raise
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -145,8 +145,21 @@ def test_mixed_history_is_one_shape(spark, raw):
     assert df.columns == [*LAKE_TRANSACTIONS.names, "posted_date"]
     got = {(r["feed_version"], r["pos_entry_mode"], r["is_recurring"]) for r in df.collect()}
     assert got == {(1, None, None), (2, "07", False)}
-    known = readers.read_transactions(spark, f"{raw}/card_transactions", "parquet", switched_on="2026-06-02")
-    assert known.exceptAll(df).count() == 0 and df.exceptAll(known).count() == 0
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_files_of_both_versions_share_a_day(spark, tmp_path, fmt):
+    base = tmp_path / "card_transactions"
+    day = base / "posted_date=2026-06-03"
+    both = spark.createDataFrame([transaction(7, "2026-06-03")], RAW_TRANSACTIONS)
+    sinks.write_feed(both.drop("pos_entry_mode", "is_recurring").coalesce(1), str(tmp_path / "old"), fmt)
+    sinks.write_feed(both.coalesce(1), str(tmp_path / "new"), fmt)
+    day.mkdir(parents=True)
+    for part in ("old", "new"):
+        (file,) = [f for f in (tmp_path / part).iterdir() if f.suffix == f".{fmt}"]
+        (day / f"{part} file.{fmt}").write_bytes(file.read_bytes())
+    got = readers.read_transactions(spark, str(base), fmt).select("feed_version", "pos_entry_mode", "is_recurring")
+    assert sorted(map(tuple, got.collect())) == [(1, None, None), (2, "07", False)]
 
 
 def test_json_history_reads_the_same(spark, raw, tmp_path):

@@ -102,6 +102,16 @@ def test_percentile_matches_brute_force(spark, method, expected):
         assert dict(rows(ranked.groupBy("g").agg(picked()))) == out
 
 
+def test_percentile_of_fractions_and_decimals(spark):
+    rng = random.Random(6)
+    values = [round(rng.uniform(-5, 5), rng.randint(0, 6)) for _ in range(200)] + [1.5, 2.5, 3.5, 1e15]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    exact = df.select(F.expr("percentile(v, 0.5)")).first()[0]
+    assert grouped_percentile(df, [], "v", 0.5, "p").first()[0] == pytest.approx(exact)
+    cents = spark.createDataFrame([("1.50",), ("2.25",), ("3.75",), ("4.00",)], "v string").select(F.col("v").cast("decimal(9,2)"))
+    assert grouped_percentile(cents, [], "v", 0.5, "p").first()[0] == pytest.approx(3.0)
+
+
 def test_null_values_are_ranked_nowhere(spark):
     counts = spark.createDataFrame([("g", 1, 1), ("g", None, 50), ("g", 3, 1), ("none", None, 2)], "g string, value bigint, n bigint")
     out = dict(rows(rank_counts(counts, ["g"], 0.5).groupBy("g").agg(picked())))
