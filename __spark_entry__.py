@@ -14,7 +14,8 @@ from ledgerloom.operators.asof import asof_join
 from ledgerloom.operators.percentile import grouped_percentile
 from ledgerloom.plans import metrics, monitors, patterns, reports, serving, spend
 from ledgerloom.plans.warehouse import Warehouse
-from ledgerloom.sources import driver_feeds
+from ledgerloom.sources import driver_delivery, driver_feeds
+from ledgerloom.sources.driver_delivery import Delivery
 from ledgerloom.sources.contracts import customer_value_rules
 
 try:  # the training-data operators are optional: their folder and the pipeline can be absent
@@ -28,6 +29,7 @@ except ModuleNotFoundError as missing:
 Query = Callable[[SparkSession, str], DataFrame]
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
+_deliveries: dict[tuple[str, str], Delivery] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -38,6 +40,14 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _warehouses[key]
 
 
+def delivery(spark: SparkSession, sf_dir: str) -> Delivery:
+    """The tables of one data folder delivered in wire form and landed, once in a Spark application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _deliveries:
+        _deliveries[key] = Delivery(spark, warehouse(spark, sf_dir).feeds)
+    return _deliveries[key]
+
+
 def _as_text(df: DataFrame, *columns: str) -> DataFrame:
     """Year-9999 sentinels as text: they overflow nanosecond timestamps in pandas."""
     return df.withColumns({c: F.col(c).cast("string") for c in columns})
@@ -131,14 +141,6 @@ def feed_arrival(w: Warehouse) -> DataFrame:
     return monitors.feed_arrival(run(-1), run(0))
 
 
-def evolve_union(w: Warehouse) -> DataFrame:
-    return w.staged.groupBy("feed_version").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count("pos_entry_mode").alias("with_entry_mode"),
-        F.count("is_recurring").alias("with_recurring"),
-    )
-
-
 _FLAGS = list(rules.FLAGS.values())
 _WATCHED = ["segment", "kyc_status", "kyc_risk_band"]
 
@@ -151,7 +153,6 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "stg_merchants": lambda w: w.feeds.merchants,
     "stg_fx_rates": lambda w: w.feeds.fx_rates,
     "dedupe_latest": lambda w: w.deduped,
-    "evolve_union": evolve_union,
     "fx_dense_asof": lambda w: w.fx_rate,
     "fx_asof_join": fx_asof_rows,
     # row quality
@@ -260,6 +261,19 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "online_share_by_segment": metrics.online_share_by_segment,
 }
 
+_INGEST: dict[str, Callable[[Delivery], DataFrame]] = {
+    "ingest_customers": driver_delivery.customers,
+    "ingest_accounts": lambda d: d.table("accounts"),
+    "ingest_cards": lambda d: d.table("cards"),
+    "ingest_merchants": lambda d: d.table("merchants"),
+    "ingest_fx_rates": lambda d: d.table("fx_rates"),
+    "ingest_transactions": driver_delivery.transactions,
+    "evolve_union": driver_delivery.versions,
+    "landed_metrics": driver_delivery.landed_metrics,
+    "row_conservation": driver_delivery.row_conservation,
+    "contract_verdicts": driver_delivery.contract_verdicts,
+}
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: spend by category and month over the whole book."""
@@ -270,14 +284,18 @@ def queries() -> dict[str, Query]:
     def bind(build: Callable[[Warehouse], DataFrame]) -> Query:
         return lambda spark, sf_dir: build(warehouse(spark, sf_dir))
 
+    def bind_ingest(build: Callable[[Delivery], DataFrame]) -> Query:
+        return lambda spark, sf_dir: build(delivery(spark, sf_dir))
+
     registered = {name: bind(build) for name, build in _BUILDERS.items()}
+    registered |= {name: bind_ingest(build) for name, build in _INGEST.items()}
     if llm_queries:
         registered |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     return registered
 
 
 def oracle_sql() -> dict[str, str]:
-    statements = {name: oracle_catalog.statement(sql) for name, sql in oracle_catalog.QUERIES.items() if name in _BUILDERS}
+    statements = {name: oracle_catalog.statement(sql) for name, sql in oracle_catalog.QUERIES.items() if name in _BUILDERS or name in _INGEST}
     if llm_queries:
         statements |= llm_queries.ORACLE_SQL
         if corpus_pipeline.ORACLE_SQL:

