@@ -138,7 +138,7 @@ def feed_arrival(w: Warehouse) -> DataFrame:
     def run(i: int) -> dict[str, DataFrame]:
         return {"customers": w.feeds.customers[i].rows, "accounts": w.feeds.accounts[i].rows}
 
-    return monitors.feed_arrival(run(-1), run(0))
+    return monitors.feed_arrival(run(-1), run(-2))
 
 
 _FLAGS = list(rules.FLAGS.values())

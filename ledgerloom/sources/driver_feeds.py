@@ -15,6 +15,7 @@ from ledgerloom.sources.feeds import Feeds, Snapshot
 
 FIRST_SNAPSHOT = "1995-06-01 00:00:00"
 SECOND_SNAPSHOT = "1998-07-01 00:00:00"
+THIRD_SNAPSHOT = "1998-12-01 00:00:00"
 VERSION_2_FROM = "1999-01-01"
 
 MCC_BY_TYPE = {
@@ -182,11 +183,14 @@ def _iso(ts: Column) -> Column:
 
 
 def customers(spark: SparkSession, sf_dir: str, snapshot: int) -> DataFrame:
-    """Staged customers as the onboarding feed showed them at one snapshot (1 or 2)."""
+    """Staged customers as the onboarding feed showed them at one snapshot.
+
+    Some join after the first, some are missing from the second and return; the third has all.
+    """
     c = F.col("c_custkey")
-    people = spark.read.parquet(f"{sf_dir}/customer.parquet").where(c % 89 != 1 if snapshot == 1 else c % 97 != 5)
+    people = spark.read.parquet(f"{sf_dir}/customer.parquet").where({1: c % 89 != 1, 2: c % 97 != 5}.get(snapshot, F.lit(True)))
     segment = _pick("c_mktsegment", SEGMENTS, "mass")
-    if snapshot == 2:
+    if snapshot >= 2:
         segment = F.when(c % 10 == 3, "premier").otherwise(segment)
     joined_at = ntz("1995-01-01 00:00:00") + F.make_dt_interval(days=c % 300)
     base = people.select(
@@ -227,19 +231,22 @@ def customers(spark: SparkSession, sf_dir: str, snapshot: int) -> DataFrame:
 
 
 def accounts(spark: SparkSession, sf_dir: str, snapshot: int) -> DataFrame:
+    """Staged accounts at one snapshot: products change, some vanish and return, some are closed."""
     c = F.col("c_custkey")
     product = F.when(c % 5 == 0, "SAVER").otherwise("CURRENT")
-    if snapshot == 2:
+    if snapshot >= 2:
         product = F.when(c % 13 == 4, "PREMIER").otherwise(product)
     opened = F.date_add(F.lit("1995-01-01").cast("date"), (c % 300).cast("int"))
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    shut = (c % 17 == 2) & F.lit(snapshot == 3)
+    there = spark.read.parquet(f"{sf_dir}/customer.parquet").where(c % 101 != 7 if snapshot == 2 else F.lit(True))
+    return there.select(
         F.concat(F.lit("ACC-"), c).alias("account_id"),
         padded_id("CUS-", c, 9).alias("customer_id"),
         product.alias("product_code"),
-        F.lit("GBP").alias("currency"),
-        F.lit("open").alias("status"),
+        F.when(c % 23 == 9, "EUR").otherwise("GBP").alias("currency"),
+        F.when(shut, "closed").otherwise("open").alias("status"),
         opened.alias("opened_on"),
-        F.when(c % 61 == 0, F.date_add(opened, 1000)).alias("closed_on"),
+        F.when(shut, F.date_add(opened, 1200)).when(c % 61 == 0, F.date_add(opened, 1000)).alias("closed_on"),
         (c % 5 * 10000).alias("overdraft_limit_minor"),
     )
 
@@ -275,7 +282,7 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str) -> Feeds:
-    taken = {1: FIRST_SNAPSHOT, 2: SECOND_SNAPSHOT}
+    taken = {1: FIRST_SNAPSHOT, 2: SECOND_SNAPSHOT, 3: THIRD_SNAPSHOT}
     return Feeds(
         transactions=transactions(spark, sf_dir),
         customers=tuple(Snapshot(at, customers(spark, sf_dir, n)) for n, at in taken.items()),

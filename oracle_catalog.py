@@ -72,7 +72,7 @@ PARTS["stg_people"] = """
 SELECT 'CUS-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS customer_id,
        TIMESTAMP '1995-01-01' + to_days(CAST(c_custkey % 300 AS INTEGER)) AS onboarded_at,
        DATE '1995-01-01' + CAST(c_custkey % 300 AS INTEGER) AS onboarded_on,
-       CASE WHEN snap = 2 AND c_custkey % 10 = 3 THEN 'premier' ELSE
+       CASE WHEN snap >= 2 AND c_custkey % 10 = 3 THEN 'premier' ELSE
          CASE c_mktsegment WHEN 'MACHINERY' THEN 'affluent' WHEN 'AUTOMOBILE' THEN 'premier'
                            WHEN 'FURNITURE' THEN 'student' ELSE 'mass' END END AS segment,
        c_custkey % 2 = 0 AS marketing_consent,
@@ -90,7 +90,8 @@ SELECT 'CUS-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS customer_id,
             THEN TIMESTAMP '1995-01-02' + to_days(CAST(c_custkey % 300 AS INTEGER)) END AS kyc_verified_at,
        CASE WHEN c_custkey % 33 = 0 THEN 'high' ELSE 'low' END AS kyc_risk_band,
        snap
-FROM (SELECT *, 1 AS snap FROM people_1 UNION ALL SELECT *, 2 FROM people_2)
+FROM (SELECT *, 1 AS snap FROM people_1 UNION ALL SELECT *, 2 FROM people_2
+      UNION ALL SELECT *, 3 FROM customer)
 """
 PARTS["people_now"] = """
 SELECT * EXCLUDE (snap),
@@ -102,21 +103,24 @@ SELECT * EXCLUDE (snap),
        || '","postcode":"' || postcode || '","country":"' || country || '"},"kyc":{"status":"' || kyc_status
        || '","verified_at":' || coalesce('"' || replace(CAST(kyc_verified_at AS VARCHAR), ' ', 'T') || 'Z"', 'null')
        || ',"risk_band":"' || kyc_risk_band || '"}}' AS document
-FROM stg_people WHERE snap = 2
+FROM stg_people WHERE snap = 3
 """
 PARTS["stg_acct"] = """
 SELECT 'ACC-' || c_custkey AS account_id,
        'CUS-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS customer_id,
-       CASE WHEN snap = 2 AND c_custkey % 13 = 4 THEN 'PREMIER' WHEN c_custkey % 5 = 0 THEN 'SAVER'
+       CASE WHEN snap >= 2 AND c_custkey % 13 = 4 THEN 'PREMIER' WHEN c_custkey % 5 = 0 THEN 'SAVER'
             ELSE 'CURRENT' END AS product_code,
-       'GBP' AS currency, 'open' AS status,
+       CASE WHEN c_custkey % 23 = 9 THEN 'EUR' ELSE 'GBP' END AS currency,
+       CASE WHEN snap = 3 AND c_custkey % 17 = 2 THEN 'closed' ELSE 'open' END AS status,
        DATE '1995-01-01' + CAST(c_custkey % 300 AS INTEGER) AS opened_on,
-       CASE WHEN c_custkey % 61 = 0 THEN DATE '1995-01-01' + CAST(c_custkey % 300 AS INTEGER) + 1000 END AS closed_on,
+       CASE WHEN snap = 3 AND c_custkey % 17 = 2 THEN DATE '1995-01-01' + CAST(c_custkey % 300 AS INTEGER) + 1200
+            WHEN c_custkey % 61 = 0 THEN DATE '1995-01-01' + CAST(c_custkey % 300 AS INTEGER) + 1000 END AS closed_on,
        c_custkey % 5 * 10000 AS overdraft_limit_minor,
        snap
-FROM customer CROSS JOIN (VALUES (1), (2)) AS s(snap)
+FROM customer CROSS JOIN (VALUES (1), (2), (3)) AS s(snap)
+WHERE snap <> 2 OR c_custkey % 101 <> 7
 """
-PARTS["acct_now"] = "SELECT * EXCLUDE (snap) FROM stg_acct WHERE snap = 2"
+PARTS["acct_now"] = "SELECT * EXCLUDE (snap) FROM stg_acct WHERE snap = 3"
 PARTS["stg_card"] = """
 SELECT 'CRD-' || c_custkey AS card_id, 'ACC-' || c_custkey AS account_id,
        CASE WHEN c_custkey % 7 = 0 THEN 'credit' ELSE 'debit' END AS card_type,
@@ -184,28 +188,31 @@ SELECT *, CAST(greatest(0, 100 - (20 * (dq_missing_merchant::INT + dq_orphan_car
        AS INTEGER) AS dq_score
 FROM flagged
 """
-# Two snapshots, compared directly: what changed, what went, what came.
+# A version begins where a key appears, returns or changes, and ends at the first snapshot that shows it otherwise.
+PARTS["snap_times"] = """
+SELECT * FROM (VALUES (1, TIMESTAMP '1995-06-01'), (2, TIMESTAMP '1998-07-01'), (3, TIMESTAMP '1998-12-01')) AS t(snap, taken_at)
+"""
 PARTS["people_history"] = """
-SELECT a.* EXCLUDE (snap), TIMESTAMP '1995-06-01' AS valid_from,
-       CASE WHEN b.customer_id IS NULL OR (a.segment, a.kyc_status, a.kyc_risk_band)
-                 <> (b.segment, b.kyc_status, b.kyc_risk_band) THEN TIMESTAMP '1998-07-01' END AS valid_to
-FROM (SELECT * FROM stg_people WHERE snap = 1) a
-LEFT JOIN (SELECT * FROM stg_people WHERE snap = 2) b USING (customer_id)
-UNION ALL
-SELECT b.* EXCLUDE (snap), TIMESTAMP '1998-07-01', NULL
-FROM (SELECT * FROM stg_people WHERE snap = 2) b
-LEFT JOIN (SELECT * FROM stg_people WHERE snap = 1) a USING (customer_id)
-WHERE a.customer_id IS NULL
-   OR (a.segment, a.kyc_status, a.kyc_risk_band) <> (b.segment, b.kyc_status, b.kyc_risk_band)
+SELECT p.* EXCLUDE (snap, starts, version, last_snap), s.taken_at AS valid_from, e.taken_at AS valid_to
+FROM (SELECT *, max(snap) OVER (PARTITION BY customer_id, version) AS last_snap
+      FROM (SELECT *, sum(starts) OVER (PARTITION BY customer_id ORDER BY snap) AS version
+            FROM (SELECT *, CASE WHEN lag(snap) OVER w = snap - 1 AND lag(segment) OVER w = segment AND lag(kyc_status) OVER w = kyc_status AND lag(kyc_risk_band) OVER w = kyc_risk_band
+                                 THEN 0 ELSE 1 END AS starts
+                  FROM stg_people WINDOW w AS (PARTITION BY customer_id ORDER BY snap)))) p
+JOIN snap_times s ON s.snap = p.snap
+LEFT JOIN snap_times e ON e.snap = p.last_snap + 1
+WHERE p.starts = 1
 """
 PARTS["acct_history"] = """
-SELECT a.* EXCLUDE (snap), TIMESTAMP '1995-06-01' AS valid_from,
-       CASE WHEN (a.product_code, a.status) <> (b.product_code, b.status) THEN TIMESTAMP '1998-07-01' END AS valid_to
-FROM (SELECT * FROM stg_acct WHERE snap = 1) a JOIN (SELECT * FROM stg_acct WHERE snap = 2) b USING (account_id)
-UNION ALL
-SELECT b.* EXCLUDE (snap), TIMESTAMP '1998-07-01', NULL
-FROM (SELECT * FROM stg_acct WHERE snap = 1) a JOIN (SELECT * FROM stg_acct WHERE snap = 2) b USING (account_id)
-WHERE (a.product_code, a.status) <> (b.product_code, b.status)
+SELECT p.* EXCLUDE (snap, starts, version, last_snap), s.taken_at AS valid_from, e.taken_at AS valid_to
+FROM (SELECT *, max(snap) OVER (PARTITION BY account_id, version) AS last_snap
+      FROM (SELECT *, sum(starts) OVER (PARTITION BY account_id ORDER BY snap) AS version
+            FROM (SELECT *, CASE WHEN lag(snap) OVER w = snap - 1 AND lag(product_code) OVER w = product_code AND lag(status) OVER w = status
+                                 THEN 0 ELSE 1 END AS starts
+                  FROM stg_acct WINDOW w AS (PARTITION BY account_id ORDER BY snap)))) p
+JOIN snap_times s ON s.snap = p.snap
+LEFT JOIN snap_times e ON e.snap = p.last_snap + 1
+WHERE p.starts = 1
 """
 PARTS["d_customer"] = """
 SELECT md5(customer_id || '|' || CAST(valid_from AS VARCHAR)) AS customer_key, customer_id, segment, kyc_status,
@@ -672,9 +679,9 @@ QUERIES: dict[str, str] = {
         FROM by_dimension d JOIN (VALUES ('completeness', 0.995::DOUBLE), ('consistency', 0.995), ('uniqueness', 0.999),
              ('validity', 0.999), ('accuracy', 0.999), ('timeliness', 0.99)) AS v(dimension, objective) USING (dimension)""",
     "feed_arrival": """
-        WITH c AS (SELECT 'customers' AS feed, count(*) FILTER (snap = 2) AS row_count, count(*) FILTER (snap = 1) AS previous_count
+        WITH c AS (SELECT 'customers' AS feed, count(*) FILTER (snap = 3) AS row_count, count(*) FILTER (snap = 2) AS previous_count
                    FROM stg_people UNION ALL
-                   SELECT 'accounts', count(*) FILTER (snap = 2), count(*) FILTER (snap = 1) FROM stg_acct)
+                   SELECT 'accounts', count(*) FILTER (snap = 3), count(*) FILTER (snap = 2) FROM stg_acct)
         SELECT feed, row_count, previous_count, row_count - previous_count AS change, row_count > 0 AS arrived FROM c""",
     "publish_gate": "SELECT 12::BIGINT AS checks_run, 0::BIGINT AS violations, TRUE AS publishable",
     "active_customers_30d": """
