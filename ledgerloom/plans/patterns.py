@@ -126,17 +126,16 @@ def category_month_from_agg(w: Warehouse) -> DataFrame:
 
 
 def top_merchants_per_segment(w: Warehouse, n: int = TOP_MERCHANTS) -> DataFrame:
-    """By merchant name, which several merchants may share."""
+    """By merchant name, which several merchants may share.
+
+    The fact is added up per customer and merchant before either lookup.
+    """
     rows = spend.spending(w).where((F.col("merchant_key") != UNKNOWN) & (F.col("customer_id") != UNKNOWN))
     segments = spend.current_customers(w).select("customer_id", "segment")
-    owned = rows.join(segments, "customer_id")
+    per_pair = rows.groupBy("customer_id", "merchant_key").agg(*spend.totals())
+    per_key = per_pair.join(segments, "customer_id").groupBy("segment", "merchant_key").agg(*spend.again())
     names = w.dim_merchant.select("merchant_key", "merchant_name")
-    if w.broadcastable("dim_merchant"):
-        named = owned.join(F.broadcast(names), "merchant_key")
-        per_name = named.groupBy("segment", "merchant_name").agg(*spend.totals())
-    else:
-        per_key = owned.groupBy("segment", "merchant_key").agg(*spend.totals())
-        per_name = per_key.join(names, "merchant_key").groupBy("segment", "merchant_name").agg(*spend.again())
+    per_name = per_key.join(names, "merchant_key").groupBy("segment", "merchant_name").agg(*spend.again())
     order = [F.col("spend_minor").desc_nulls_last(), F.col("merchant_name").asc()]
     return top_per_group(per_name, "segment", order, n, "rank").orderBy("segment", "rank")
 

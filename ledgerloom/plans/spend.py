@@ -52,8 +52,6 @@ def again() -> list[Column]:
 
 def by_category(w: Warehouse, rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """`txn_count` and `spend_minor` per category (and `keys`)."""
-    if w.broadcastable("dim_merchant"):
-        return category_of(rows, w.dim_merchant, small=True).groupBy(*keys, "category").agg(*totals())
     per_merchant = rows.groupBy(*keys, "merchant_key").agg(*totals())
     return category_of(per_merchant, w.dim_merchant).groupBy(*keys, "category").agg(*again())
 
