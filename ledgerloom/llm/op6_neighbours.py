@@ -29,8 +29,9 @@ DIRECTIONS = 96
 # Share of the windows a vector must fall into, and the share of a block to verify before stopping.
 COLLISIONS = 0.62
 VERIFIED = 0.12
-FIRST_RADIUS = 0.25
+FIRST_RADIUS = 0.8
 WIDEN = 1.15
+ROUNDS = 12
 BLOCK_VECTORS = 8_192
 BLOCK_QUERIES = 4_096
 SEED = 20
@@ -58,25 +59,29 @@ def search(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: in
     arrays = np.take_along_axis(x_at.T, order, axis=1)
     enough = max(k + 1, int(VERIFIED * n))
     needed = int(COLLISIONS * DIRECTIONS)
+    # The last radius covers every array whole, so each query ends with all vectors counted at the latest.
+    radii = FIRST_RADIUS * WIDEN ** np.arange(ROUNDS)
+    radii[-1] = np.abs(x_at).max() + np.abs(q_at).max() + 1
+    edges = [
+        (a.searchsorted(p[:, None] - radii, "left"), a.searchsorted(p[:, None] + radii, "right"))
+        for a, p in zip(arrays, q_at.T, strict=True)
+    ]
+    lows, highs = (np.stack([e[side] for e in edges], axis=-1) for side in (0, 1))  # query, round, direction
     out: list[tuple[np.ndarray, ...]] = []
-    count = np.empty(n, dtype=np.int16)
+    count = np.empty(n, dtype=np.int64)
     for i in range(len(q)):
         count[:] = 0
-        low = np.array([a.searchsorted(p) for a, p in zip(arrays, q_at[i], strict=True)])
-        high = low.copy()
-        radius = FIRST_RADIUS
-        while True:
-            for j in range(DIRECTIONS):
-                a = arrays[j]
-                begin = a.searchsorted(q_at[i, j] - radius, "left")
-                end = a.searchsorted(q_at[i, j] + radius, "right")
-                count[order[j, begin : low[j]]] += 1
-                count[order[j, high[j] : end]] += 1
-                low[j], high[j] = begin, end
+        for r in range(ROUNDS):
+            low, high = lows[i, r].tolist(), highs[i, r].tolist()
+            if r == 0:
+                fresh = [order[j, a:b] for j, (a, b) in enumerate(zip(low, high, strict=True))]
+            else:
+                past = zip(low, high, lows[i, r - 1].tolist(), highs[i, r - 1].tolist(), strict=True)
+                fresh = [order[j, c:d] for j, (a, b, e, f) in enumerate(past) for c, d in ((a, e), (f, b))]
+            count += np.bincount(np.concatenate(fresh), minlength=n)
             near = np.flatnonzero(count >= needed)
-            if len(near) >= enough or (low == 0).all() and (high == n).all():
+            if len(near) >= enough:
                 break
-            radius *= WIDEN
         near = near[ids[near] != own[i]]
         cosine = (x[near] @ q[i]) / (x_norm[near] * q_norm[i])
         best = np.lexsort((ids[near], -cosine))[:k]
