@@ -26,9 +26,10 @@ from ledgerloom.llm.shared import staged
 NEIGHBOURS = 5
 QUERY_STEP = 50
 DIRECTIONS = 96
-# Share of the windows a vector must fall into, and the share of a block to verify before stopping.
+# Share of the windows a vector must fall into; what to verify before stopping, as a share of a block and at least.
 COLLISIONS = 0.62
 VERIFIED = 0.12
+LEAST_VERIFIED = 600
 FIRST_RADIUS = 0.8
 WIDEN = 1.15
 ROUNDS = 12
@@ -57,7 +58,7 @@ def search(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: in
     x_at, q_at = (x / x_norm[:, None]) @ directions, (q / q_norm[:, None]) @ directions
     order = np.argsort(x_at, axis=0, kind="stable").T.copy()
     arrays = np.take_along_axis(x_at.T, order, axis=1)
-    enough = max(k + 1, int(VERIFIED * n))
+    enough = min(n, max(k + 1, int(VERIFIED * n), LEAST_VERIFIED))
     needed = int(COLLISIONS * DIRECTIONS)
     # The last radius covers every array whole, so each query ends with all vectors counted at the latest.
     radii = FIRST_RADIUS * WIDEN ** np.arange(ROUNDS)
