@@ -3,7 +3,8 @@
 Each 400-byte string holds an anchor chosen by content alone, so two equal strings meet at equal anchors.
 Anchors are counted first. Where the whole stretch of bytes that an anchor's strings can cover occurs
 twice, all of it is repeated and nothing is left to compare. Otherwise the stretch is one of four cores of
-304 bytes plus up to 96 bytes on either side, and occurrences meet per core. There the suffixes that begin
+304 bytes plus up to 96 bytes on either side, and occurrences meet per core, told apart by a 128-bit digest
+of its bytes. There the suffixes that begin
 with the core are sorted, and the core's interval of the Burrows-Wheeler order is extended backward breadth
 first, one byte per level: a stable sort by the preceding byte maps every interval to its extensions. With
 `a` bytes before the core, neighbours in one interval whose common prefix still covers the other
@@ -42,7 +43,11 @@ def _raw(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
-_ANCHOR_ROWS = "doc_id long, row long, place long, size long, anchor long, stretch long, cores array<long>"
+_ANCHOR_ROWS = "doc_id long, row long, place long, size long, anchor long, stretch long, cores array<binary>"
+
+
+def core_digest(core: bytes, which: int) -> bytes:
+    return xxhash.xxh3_128_digest(core, which)
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,7 +56,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for begin in range(0, big.num_rows, _TEXT_BATCH):
             batch = big.slice(begin, _TEXT_BATCH)
             owner, places, sizes, hashes, stretches = [], [], [], [], []
-            cores: list[list[int]] = []
+            cores: list[list[bytes | None]] = []
             for i, text in enumerate(batch.column("text")):
                 raw = _raw(text.as_py())
                 at, h = anchors(raw)
@@ -64,9 +69,9 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     stretches.append(digest(raw[low : p + LENGTH], p - low))
                     cores.append(
                         [
-                            # Short hashes: they only part occurrences of one anchor, bytes decide.
-                            digest(raw[p - left : p + right]) >> 33 if left <= p <= len(raw) - right else -1
-                            for left, right in CORES
+                            # All 128 bits: equal digests stand for equal cores from here on.
+                            core_digest(raw[p - left : p + right], which) if left <= p <= len(raw) - right else None
+                            for which, (left, right) in enumerate(CORES)
                         ]
                     )
             if owner:
@@ -77,7 +82,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         pa.array(np.concatenate(places)), pa.array(sizes, pa.int64()),
                         pa.array(np.concatenate(hashes).view(np.int64)),
                         pa.array(np.array(stretches, dtype=np.uint64).view(np.int64)),
-                        pa.array(cores, pa.list_(pa.int64())),
+                        pa.array(cores, pa.list_(pa.binary())),
                     ],
                     ["doc_id", "row", "place", "size", "anchor", "stretch", "cores"],
                 )
@@ -105,15 +110,14 @@ def core_members(hits: DataFrame) -> DataFrame:
     )
     placed = one.select(
         "anchor", (F.col("n") == 1).alias("open"), "at.doc_id", "at.row", "at.place",
-        F.posexplode("at.cores").alias("which", "hash"),
-    ).where("hash >= 0")
-    placed = placed.select("*", F.xxhash64("anchor", "which", "hash").alias("core"))
+        F.posexplode("at.cores").alias("which", "core"),
+    ).where("core IS NOT NULL")
     placed = staged(placed.select("doc_id", "row", "place", "which", "core", "open"), "cores")
     met = placed.groupBy("core").agg(F.count("*").alias("members"), F.max("open").alias("any_open"))
     return placed.join(staged(met.where("members > 1 AND any_open").drop("any_open"), "met"), "core")
 
 
-_SIDES = "core long, members long, open boolean, doc_id long, row long, first long, lefts binary, rights binary"
+_SIDES = "core binary, members long, open boolean, doc_id long, row long, first long, lefts binary, rights binary"
 
 
 def _cut_sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,7 +200,8 @@ def _extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Whole cores at a time; the rows come sorted by core."""
 
     def solved(rows: pd.DataFrame) -> pd.DataFrame:
-        found = repeated_levels(rows["core"].to_numpy(), rows["lefts"].tolist(), rows["rights"].tolist())
+        core, _ = pd.factorize(rows["core"])
+        found = repeated_levels(core, rows["lefts"].tolist(), rows["rights"].tolist())
         found &= rows["open"].to_numpy(dtype=bool)[:, None]
         member, low, high = _stretches(found, rows["first"].to_numpy())
         return pd.DataFrame(
@@ -211,7 +216,8 @@ def _extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if waiting < _BLOCK:
             continue
         rows = pd.concat(rest, ignore_index=True)
-        last = rows["core"].to_numpy() == rows["core"].iloc[-1]
+        core, _ = pd.factorize(rows["core"])
+        last = core == core[-1]
         if not last.all():
             yield solved(rows[~last].reset_index(drop=True))
         rest, waiting = [rows[last]], int(last.sum())
@@ -219,7 +225,7 @@ def _extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield solved(pd.concat(rest, ignore_index=True))
 
 
-_HASHED = "core long, level int, hash long, doc_id long, row long, first long, open boolean"
+_HASHED = "core binary, level int, hash long, doc_id long, row long, first long, open boolean"
 
 
 def _hash_levels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import components, op6_neighbours, op8_simhash, op10_substrings
+from ledgerloom.llm import anchors, components, op6_neighbours, op8_simhash, op10_substrings
 
 
 def plain_simhash(text):
@@ -129,6 +129,25 @@ def test_repeated_strings_of_crafted_texts(spark, monkeypatch, members):
     assert sorted(map(tuple, got), key=str) == plain_repeats(rows)
 
 
+def test_cores_with_equal_short_digests_are_not_equal_strings(spark):
+    """A passage under 400 bytes behind contexts whose cores agree in the top 31 bits of a 64-bit digest."""
+    rng = random.Random(11)
+    pool = "".join(rng.choice("abcdefghijklmnop") for _ in range(400_000))
+    at = int(np.argmin(anchors.gram_hashes(pool.encode())))
+    passage = (pool + pool)[at : at + 150]
+    before, rows = {}, []
+    for k in range(400_000):
+        context = hashlib.shake_128(str(k).encode()).hexdigest(150)
+        short = xxhash.xxh3_64_intdigest((context[-288:] + passage[:16]).encode()) >> 33
+        if short in before:
+            rows += [(len(rows), before[short] + passage), (len(rows) + 1, context + passage)]
+        before[short] = context
+    assert len(rows) >= 10
+    got = op10_substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["n_removed"] == 0 for r in got)
+    assert sorted(map(tuple, got), key=str) == plain_repeats(rows)
+
+
 def test_repeated_strings_of_real_odd_and_empty_tables(small, odd, empty):
     for table in (small, odd.where("doc_id IS DISTINCT FROM 7")):
         rows = [tuple(r) for r in table.select("doc_id", "text").collect()]
