@@ -6,8 +6,9 @@ terminals. Blocks that follow each other, and blocks in one container, are joine
 capacity falls with the DOM distance. The minimum cut (Dinic's maximum flow) parts content from the rest.
 
 Null and empty pages have an empty text. Character references are decoded, white space inside a block
-becomes one space, blocks are joined by one space in page order. Unclosed elements, comments and quotes
-end where the page does. Repeated rows get equal texts; other columns are not read.
+becomes one space, blocks are joined by one space in page order. Comments, quotes and raw-text elements
+without end run to the end of the page; other silent elements without end tag run to the next block tag, so
+the text after them stays. Repeated rows get equal texts; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 
 # Element names and the words of class and id attributes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template title svg math iframe object select textarea button head".split())
+SILENT = frozenset("script style noscript template title svg iframe object select textarea button".split())
+RAW_TEXT = frozenset("script style textarea title".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table "
@@ -51,7 +53,6 @@ _TAG = re.compile(
 )
 _NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 
 
 @dataclass
@@ -68,15 +69,54 @@ def _verdict(name: str, attributes: str) -> int:
     words = {w.lower() for m in _NAMED.finditer(attributes) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")}
     if words & COMMENT_WORDS:
         return 2
-    if name in NOT_CONTENT or words & BAD_WORDS or _HIDDEN.search(attributes):
+    if name in NOT_CONTENT or words & BAD_WORDS:
         return -1
     return 1 if name in CONTENT or words & GOOD_WORDS else 0
 
 
+def _raw_end(page: str, name: str, at: int) -> int:
+    end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def _silent_end(page: str, name: str, at: int) -> int:
+    """Where a silent element ends: behind its end tag if that comes before the end of the block around it.
+
+    Without one it ends at the first block tag.
+    """
+    depth = 1
+    inside: list[str] = []
+    boundary = -1
+    while tag := _TAG.search(page, at):
+        at = tag.end()
+        found = (tag[2] or tag[5] or "").lower()
+        if found in BLOCKS and boundary < 0:
+            boundary = tag.start()
+        if tag[1] or tag[4]:
+            if found == name:
+                depth -= 1
+                if not depth:
+                    return at
+            elif found in inside:
+                while inside.pop() != found:
+                    pass
+            elif found in BLOCKS:
+                break
+        elif not (tag[3] or tag[6] or "").endswith("/"):
+            if found == name:
+                depth += 1
+            elif found in RAW_TEXT:
+                at = _raw_end(page, found, at)
+            elif found in BLOCKS and found not in VOID:
+                inside.append(found)
+    return boundary if boundary >= 0 else len(page)
+
+
 def read_blocks(page: str) -> list[Block]:
     """Text blocks in page order with the block elements around them, innermost last."""
     blocks: list[Block] = []
     stack: list[tuple[str, int, int]] = []
+    last_end: dict[str, int] = {}
     current = Block()
     serial = links = at = 0
 
@@ -98,6 +138,16 @@ def read_blocks(page: str) -> list[Block]:
             if links:
                 current.linked += len(text.strip())
 
+    def next_block(at: int) -> int:
+        while tag := _TAG.search(page, at):
+            name = (tag[2] or tag[5] or "").lower()
+            if name in BLOCKS:
+                return tag.start()
+            at = tag.end()
+            if name in RAW_TEXT and not (tag[1] or tag[4]):
+                at = _raw_end(page, name, at)
+        return len(page)
+
     while True:
         tag = _TAG.search(page, at)
         say(page[at : tag.start()] if tag else page[at:])
@@ -105,7 +155,7 @@ def read_blocks(page: str) -> list[Block]:
             break
         at = tag.end()
         name = (tag[2] or tag[5] or "").lower()
-        if not name:
+        if not name or name == "head":  # what a head holds is silent by itself, and its end tag may be left out
             continue
         if name == "br":
             current.pieces.append(" ")
@@ -123,8 +173,15 @@ def read_blocks(page: str) -> list[Block]:
         attributes = tag[3] or tag[6] or ""
         if name in SILENT:
             if not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                if name in RAW_TEXT:
+                    at = _raw_end(page, name, at)
+                else:
+                    if name not in last_end:
+                        last_end[name] = page.lower().rfind(f"</{name}")
+                    if last_end[name] >= at:
+                        at = _silent_end(page, name, at)
+                    else:
+                        at = next_block(at)
             continue
         if name in BLOCKS:
             close()

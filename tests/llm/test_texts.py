@@ -135,6 +135,28 @@ def test_hard_pages():
         op2_extract.main_text(broken)
 
 
+def test_left_out_end_tags():
+    one, two = "The first sentence of the story.", "The second sentence of the story."
+    story = f"<article><p>{one}</p><p>{two}</p></article>"
+    whole = f"{one} {two}"
+    script = "<script>var x = '<body><div>';</script>"
+    assert op2_extract.main_text(f"<html><head><title>T</title>{script}<body>{story}") == whole
+    assert op2_extract.main_text(f"<head><title>T</title><meta name=a>{story}") == whole
+    assert op2_extract.main_text(f"<html><head><title>T</title></head><body>{story}</body></html>") == whole
+    for name in ("button", "svg", "object", "iframe", "select", "noscript", "template"):
+        for page in (
+            f"<article><p>{one}<{name}>Silent</p><p>{two}</p></article>",
+            f"<article><p>{one}<{name}>Silent<p>{two}</article>",
+            f"<article><p>{one}<{name}>Silent</p><p>{two}</p></article><footer><{name}>Save</{name}></footer>",
+            f"<article><p>{one}</p><{name}><div>Silent</div></{name}><p>{two}</p></article>",
+            f"<article><{name}>Silent<p>{one}</p><p>{two}</p></article>",
+        ):
+            assert op2_extract.main_text(page) == whole, page
+    assert op2_extract.main_text(f"<article><p>{one}</p><script>var silent;<p>{two}</p></article>") == one
+    kept = f"<article><p>{one} <math><mi>x</mi></math></p><p hidden>{two}</p><p style='display:none'>End.</p></article>"
+    assert op2_extract.main_text(kept) == f"{one} x {two} End."
+
+
 def test_cut_against_all_labellings():
     rng = np.random.default_rng(1)
     for _ in range(40):
