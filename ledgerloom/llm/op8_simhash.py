@@ -146,20 +146,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return found.select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def one_of_each_group(documents: DataFrame) -> DataFrame:
-    """The documents with one row of each group: its smallest id, then the smallest text hash.
+def keyed_by_text(documents: DataFrame) -> DataFrame:
+    return documents.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()))
 
-    A group without any id keeps the row of the smallest text hash; of identical rows one stays.
-    """
-    keyed = documents.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()))
-    prints = staged(
-        keyed.select("doc_id", "_text_hash", fingerprint(F.col("text")).alias("fp")).distinct(), "simhash-rows"
-    )
+
+def rows_of_first(documents: DataFrame, keyed: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The rows of the first `(doc_id, _text_hash)` of each root."""
     # Structs order nulls first; an id that exists goes before one that does not.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text_hash"))
     kept = (
-        prints.join(groups(prints).select("fp", "root"), "fp")
-        .groupBy("root")
+        rooted.groupBy("root")
         .agg(first.alias("first"))
         .select(F.col("first.doc_id").alias("_kept_id"), F.col("first._text_hash").alias("_kept_hash"))
     )
@@ -167,3 +163,15 @@ def one_of_each_group(documents: DataFrame) -> DataFrame:
         kept, keyed["doc_id"].eqNullSafe(kept["_kept_id"]) & (keyed["_text_hash"] == kept["_kept_hash"]), "left_semi"
     )
     return rows.dropDuplicates(["doc_id", "_text_hash"]).select(*documents.columns)
+
+
+def one_of_each_group(documents: DataFrame) -> DataFrame:
+    """The documents with one row of each group: its smallest id, then the smallest text hash.
+
+    A group without any id keeps the row of the smallest text hash; of identical rows one stays.
+    """
+    keyed = keyed_by_text(documents)
+    prints = staged(
+        keyed.select("doc_id", "_text_hash", fingerprint(F.col("text")).alias("fp")).distinct(), "simhash-rows"
+    )
+    return rows_of_first(documents, keyed, prints.join(groups(prints).select("fp", "root"), "fp"))

@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerloom.llm import anchors, components, op6_neighbours, op8_simhash, op10_substrings
 
 
@@ -92,6 +93,43 @@ def test_simhash_of_odd_and_empty_tables(odd, empty):
     assert op8_simhash.one_of_each_group(empty).count() == 0
 
 
+def plain_similar_kept(texts):
+    """Smallest id of every component of texts whose five-word shingles have a Jaccard similarity of 0.8."""
+    sets = {}
+    for i, t in texts.items():
+        ws = (t or "").lower().split()
+        sets[i] = {tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))} if ws else set()
+    home = {i: i for i in texts}
+
+    def root(i):
+        while home[i] != i:
+            i = home[i]
+        return i
+
+    for a in sorted(sets):
+        for b in sets:
+            if a < b:
+                shared, both = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+                if 5 * shared >= 4 * both:
+                    x, y = root(a), root(b)
+                    home[max(x, y)] = min(x, y)
+    return {i for i in texts if root(i) == i}
+
+
+def test_pipeline_near_dedup_finds_every_similar_pair(spark, small):
+    stage = dict(corpus_pipeline.STAGES)["simhash near-dedup"]
+    texts = {r["doc_id"]: r["text"] for r in small.select("doc_id", "text").collect()}
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(5_000)}" for _ in range(104)]
+    for k in range(60):
+        words = [*base, *(f"t{k}x{i}" for i in range(rng.choice([0, 8, 24, 25, 26, 40])))]
+        words[rng.randrange(104)] = f"e{k}"
+        texts[1_000_000 + k] = " ".join(words)
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = [r["doc_id"] for r in stage(spark, table, "").collect()]
+    assert sorted(got) == sorted(plain_similar_kept(texts))
+
+
 def plain_repeats(rows):
     seen = Counter()
     raws = [(i, (t or "").encode()) for i, t in rows]
