@@ -17,6 +17,8 @@ from ledgerloom.llm import (
     op8_simhash,
     op9_nbsvm,
     op10_substrings,
+    op12_circulant,
+    op13_audit,
 )
 from ledgerloom.llm.shared import table
 
@@ -35,6 +37,10 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_nbsvm.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": _over("documents", op1_sentencepiece.encoded),
     "op2_extract": _over("pages", op2_extract.main_texts),
@@ -46,6 +52,11 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": _over("documents", op8_simhash.near_duplicates),
     "op9_nbsvm": _op9,
     "op10_substrings": _over("documents", op10_substrings.without_repeats),
+    "op12_circulant": _over("documents", op12_circulant.near_duplicates),
+    "op13_audit": _op13,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_circulant": op12_circulant.ORACLE_SQL,
+    "op13_audit": op13_audit.ORACLE_SQL,
+}
