@@ -10,7 +10,7 @@ Equal sets are one node. Nodes that share a band propose to few others, never to
    connected to it; a group of near copies is held together by one check a member;
  - the pairs of a band that are still unconnected after that are checked one by one, so no link is lost.
 Before sets are fetched, a pair must be near enough in size for the bound (exact), and its signatures,
-kept as one bit a coordinate, must agree in `LEAST_AGREEING` places, seven standard deviations below what
+kept as four bits a coordinate, must agree in `LEAST_AGREEING` places, seven standard deviations below what
 the bound makes expected. Links are then confirmed on the whole sets, in whole numbers.
 
 A text with fewer words than a shingle has its whole sequence as its one shingle; null, empty and blank
@@ -37,8 +37,8 @@ from ledgerloom.llm.shared import staged, text_or_empty
 PART, WHOLE = 80, 100
 BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
-# At similarity J a kept bit agrees with probability (1 + J) / 2: 115 of 128 at the bound, spread 3.4.
-LEAST_AGREEING = 91
+# At similarity J four kept bits agree with probability J + (1 - J) / 16: 104 of 128 at the bound, spread 4.4.
+LEAST_AGREEING = 73
 STAR_ROUNDS = 2
 _CHUNK = 1 << 16
 _U32, _U64 = np.uint32, np.uint64
@@ -120,7 +120,7 @@ def _digest(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def sketched(documents: DataFrame, width: int) -> DataFrame:
-    """Adds `n_shingles`, the digest `(hi, lo)` of the set, its band keys and two words of signature bits.
+    """Adds `n_shingles`, the digest `(hi, lo)` of the set, its band keys and its signature at four bits a coordinate.
 
     Expects `text` without nulls; passes the other columns on and drops the text.
     """
@@ -133,7 +133,8 @@ def sketched(documents: DataFrame, width: int) -> DataFrame:
             some = [i for i, s in enumerate(sets) if len(s)]
             signed = signatures([sets[i] for i in some])
             keys = band_keys(signed)
-            bits = np.packbits((signed & _U32(1)).astype(bool), axis=1).view(np.int64).reshape(len(some), -1)
+            low = (signed & _U32(15)).astype(np.uint8)
+            bits = np.ascontiguousarray(low[:, ::2] << 4 | low[:, 1::2]).view(np.int64).reshape(len(some), -1)
             digests = [_digest(s) if len(s) else (None, None) for s in sets]
             out = batch[passed].copy()
             out["n_shingles"] = [len(s) for s in sets]
@@ -157,7 +158,12 @@ def similar_size(a: Column, b: Column, bound: tuple[int, int]) -> Column:
 
 
 def similar_signature(a: Column, b: Column) -> Column:
-    differing = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(COORDINATES // 64)), F.lit(0))
+    differing = F.lit(0)
+    for i in range(COORDINATES // 16):
+        x = a[i].bitwiseXOR(b[i])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))  # the last bit of each four says whether any of them differs
+        differing = differing + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
     return differing <= COORDINATES - LEAST_AGREEING
 
 
@@ -232,18 +238,32 @@ def _remaining(open_: DataFrame, bound: tuple[int, int]) -> DataFrame:
     return met.select(F.least("set_id", "v").alias("u"), F.greatest("set_id", "v").alias("v"))
 
 
-def similar_sets(sets: DataFrame, keyed: DataFrame, width: int, bound: tuple[int, int] = (PART, WHOLE)) -> DataFrame:
+def similar_sets(
+    sets: DataFrame,
+    keyed: DataFrame,
+    width: int,
+    bound: tuple[int, int] = (PART, WHOLE),
+    proposed: DataFrame | None = None,
+) -> DataFrame:
     """Links between distinct sets, as `(u, v)`: every non-smallest set id with the smallest it reaches.
 
     `sets` has one row a set: `set_id`, `n_shingles`, `bands`, `bits` and its home `(doc_id, text_hash)`;
-    `keyed` has the texts as `(doc_id, text_hash, text)`.
+    `keyed` has the texts as `(doc_id, text_hash, text)`. Pairs `(u, v)` of set ids that are `proposed` are
+    checked before any band is looked at.
     """
-    placed = sets.select("set_id", "n_shingles", "bits", F.explode("bands").alias("key"))
+    placed = sets.select("set_id", F.explode("bands").alias("key"))
     shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    postings = staged(placed.join(shared, "key", "left_semi"), "postings")
-    near = sets.join(postings.select("set_id").distinct(), "set_id", "left_semi")
+    met = placed.join(shared, "key", "left_semi")
+    postings = staged(met.join(sets.select("set_id", "n_shingles", "bits"), "set_id"), "postings")
+    named = postings.select("set_id")
+    if proposed is not None:
+        named = named.unionByName(proposed.select(F.explode(F.array("u", "v")).alias("set_id")))
+    near = sets.join(named.distinct(), "set_id", "left_semi")
     arrays = staged(shingle_arrays(near.select("set_id", "doc_id", "text_hash"), keyed, width), "shingles")
     links, roots = None, None
+    if proposed is not None:
+        links = staged(confirmed(proposed.distinct(), arrays, bound), "similar")
+        roots = connected_components(links)
     for step in range(STAR_ROUNDS + 1):
         open_ = staged(_rooted(postings, roots), "open")
         pairs = _centred(open_, step, bound) if step < STAR_ROUNDS else _remaining(open_, bound)
@@ -254,13 +274,17 @@ def similar_sets(sets: DataFrame, keyed: DataFrame, width: int, bound: tuple[int
 
 
 def text_rows(documents: DataFrame) -> DataFrame:
-    text = text_or_empty()
-    return documents.select("doc_id", F.xxhash64(text, F.md5(F.encode(text, "UTF-8"))).alias("text_hash"), text.alias("text"))
+    return documents.select("doc_id", text_hash().alias("text_hash"), text_or_empty().alias("text"))
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.md5(F.encode(text_or_empty(), "UTF-8")), F.col("text").isNull())
 
 
 def distinct_sets(sketches: DataFrame) -> DataFrame:
     """One row a non-empty set, with a number that holds once the rows are written."""
-    home = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n_shingles", "bits", "bands")
+    others = [c for c in sketches.columns if c not in ("doc_id", "text_hash", "hi", "lo")]
+    home = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", *others)
     one = sketches.where("n_shingles > 0").groupBy("hi", "lo").agg(F.min(home).alias("home"))
     named = one.select("hi", "lo", "home.*").drop("none")
     return staged(named.withColumn("set_id", F.monotonically_increasing_id()), "sets")
