@@ -422,15 +422,16 @@ WITH pieces AS (
 ), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
 places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE len(w) > 0),
 grams AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase FROM places CROSS JOIN range(1, 5) r(k) WHERE i + k - 1 <= len(w)),
-f AS (SELECT lang, k AS size, phrase, count(*) AS f FROM grams GROUP BY ALL),
+f AS (SELECT lang, k AS size, phrase, concat(lang, chr(10), phrase) AS name, count(*) AS f FROM grams GROUP BY ALL),
 totals AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
 candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 30),
-cuts AS (
-    SELECT c.lang, c.size, c.phrase, c.a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f + r.f) AS score
-    FROM candidates c CROSS JOIN range(1, 4) t(k)
-    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : k], ' ')
-    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1 :], ' ')
-    WHERE k < c.size
+parts AS (
+    SELECT lang, phrase, a, k, concat(lang, chr(10), array_to_string(w[1 : k], ' ')) AS head,
+           concat(lang, chr(10), array_to_string(w[k + 1 :], ' ')) AS tail
+    FROM candidates CROSS JOIN range(1, 4) t(k) WHERE k < size
+), cuts AS (
+    SELECT p.lang, p.phrase, a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f) AS score
+    FROM parts p JOIN f l ON l.name = head JOIN f r ON r.name = tail
 ), worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 inside AS (
     SELECT lang, a, array_to_string(w[s : s + n - 1], ' ') AS phrase

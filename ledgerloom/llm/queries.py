@@ -17,6 +17,7 @@ from ledgerloom.llm import (
     op8_simhash,
     op9_nbsvm,
     op10_substrings,
+    op11_collocations,
     op12_circulant,
     op13_audit,
 )
@@ -52,11 +53,13 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": _over("documents", op8_simhash.near_duplicates),
     "op9_nbsvm": _op9,
     "op10_substrings": _over("documents", op10_substrings.without_repeats),
+    "op11_collocations": _over("documents", op11_collocations.collocations),
     "op12_circulant": _over("documents", op12_circulant.near_duplicates),
     "op13_audit": _op13,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_collocations": op11_collocations.ORACLE_SQL,
     "op12_circulant": op12_circulant.ORACLE_SQL,
     "op13_audit": op13_audit.ORACLE_SQL,
 }
