@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import op1_sentencepiece, op3_mix, op5_pii, op7_toxicity, shingle_sets
+from ledgerloom.llm import near_dedup, op1_sentencepiece, op3_mix, op5_pii, op7_toxicity
 from ledgerloom.llm.shared import staged, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,7 +18,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
-    ("simhash near-dedup", lambda spark, docs, sf_dir: shingle_sets.one_of_each_group(docs)),
+    ("simhash near-dedup", lambda spark, docs, sf_dir: near_dedup.one_of_each_group(docs)),
     ("pii", lambda spark, docs, sf_dir: op5_pii.redact_documents(docs)),
     ("mixing", lambda spark, docs, sf_dir: op3_mix.mixed_documents(docs)),
     ("sentencepiece", lambda spark, docs, sf_dir: op1_sentencepiece.encode_documents(docs)),
