@@ -1,10 +1,18 @@
 """Toxicity by compression distance.
 
-Two raw-content zstandard dictionaries are trained: one on ordinary text, one that also holds what
-toxic text has and ordinary text lacks. Every text is cut into windows of a few words, each window is
+Two raw-content zstandard dictionaries are trained: one on ordinary text, one that holds in front of the
+same content what toxic text has and ordinary text lacks: a dictionary trained on the words whose share of
+toxic texts stands out. (Dictionaries trained on the whole texts of each class find 0.3 of the toxic texts of
+sf0.1 at 4 % of the clean ones: what both classes share fills them, and its chance differences drown the
+rest.) Every text is cut into windows of a few words, each window is
 compressed with both, and the difference in length is the window's gain. A document's evidence is the
-sum over all its windows of the log-likelihood ratio of their gains. The evidence that parts the labelled
-sample best (F1 at the true class shares) is calibrated to the score 0.3, the decision threshold.
+sum over all its windows of the log-likelihood ratio of their gains, measured on texts that the dictionaries
+have not seen. The evidence that parts the labelled sample best (F measure at the true class shares) is
+calibrated to the score 0.3, the decision threshold.
+
+Fitted on at most `SAMPLE_PER_CLASS` texts of each class of at most `SAMPLE_CHARS` characters, chosen by a hash
+of the id; the ordinary dictionary on at most 40,000 evenly spaced pieces of 256 bytes of those. Scores cover
+all rows and whole texts.
 
 Null and empty texts have one empty window and get a score like any other. Repeated rows get equal
 scores. Without rows of both classes the score is the smoothed share of label 1 (0.5 if unlabelled).
@@ -21,7 +29,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +46,8 @@ TOXIC_BYTES = 2_048
 TERM_Z = 5.0
 THRESHOLD = 0.3
 FOLDS = 3
+# How much more a missed toxic text counts than a clean one called toxic, when the threshold is set.
+RECALL_WEIGHT = 1.5
 GAIN_LOW, GAIN_HIGH = -6, 12
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -77,24 +86,6 @@ def gains(text: str, ordinary: zstandard.ZstdCompressor, toxic: zstandard.ZstdCo
     return np.clip(saved, GAIN_LOW, GAIN_HIGH) - GAIN_LOW
 
 
-def _minhashes(text: str) -> list[int]:
-    words = _WORD.findall(text.lower())
-    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))]
-    return [min(h * m % 2**64 for h in hashes) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-
-
-def without_copies(sample: list[tuple[str, int]]) -> list[tuple[str, int]]:
-    """Near copies would make chance words of one text look like a habit of its class."""
-    seen: set[tuple[int, int]] = set()
-    kept = []
-    for text, label in sample:
-        keys = [(label, h) for h in _minhashes(text)]
-        if not any(k in seen for k in keys):
-            seen.update(keys)
-            kept.append((text, label))
-    return kept
-
-
 def toxic_terms(toxic: list[str], ordinary: list[str]) -> list[str]:
     """Words that set toxic texts apart, the strongest first."""
     if not toxic or not ordinary:
@@ -154,16 +145,15 @@ def fit(sample: list[tuple[str, int]], share: float) -> Model:
     """`share` is the share of label 1 among all training labels, not in the sample."""
     share = min(max(share, 1e-6), 1 - 1e-6)
     prior = math.log(share / (1 - share))
-    kept = without_copies(sample)
-    toxic, ordinary = [t for t, y in kept if y == 1], [t for t, y in kept if y == 0]
+    toxic, ordinary = [t for t, y in sample if y == 1], [t for t, y in sample if y == 0]
     if not toxic or not ordinary:
         return Model(b" ", b" ", (0.0,) * (GAIN_HIGH - GAIN_LOW + 1), 0.0, prior)
     measured = []
     for fold in range(FOLDS):  # gains of texts that the dictionaries have not seen
-        rest = [r for i, r in enumerate(kept) if i % FOLDS != fold]
+        rest = [r for i, r in enumerate(sample) if i % FOLDS != fold]
         pair = dictionaries([t for t, y in rest if y == 1], [t for t, y in rest if y == 0])
         one, two = compressor(pair[0]), compressor(pair[1])
-        measured += [(gains(t, one, two), y) for i, (t, y) in enumerate(kept) if i % FOLDS == fold]
+        measured += [(gains(t, one, two), y) for i, (t, y) in enumerate(sample) if i % FOLDS == fold]
     counts = np.full((2, GAIN_HIGH - GAIN_LOW + 1), 0.5)
     for g, y in measured:
         np.add.at(counts[y], g, 1)
@@ -177,14 +167,15 @@ def fit(sample: list[tuple[str, int]], share: float) -> Model:
 
 
 def best_cut(x: np.ndarray, y: np.ndarray, share: float) -> float:
-    """The value from which calling a text toxic has the best F1, if `share` of all texts are toxic."""
+    """The value from which calling a text toxic has the best F measure, if `share` of all texts are toxic."""
     weight = np.where(y == 1, share / (y == 1).sum(), (1 - share) / (y == 0).sum())
     order = np.argsort(-x, kind="stable")
     right = np.cumsum((weight * y)[order])
     called = np.cumsum(weight[order])
-    f1 = 2 * right / (called + share)
+    beta = RECALL_WEIGHT**2
+    measure = (1 + beta) * right / (called + beta * share)
     ends = np.append(np.diff(x[order]) != 0, True)  # equal values fall on one side
-    best = int(np.argmax(np.where(ends, f1, -1)))
+    best = int(np.argmax(np.where(ends, measure, -1)))
     below = x[order][best + 1] if best + 1 < len(x) else x[order][best] - 1
     return float((x[order][best] + below) / 2)
 
