@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.shared import staged
 
 LONGEST = 4
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
+# Words of a block that one row carries.
+ROW_WORDS = 4096
 # Words of the corpus per slab: a bound on the counters of a slab, but for one counter a block of each phrase.
 SLAB_TOKENS = 1 << 20
 _U64 = np.uint64
@@ -64,18 +66,20 @@ class _Block:
         self.tokens.extend([numbers[w] for w in plain.split(b" ") if w])
         self.tokens.append(0)
 
-    def row(self) -> pd.DataFrame:
+    def rows(self) -> Iterator[pd.DataFrame]:
+        """The words in some rows, numbered from `first`, and the tokens in one more."""
+        name = uuid.uuid4().hex
         tokens = np.array(self.tokens, dtype="<u4")
         counts = np.bincount(tokens, minlength=len(self.words) + 1)[1:]
-        return pd.DataFrame(
-            {
-                "block": [uuid.uuid4().hex],
-                "langs": [self.langs],
-                "words": [self.words],
-                "counts": [counts],
-                "tokens": [tokens.tobytes()],
-            }
-        )
+        for i in range(0, len(self.words), ROW_WORDS):
+            part = slice(i, i + ROW_WORDS)
+            yield self._row(name, i + 1, self.langs[part], self.words[part], counts[part], None)
+        yield self._row(name, 0, [], [], [], tokens.tobytes())
+
+    @staticmethod
+    def _row(block: str, first: int, langs, words, counts, tokens: bytes | None) -> pd.DataFrame:
+        columns = {"block": block, "first": first, "langs": langs, "words": words, "counts": counts, "tokens": tokens}
+        return pd.DataFrame({name: [value] for name, value in columns.items()})
 
 
 class _Numbers(dict):
@@ -97,13 +101,13 @@ def coded_blocks(documents: DataFrame) -> DataFrame:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
                 block.add(lang, text)
                 if len(block.tokens) >= BLOCK_TOKENS:
-                    yield block.row()
+                    yield from block.rows()
                     block = _Block()
         if block.words:
-            yield block.row()
+            yield from block.rows()
 
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text")).where("length(text) > 0")
-    schema = "block string, langs array<string>, words array<string>, counts array<long>, tokens binary"
+    schema = "block string, first long, langs array<string>, words array<string>, counts array<long>, tokens binary"
     return texts.mapInPandas(code, schema)
 
 
@@ -117,10 +121,11 @@ def numbered(words: DataFrame) -> DataFrame:
 
 def renumbered(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """`(block, tokens)` in the numbers of the vocabulary; 0 for breaks and words outside it."""
-    used = blocks.select("block", F.posexplode(F.arrays_zip("langs", "words"))).select(
-        "block", F.col("pos"), F.col("col.langs").alias("lang"), F.col("col.words").alias("word")
+    words = blocks.where("first > 0").select("block", "first", F.posexplode(F.arrays_zip("langs", "words")))
+    used = words.select(
+        "block", (F.col("first") + F.col("pos")).alias("number"), F.col("col.langs").alias("lang"), F.col("col.words").alias("word")
     )
-    pair = F.shiftleft(F.col("pos").cast("long") + 1, 32) + F.col("id")
+    pair = F.shiftleft("number", 32) + F.col("id")
     known = used.join(vocabulary.select("lang", "word", "id"), ["lang", "word"])
     tables = known.groupBy("block").agg(F.collect_list(pair).alias("pairs"))
 
@@ -138,7 +143,7 @@ def renumbered(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
                 out.append(new[(left > 0) | ((new > 0) & (right > 0))].tobytes())
             yield pd.DataFrame({"block": batch["block"], "tokens": out})
 
-    joined = blocks.select("block", "tokens").join(tables, "block")
+    joined = blocks.where("first = 0").select("block", "tokens").join(tables, "block")
     return joined.mapInPandas(recode, "block string, tokens binary")
 
 
@@ -338,7 +343,7 @@ def phrase_counts(documents: DataFrame, least: int) -> tuple[DataFrame, DataFram
     """Frequent words `(lang, word, f, id)`, frequent phrases of up to four words, and words per language."""
     blocks = staged(coded_blocks(documents), "blocks")
     zipped = F.explode(F.arrays_zip("langs", "words", "counts")).alias("e")
-    words = blocks.select(zipped).groupBy(F.col("e.langs").alias("lang"), F.col("e.words").alias("word"))
+    words = blocks.where("first > 0").select(zipped).groupBy(F.col("e.langs").alias("lang"), F.col("e.words").alias("word"))
     words = staged(words.agg(F.sum("e.counts").alias("f")), "words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     vocabulary = numbered(words.where(F.col("f") >= least))
