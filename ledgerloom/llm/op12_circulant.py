@@ -5,13 +5,15 @@ the second orders them, shifted circularly by k places for coordinate k. Coordin
 sets that agree in a band are candidates. A pair at the bound of 0.8 misses all 32 bands of four with a
 probability of 5e-8, a pair above it with less.
 
-Equal sets are one node. Nodes that share a band propose to few others, never to all:
+Equal sets are one node. Nodes that share a band are not all compared with each other:
  - round by round every node is checked against one centre of its bands that is not yet known to be
-   connected to it; a group of near copies is held together by one check a member;
+   connected to it: the member that shares most bands with others, as the original of a group of copies
+   does. So a group is held together by one check a member;
  - the pairs of a band that are still unconnected after that are checked one by one, so no link is lost.
-Before sets are fetched, a pair must be near enough in size for the bound (exact), and its signatures,
-kept as four bits a coordinate, must agree in `LEAST_AGREEING` places, seven standard deviations below what
-the bound makes expected. Links are then confirmed on the whole sets, in whole numbers.
+Before sets are fetched, a pair must be near enough in size for the bound, and, where both have been checked
+against one centre, near enough in their distances to it (Jaccard distance is a metric; both tests are
+exact). Its signatures, kept as four bits a coordinate, must agree in `LEAST_AGREEING` places, five standard
+deviations below what the bound makes expected (3e-7 of the pairs at the bound). Links are then confirmed on the whole sets, in whole numbers.
 
 A text with fewer words than a shingle has its whole sequence as its one shingle; null, empty and blank
 texts have the empty set and are linked with nothing, not even with each other. Repeated rows and rows of
@@ -38,7 +40,7 @@ PART, WHOLE = 80, 100
 BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
 # At similarity J four kept bits agree with probability J + (1 - J) / 16: 104 of 128 at the bound, spread 4.4.
-LEAST_AGREEING = 73
+LEAST_AGREEING = 82
 STAR_ROUNDS = 2
 _CHUNK = 1 << 16
 _U32, _U64 = np.uint32, np.uint64
@@ -167,16 +169,18 @@ def similar_signature(a: Column, b: Column) -> Column:
     return differing <= COORDINATES - LEAST_AGREEING
 
 
-def confirmed(pairs: DataFrame, arrays: DataFrame, bound: tuple[int, int]) -> DataFrame:
-    """The pairs `(u, v)` of sets whose Jaccard similarity reaches the bound."""
-    part, whole = bound
+def measured(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
+    """`(u, v, shared, total)`: sizes of the intersection and the union of each pair's sets."""
     both = pairs.join(arrays.select(F.col("set_id").alias("u"), F.col("shingles").alias("a")), "u").join(
         arrays.select(F.col("set_id").alias("v"), F.col("shingles").alias("b")), "v"
     )
     shared = F.size(F.array_intersect("a", "b")).cast("long")
-    # i / (m + n - i) >= part / whole without a division.
-    enough = shared * (part + whole) >= (F.size("a") + F.size("b")) * part
-    return both.where(enough).select("u", "v")
+    sized = both.select("u", "v", shared.alias("shared"), (F.size("a") + F.size("b")).cast("long").alias("sum"))
+    return sized.select("u", "v", "shared", (F.col("sum") - F.col("shared")).alias("total"))
+
+
+def similar(shared: Column, total: Column, bound: tuple[int, int]) -> Column:
+    return shared * bound[1] >= total * bound[0]
 
 
 def shingle_arrays(homes: DataFrame, keyed: DataFrame, width: int) -> DataFrame:
@@ -206,38 +210,58 @@ def _rooted(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
     return found.join(mixed, "key", "left_semi")
 
 
-def _centred(open_: DataFrame, step: int, bound: tuple[int, int]) -> DataFrame:
-    """One pair for each set: with the centre of one of its bands that it is not connected to."""
-    order = F.col("set_id") if step == 0 else F.xxhash64("set_id", F.lit(step))
-    member = F.struct(order.alias("o"), F.col("set_id"), F.col("n_shingles"), F.col("bits"), F.col("root"))
-    centres = open_.groupBy("key").agg(F.min(member).alias("c"))
+def _centred(open_: DataFrame, bound: tuple[int, int]) -> DataFrame:
+    """One pair `(member, centre)` for each set: with the most popular centre it may be connected to."""
+    member = F.struct("popular", "set_id", "n_shingles", "bits", "root")
+    centres = open_.groupBy("key").agg(F.max(member).alias("c"))
     met = open_.join(centres, "key").where(
         (F.col("root") != F.col("c.root"))
         & similar_size(F.col("n_shingles"), F.col("c.n_shingles"), bound)
         & similar_signature(F.col("bits"), F.col("c.bits"))
     )
-    return met.groupBy("set_id").agg(F.min(F.struct("c.o", "c.set_id")).alias("c")).select(
-        F.least("set_id", "c.set_id").alias("u"), F.greatest("set_id", "c.set_id").alias("v")
-    )
+    best = met.groupBy("set_id").agg(F.max(F.struct("c.popular", "c.set_id")).alias("c"))
+    return best.select(F.col("set_id").alias("member"), F.col("c.set_id").alias("centre"))
 
 
 def _remaining(open_: DataFrame, bound: tuple[int, int]) -> DataFrame:
-    """Every pair of a band that is not connected yet."""
+    """Every pair of a band that is not connected yet and that the known distances leave possible."""
     other = open_.select(
         "key",
         F.col("set_id").alias("v"),
         F.col("n_shingles").alias("v_n"),
         F.col("bits").alias("v_bits"),
         F.col("root").alias("v_root"),
+        F.col("pivots").alias("v_pivots"),
+    )
+    # Two sets within the bound differ by no more than that in their distances to any third.
+    most = 1 - bound[0] / bound[1] + 1e-9
+    apart = F.exists(
+        "pivots",
+        lambda p: F.exists(
+            "v_pivots", lambda q: (p["centre"] == q["centre"]) & (F.abs(p["distance"] - q["distance"]) > most)
+        ),
     )
     met = open_.join(other, "key").where(
         (F.col("root") < F.col("v_root"))
         & similar_size(F.col("n_shingles"), F.col("v_n"), bound)
         & similar_signature(F.col("bits"), F.col("v_bits"))
+        & ~apart
     )
     return met.select(F.least("set_id", "v").alias("u"), F.greatest("set_id", "v").alias("v"))
 
 
+def _with_pivots(open_: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Adds each set's known distances to centres, at most one a round, and 0 to itself where it is one."""
+    held = pivots.groupBy(F.col("member").alias("set_id")).agg(
+        F.collect_list(F.struct("centre", "distance")).alias("pivots")
+    )
+    own = F.array(F.struct(F.col("set_id").alias("centre"), F.lit(0.0).alias("distance")))
+    return open_.join(held, "set_id", "left").withColumn("pivots", F.concat(own, F.coalesce("pivots", F.array().cast(PIVOTS))))
+
+
+PIVOTS = "array<struct<centre: bigint, distance: double>>"
+
+
 def similar_sets(
     sets: DataFrame,
     keyed: DataFrame,
@@ -252,25 +276,35 @@ def similar_sets(
     checked before any band is looked at.
     """
     placed = sets.select("set_id", F.explode("bands").alias("key"))
-    shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    met = placed.join(shared, "key", "left_semi")
-    postings = staged(met.join(sets.select("set_id", "n_shingles", "bits"), "set_id"), "postings")
-    named = postings.select("set_id")
+    shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = staged(placed.join(shared, "key"), "bands")
+    popular = met.groupBy("set_id").agg(F.sum("n").alias("popular"))
+    facts = sets.select("set_id", "n_shingles", "bits").join(popular, "set_id")
+    postings = staged(met.select("set_id", "key").join(facts, "set_id"), "postings")
+    named = popular.select("set_id")
     if proposed is not None:
-        named = named.unionByName(proposed.select(F.explode(F.array("u", "v")).alias("set_id")))
-    near = sets.join(named.distinct(), "set_id", "left_semi")
+        named = named.unionByName(proposed.select(F.explode(F.array("u", "v")).alias("set_id"))).distinct()
+    near = sets.join(named, "set_id", "left_semi")
     arrays = staged(shingle_arrays(near.select("set_id", "doc_id", "text_hash"), keyed, width), "shingles")
-    links, roots = None, None
+    enough = similar(F.col("shared"), F.col("total"), bound)
+    links, roots, pivots = None, None, None
     if proposed is not None:
-        links = staged(confirmed(proposed.distinct(), arrays, bound), "similar")
+        links = staged(measured(proposed.distinct(), arrays).where(enough).select("u", "v"), "similar")
         roots = connected_components(links)
-    for step in range(STAR_ROUNDS + 1):
+    for _ in range(STAR_ROUNDS):
         open_ = staged(_rooted(postings, roots), "open")
-        pairs = _centred(open_, step, bound) if step < STAR_ROUNDS else _remaining(open_, bound)
-        found = confirmed(pairs.distinct(), arrays, bound)
-        links = staged(found if links is None else links.unionByName(found), "similar")
+        pairs = _centred(open_, bound).select(F.col("member").alias("u"), F.col("centre").alias("v"))
+        found = staged(measured(pairs, arrays), "measured")
+        distances = found.select(
+            F.col("u").alias("member"), F.col("v").alias("centre"), (1 - F.col("shared") / F.col("total")).alias("distance")
+        )
+        pivots = distances if pivots is None else pivots.unionByName(distances)
+        new = found.where(enough).select("u", "v")
+        links = staged(new if links is None else links.unionByName(new), "similar")
         roots = connected_components(links)
-    return roots
+    open_ = staged(_with_pivots(_rooted(postings, roots), pivots), "open")
+    new = measured(_remaining(open_, bound).distinct(), arrays).where(enough).select("u", "v")
+    return connected_components(links.unionByName(new))
 
 
 def text_rows(documents: DataFrame) -> DataFrame:
