@@ -43,6 +43,7 @@ COORDINATES = BANDS * ROWS
 LEAST_AGREEING = 82
 STAR_ROUNDS = 2
 _CHUNK = 1 << 16
+_SLICE_ROWS = 512
 _U32, _U64 = np.uint32, np.uint64
 
 
@@ -62,10 +63,23 @@ SCATTER, ORDER = (0x9E3779B1, 0x85EBCA77), (0x7FEB352D, 0x846CA68B)
 
 
 class _Words(dict):
+    """Hashes of words that came up, forgotten when there are many."""
+
     def __missing__(self, word: bytes) -> int:
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
 
+    def trim(self) -> None:
+        if len(self) > _CHUNK:
+            self.clear()
+
+
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Some rows at a time, so that what is derived from them stays small."""
+    for batch in batches:
+        for i in range(0, len(batch), _SLICE_ROWS):
+            yield batch.iloc[i : i + _SLICE_ROWS]
+
 
 def shingle_set(text: str, width: int, seen: _Words) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word runs of a text."""
@@ -129,9 +143,10 @@ def sketched(documents: DataFrame, width: int) -> DataFrame:
     passed = [c for c in documents.columns if c != "text"]
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            seen = _Words()
+        seen = _Words()
+        for batch in _slices(batches):
             sets = [shingle_set(t, width, seen) for t in batch["text"]]
+            seen.trim()
             some = [i for i, s in enumerate(sets) if len(s)]
             signed = signatures([sets[i] for i in some])
             keys = band_keys(signed)
@@ -187,10 +202,11 @@ def shingle_arrays(homes: DataFrame, keyed: DataFrame, width: int) -> DataFrame:
     """`(set_id, doc_id, text_hash)` to `(set_id, shingles)`, reading one text of each set again."""
 
     def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            seen = _Words()
+        seen = _Words()
+        for batch in _slices(batches):
             sets = [shingle_set(t, width, seen).view(np.int64) for t in batch["text"]]
-            yield pd.DataFrame({"set_id": batch["set_id"], "shingles": pd.Series(sets, dtype=object)})
+            seen.trim()
+            yield pd.DataFrame({"set_id": batch["set_id"].to_numpy(), "shingles": pd.Series(sets, dtype=object)})
 
     # Copies under one id come along; their ids and hashes are the same, so they are cut before the sets are made.
     named = homes.select("set_id", F.col("doc_id").alias("home_id"), F.col("text_hash").alias("home_hash"))
