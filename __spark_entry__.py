@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,13 @@ from ledgerloom.operators import checks, detection, rules
 from ledgerloom.operators.asof import asof_join
 from ledgerloom.operators.percentile import grouped_percentile
 from ledgerloom.plans import metrics, monitors, patterns, reports, serving, spend
+from ledgerloom.plans.publishing import PublishRefused
 from ledgerloom.plans.warehouse import Warehouse
+from ledgerloom.session import new_folder
 from ledgerloom.sources import driver_delivery, driver_feeds
-from ledgerloom.sources.driver_delivery import Delivery
 from ledgerloom.sources.contracts import customer_value_rules
+from ledgerloom.sources.driver_delivery import DailyDeliveries, Delivery, FaultyDelivery, StateDeliveries
+from ledgerloom.sources.versions import VersionedTable
 
 try:  # the training-data operators are optional: their folder and the pipeline can be absent
     import corpus_pipeline
@@ -29,7 +33,7 @@ except ModuleNotFoundError as missing:
 Query = Callable[[SparkSession, str], DataFrame]
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
-_deliveries: dict[tuple[str, str], Delivery] = {}
+_deliveries: dict[tuple[str, str, type], Any] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -40,11 +44,11 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _warehouses[key]
 
 
-def delivery(spark: SparkSession, sf_dir: str) -> Delivery:
+def delivery(spark: SparkSession, sf_dir: str, kind: type = Delivery) -> Any:
     """The tables of one data folder delivered in wire form and landed, once in a Spark application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _deliveries:
-        _deliveries[key] = Delivery(spark, warehouse(spark, sf_dir).feeds)
+        _deliveries[key] = kind(spark, warehouse(spark, sf_dir).feeds)
     return _deliveries[key]
 
 
@@ -129,9 +133,12 @@ def newest_month_scan(w: Warehouse) -> DataFrame:
     return patterns.latest_month_scan(w, last)
 
 
+RUN_DATE = "1998-11-02"
+
+
 def fresh_yesterday(w: Warehouse) -> DataFrame:
-    newest = w.deduped.agg(F.max("posted_date")).scalar()
-    return monitors.fresh_yesterday(w.deduped, F.date_add(newest, 1))
+    """A run in the declining last weeks of the book: its day has arrived, and must still be plausible."""
+    return monitors.fresh_yesterday(w.deduped, F.lit(RUN_DATE).cast("date"))
 
 
 def feed_arrival(w: Warehouse) -> DataFrame:
@@ -141,6 +148,32 @@ def feed_arrival(w: Warehouse) -> DataFrame:
     return monitors.feed_arrival(run(-1), run(-2))
 
 
+def publish_audit(w: Warehouse) -> DataFrame:
+    """Two attempts to publish gold: the marts, then the marts with one day loaded twice; what readers see after each."""
+
+    class Overlapping(Warehouse):
+        """One day of the fact twice; every other mart as it is."""
+
+    twice = Overlapping(w.spark, w.feeds)
+    w.gold()
+    first_day = w.fact.agg(F.min("posted_date")).scalar()
+    doubled = w.fact_by_month.unionByName(w.fact_by_month.where(F.col("posted_date") == first_day))
+    twice.__dict__.update(w.__dict__ | {"fact_by_month": doubled, "fact": doubled.drop("posted_month")})
+    target = new_folder(w.spark, "gold")
+    parts = []
+    for attempt, marts in (("clean", w), ("overlapping load", twice)):
+        refused: dict[str, int] = {}
+        try:
+            serving.export_gold(marts, target, fact_partition="posted_month")
+        except PublishRefused as refusal:
+            refused = refusal.violated
+        version = VersionedTable(w.spark, target).current().number
+        seen = serving.scan_gold(w.spark, target, "fct_card_transaction").agg(F.count(F.lit(1)).alias("fact_rows"))
+        told = (F.lit(attempt).alias("attempt"), F.lit(not refused).alias("published"), F.lit(version).alias("version"))
+        parts.append(seen.select(*told, F.lit(", ".join(sorted(refused))).alias("violated"), "fact_rows"))
+    return checks.union_all(parts)
+
+
 _FLAGS = list(rules.FLAGS.values())
 _WATCHED = ["segment", "kyc_status", "kyc_risk_band"]
 
@@ -246,9 +279,12 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "document_count": monitors.document_count,
     "quality_objectives": monitors.quality_objectives,
     "feed_arrival": feed_arrival,
+    "declared_checks": monitors.declared_checks,
+    "publish_audit": publish_audit,
     "publish_gate": monitors.publish_gate,
     # business metrics
     "active_customers_30d": metrics.active_customers,
+    "active_customers_daily": metrics.active_customers_daily,
     "spend_net_gross": metrics.spend_net_gross,
     "approval_rate": metrics.approval_rate,
     "average_basket": metrics.average_basket,
@@ -274,6 +310,25 @@ _INGEST: dict[str, Callable[[Delivery], DataFrame]] = {
     "contract_verdicts": driver_delivery.contract_verdicts,
 }
 
+_OTHER_DELIVERIES: dict[str, tuple[type, Callable[[Any], DataFrame]]] = {
+    "contract_verdicts_faulty": (FaultyDelivery, driver_delivery.faulty_verdicts),
+    "contract_summary_faulty": (FaultyDelivery, driver_delivery.verdict_summary),
+    "value_rule_violations": (FaultyDelivery, driver_delivery.value_rule_violations),
+    "history_from_lake_customers": (
+        StateDeliveries,
+        lambda d: d.history("customers").read().select("customer_id", *_WATCHED, "valid_from", "valid_to"),
+    ),
+    "history_from_lake_accounts": (
+        StateDeliveries,
+        lambda d: d.history("accounts").read().select(
+            "account_id", "product_code", "status", "closed_on", "valid_from", "valid_to"
+        ),
+    ),
+    "history_versions": (StateDeliveries, driver_delivery.landed_versions),
+    "freshness_landed": (DailyDeliveries, driver_delivery.landed_freshness),
+    "feed_arrival_ledger": (DailyDeliveries, driver_delivery.arrival_report),
+}
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: spend by category and month over the whole book."""
@@ -284,18 +339,20 @@ def queries() -> dict[str, Query]:
     def bind(build: Callable[[Warehouse], DataFrame]) -> Query:
         return lambda spark, sf_dir: build(warehouse(spark, sf_dir))
 
-    def bind_ingest(build: Callable[[Delivery], DataFrame]) -> Query:
-        return lambda spark, sf_dir: build(delivery(spark, sf_dir))
+    def bind_ingest(build: Callable[[Any], DataFrame], kind: type = Delivery) -> Query:
+        return lambda spark, sf_dir: build(delivery(spark, sf_dir, kind))
 
     registered = {name: bind(build) for name, build in _BUILDERS.items()}
     registered |= {name: bind_ingest(build) for name, build in _INGEST.items()}
+    registered |= {name: bind_ingest(build, kind) for name, (kind, build) in _OTHER_DELIVERIES.items()}
     if llm_queries:
         registered |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     return registered
 
 
 def oracle_sql() -> dict[str, str]:
-    statements = {name: oracle_catalog.statement(sql) for name, sql in oracle_catalog.QUERIES.items() if name in _BUILDERS or name in _INGEST}
+    own = {**_BUILDERS, **_INGEST, **_OTHER_DELIVERIES}
+    statements = {name: oracle_catalog.statement(sql) for name, sql in oracle_catalog.QUERIES.items() if name in own}
     if llm_queries:
         statements |= llm_queries.ORACLE_SQL
         if corpus_pipeline.ORACLE_SQL:

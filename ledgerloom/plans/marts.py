@@ -11,6 +11,7 @@ from ledgerloom.functions.money import convert, sum_if
 from ledgerloom.operators import asof, reshape, rules, scd2
 from ledgerloom.operators.dedupe import dedupe_latest
 from ledgerloom.sources.feeds import Snapshot, with_auth_date
+from ledgerloom.sources.state_history import WATCHED
 
 UNKNOWN = "UNKNOWN"
 
@@ -22,8 +23,8 @@ COPY_ORDER = (
     ("merchant_id", "asc"),
     ("posted_date", "asc"),
 )
-WATCHED_CUSTOMER = ("segment", "kyc_status", "kyc_risk_band")
-WATCHED_ACCOUNT = ("product_code", "status")
+WATCHED_CUSTOMER = WATCHED["customers"][1]
+WATCHED_ACCOUNT = WATCHED["accounts"][1]
 
 
 def deduped(transactions: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,12 +22,35 @@ def _is(kind: str, column: str = "txn_type") -> Column:
 
 
 def active_customers(w: Warehouse, days: int = ACTIVE_DAYS) -> DataFrame:
-    """Customers with a settled purchase in the trailing days up to the newest posting."""
-    last = w.fact.agg(F.max("posted_date")).scalar()
-    bought = spend.settled(w, "txn_type").where(_is("purchase") & (F.col("posted_date") > F.date_sub(last, days)))
+    """Customers with a settled purchase in the trailing days up to the newest posting.
+
+    The newest day is read from the month directories' statistics first, so only the months of the
+    window are opened.
+    """
+    last = w.fact.agg(F.max("posted_date")).first()[0]
+    if last is None:
+        return w.fact.agg(F.lit(0).cast("long").alias("active_customers"))
+    start = last - dt.timedelta(days=days)
+    recent = w.fact_by_month.where(
+        (F.col("posted_month") >= start.strftime("%Y-%m")) & (F.col("posted_date") > F.lit(start))
+    )
+    bought = recent.join(w.context(F.col("is_settled"), "txn_type"), "txn_context_key").where(_is("purchase"))
     return bought.agg(F.count_distinct("customer_id").alias("active_customers"))
 
 
+def active_customers_daily(w: Warehouse, days: int = ACTIVE_DAYS) -> DataFrame:
+    """The trailing-window answer for every day that has one, exact, from one scan of the fact.
+
+    A day's customers are bitmaps of fixed size (32,768 customers each); a window is the OR of its days, so
+    each bitmap is sent to the days that look back on it and no customer is counted again.
+    """
+    last = w.active_bitmaps.agg(F.max("posted_date")).scalar()
+    seen_by = F.sequence(F.col("posted_date"), F.least(F.date_add("posted_date", days - 1), last))
+    spread = w.active_bitmaps.select(F.explode(seen_by).alias("day"), "bucket", "bits")
+    windows = spread.groupBy("day", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return windows.groupBy(F.col("day").alias("posted_date")).agg(F.sum(F.bitmap_count("bits")).alias("active_customers"))
+
+
 def spend_net_gross(w: Warehouse) -> DataFrame:
     """Monthly gross spend, refunds (negative) and net. Settled only."""
     rows = spend.by_month(spend.settled(w, "txn_type", "counts_towards_spend"))

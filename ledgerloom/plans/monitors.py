@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import count_if, sum_if
 from ledgerloom.operators import checks
+from ledgerloom.operators.asof import daily
+from ledgerloom.operators.declared import Accepted, Check, NotNull, Relationship, Unique, run
 from ledgerloom.operators.rules import FLAGS
 from ledgerloom.operators.scd2 import scd2_overlaps
 from ledgerloom.plans import reports, spend
@@ -29,12 +31,16 @@ OBJECTIVES = {
 
 
 def freshness(transactions: DataFrame) -> DataFrame:
-    """Each posted day's row count against the mean +- 3 sigma of the 28 calendar days before it.
+    """Each posted day's row count against the days before it (`day_freshness`)."""
+    return day_freshness(transactions.groupBy("posted_date").agg(F.count(F.lit(1)).alias("n")))
+
+
+def day_freshness(daily: DataFrame) -> DataFrame:
+    """`(posted_date, n)` against the mean +- 3 sigma of the 28 calendar days before each day.
 
     A day is sent to the 28 days that look back on it, so the history of a day is an equality
     group instead of a frame of one global window. The variance is built from integer sums.
     """
-    daily = transactions.groupBy("posted_date").agg(F.count(F.lit(1)).alias("n"))
     ahead = F.sequence(F.date_add("posted_date", 1), F.date_add("posted_date", TRAILING_DAYS))
     history = (
         daily.select(F.explode(ahead).alias("posted_date"), F.col("n").alias("past"))
@@ -52,6 +58,16 @@ def freshness(transactions: DataFrame) -> DataFrame:
     )
 
 
+def landed_freshness(partitions: DataFrame) -> DataFrame:
+    """Freshness of the landed day partitions `(posted_date, rows)`: repeated rows count, and a day of the
+    span without a partition is a row with `arrived` false."""
+    span = partitions.agg(F.min("posted_date").alias("first"), F.max("posted_date").alias("last"))
+    days = span.select(daily(F.col("first"), F.col("last")).alias("posted_date"))
+    judged = day_freshness(partitions.select("posted_date", F.col("rows").alias("n")))
+    out = days.join(judged, "posted_date", "left").withColumn("arrived", F.col("txn_count").isNotNull())
+    return out.withColumn("txn_count", F.coalesce("txn_count", F.lit(0)))
+
+
 def fresh_yesterday(transactions: DataFrame, run_date: Column) -> DataFrame:
     """One row: did the day before `run_date` arrive, with a plausible number of rows?"""
     due = F.date_sub(run_date, 1)
@@ -184,80 +200,100 @@ def null_key_counts(w: Warehouse) -> DataFrame:
     return w.fact.agg(*nulls, *unknown)
 
 
+# The declared checks of the feeds and the marts.
+RELATIONSHIPS = [
+    Relationship("fact", "customer_key", "dim_customer", "customer_key"),
+    Relationship("fact", "account_key", "dim_account", "account_key"),
+    Relationship("fact", "merchant_key", "dim_merchant", "merchant_key"),
+    Relationship("fact", "card_key", "dim_card", "card_key"),
+    Relationship("fact", "txn_context_key", "dim_txn_context", "txn_context_key"),
+    Relationship("fact", "posted_date_key", "dim_date", "date_key"),
+    Relationship("accounts", "customer_id", "customers", "customer_id"),
+    Relationship("cards", "account_id", "accounts", "account_id"),
+]
+UNIQUE = [
+    Unique("deduped", "transaction_id"),
+    Unique("fact", "transaction_id"),
+    Unique("customers", "customer_id"),
+    Unique("accounts", "account_id"),
+    Unique("cards", "card_id"),
+    Unique("merchants", "merchant_id"),
+    Unique("dim_customer", "customer_key"),
+    Unique("dim_account", "account_key"),
+    Unique("dim_date", "date_key"),
+    Unique("dim_txn_context", "txn_context_key"),
+    Unique("dim_merchant", "merchant_key"),
+    Unique("dim_card", "card_key"),
+]
+NOT_NULL = [
+    NotNull(table, column)
+    for table, columns in {
+        "transactions": ("transaction_id", "currency"),
+        "customers": ("customer_id",),
+        "accounts": ("account_id",),
+        "cards": ("card_id",),
+        "merchants": ("merchant_id",),
+        "fx_rates": ("rate_to_gbp",),
+        "fx_daily": ("rate_to_gbp",),
+        "deduped": ("transaction_id",),
+        "fact": ("transaction_id", "amount_gbp_minor", "txn_context_key", "fx_rate_to_gbp", "dq_score"),
+        "dim_customer": ("customer_key", "customer_id"),
+        "dim_account": ("account_key", "customer_id"),
+        "dim_date": ("date_key", "calendar_date"),
+        "dim_txn_context": ("txn_context_key",),
+        "dim_merchant": ("merchant_key",),
+        "dim_card": ("card_key",),
+        "agg_customer_category_month": ("spend_gbp_minor",),
+        "agg_dq_scorecard": ("pass_rate",),
+    }.items()
+    for column in columns
+]
+ACCEPTED = [
+    Accepted("transactions", "feed_version", (1, 2)),
+    Accepted("dim_customer", "segment", ("mass", "student", "affluent", "premier", "unknown")),
+    Accepted("dim_customer", "kyc_status", ("verified", "pending", "referred", "rejected", "unknown")),
+]
+
+
+def _checked(w: Warehouse, declared: list[Check]) -> DataFrame:
+    """Only the tables that a check mentions are built and read, each once."""
+    sources = {
+        "transactions": lambda: w.staged,
+        "customers": lambda: w.staged_customers,
+        "accounts": lambda: w.staged_accounts,
+        "cards": lambda: w.feeds.cards,
+        "merchants": lambda: w.feeds.merchants,
+        "fx_rates": lambda: w.feeds.fx_rates,
+        "fx_daily": lambda: w.fx_rate,
+    }
+    named = {c.table for c in declared} | {c.parent for c in declared if isinstance(c, Relationship)}
+    tables = {name: sources[name]() if name in sources else getattr(w, name) for name in sorted(named)}
+    return run(tables, declared)
+
+
+def declared_checks(w: Warehouse) -> DataFrame:
+    """All declared checks in one plan."""
+    return _checked(w, RELATIONSHIPS + UNIQUE + NOT_NULL + ACCEPTED)
+
+
 def relationships(w: Warehouse) -> DataFrame:
     """The declared foreign keys, violations per relationship."""
-    fact = w.fact
-    parts = [
-        checks.relationship(fact, key, dim, key, f"fact.{key}")
-        for key, dim in (
-            ("customer_key", w.dim_customer),
-            ("account_key", w.dim_account),
-            ("merchant_key", w.dim_merchant),
-            ("card_key", w.dim_card),
-            ("txn_context_key", w.dim_txn_context),
-        )
-    ]
-    parts.append(checks.relationship(fact, "posted_date_key", w.dim_date, "date_key", "fact.posted_date_key"))
-    accounts, people = w.staged_accounts, w.staged_customers
-    parts.append(checks.relationship(accounts, "customer_id", people, "customer_id", "accounts.customer_id"))
-    parts.append(checks.relationship(w.feeds.cards, "account_id", accounts, "account_id", "cards.account_id"))
-    return checks.union_all(parts)
+    return _checked(w, RELATIONSHIPS)
 
 
 def uniqueness(w: Warehouse) -> DataFrame:
     """The declared unique columns."""
-    tested = {
-        "deduped": (w.deduped, "transaction_id"),
-        "fact": (w.fact, "transaction_id"),
-        "customers": (w.staged_customers, "customer_id"),
-        "accounts": (w.staged_accounts, "account_id"),
-        "cards": (w.feeds.cards, "card_id"),
-        "merchants": (w.feeds.merchants, "merchant_id"),
-        "dim_customer": (w.dim_customer, "customer_key"),
-        "dim_account": (w.dim_account, "account_key"),
-        "dim_date": (w.dim_date, "date_key"),
-        "dim_txn_context": (w.dim_txn_context, "txn_context_key"),
-        "dim_merchant": (w.dim_merchant, "merchant_key"),
-        "dim_card": (w.dim_card, "card_key"),
-    }
-    return checks.union_all([checks.unique(df, name, [column]) for name, (df, column) in tested.items()])
+    return _checked(w, UNIQUE)
 
 
 def nulls(w: Warehouse) -> DataFrame:
     """The declared not-null columns."""
-    tested = {
-        "transactions": (w.staged, ["transaction_id", "currency"]),
-        "customers": (w.staged_customers, ["customer_id"]),
-        "accounts": (w.staged_accounts, ["account_id"]),
-        "cards": (w.feeds.cards, ["card_id"]),
-        "merchants": (w.feeds.merchants, ["merchant_id"]),
-        "fx_rates": (w.feeds.fx_rates, ["rate_to_gbp"]),
-        "fx_daily": (w.fx_rate, ["rate_to_gbp"]),
-        "deduped": (w.deduped, ["transaction_id"]),
-        "fact": (w.fact, ["transaction_id", "amount_gbp_minor", "txn_context_key", "fx_rate_to_gbp", "dq_score"]),
-        "dim_customer": (w.dim_customer, ["customer_key", "customer_id"]),
-        "dim_account": (w.dim_account, ["account_key", "customer_id"]),
-        "dim_date": (w.dim_date, ["date_key", "calendar_date"]),
-        "dim_txn_context": (w.dim_txn_context, ["txn_context_key"]),
-        "dim_merchant": (w.dim_merchant, ["merchant_key"]),
-        "dim_card": (w.dim_card, ["card_key"]),
-        "agg_customer_category_month": (w.agg_customer_category_month, ["spend_gbp_minor"]),
-        "agg_dq_scorecard": (w.agg_dq_scorecard, ["pass_rate"]),
-    }
-    return checks.union_all([checks.not_null(df, name, columns) for name, (df, columns) in tested.items()])
+    return _checked(w, NOT_NULL)
 
 
 def accepted(w: Warehouse) -> DataFrame:
     """The declared code lists."""
-    segments = ["mass", "student", "affluent", "premier", "unknown"]
-    statuses = ["verified", "pending", "referred", "rejected", "unknown"]
-    return checks.union_all(
-        [
-            checks.accepted_values(w.staged, "transactions", "feed_version", [1, 2]),
-            checks.accepted_values(w.dim_customer, "dim_customer", "segment", segments),
-            checks.accepted_values(w.dim_customer, "dim_customer", "kyc_status", statuses),
-        ]
-    )
+    return _checked(w, ACCEPTED)
 
 
 def publish_gate(w: Warehouse) -> DataFrame:

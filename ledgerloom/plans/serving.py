@@ -6,35 +6,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import month_key
+from ledgerloom.operators.checks import union_all
 from ledgerloom.operators.detection import Injection
-from ledgerloom.plans import spend
+from ledgerloom.plans import monitors, spend
 from ledgerloom.plans.marts import UNKNOWN
-from ledgerloom.plans.warehouse import GOLD_FACT, Warehouse
+from ledgerloom.plans.publishing import current_path, publish_checked, repeated_ids, rows_conserved, tests_of
+from ledgerloom.plans.warehouse import GOLD_FACT, GOLD_FLAT, GoldMarts, Warehouse
 from ledgerloom.session import clustered
+from ledgerloom.sources.figures import table_figures
 from ledgerloom.sources.sinks import counted_write
 
 
 def export_gold(w: Warehouse, gold: str, fact_partition: str = "posted_date") -> DataFrame:
-    """All marts under `gold`; the report has one row per table: `table`, `rows`, `partitions`.
+    """Publish all marts under `gold`; the report has one row per table: `table, rows, bytes, partitions`.
 
-    The fact goes into daily directories like the lake, so a date filter prunes both alike.
+    The fact goes into daily directories like the lake, so a date filter prunes both alike, or into
+    monthly ones (`posted_month`). The marts are
+    checked as written; on a violation `PublishRefused` is raised and readers keep the version before.
     """
-    report = []
-    for name, df in w.gold().items():
-        by = fact_partition if name == GOLD_FACT else None
-        rows = counted_write(df, f"{gold}/{name}", by)
-        report.append((name, rows, _partitions(w.spark, f"{gold}/{name}", by)))
-    return w.spark.createDataFrame(report, "table string, rows bigint, partitions bigint")
 
-
-def _partitions(spark: SparkSession, path: str, column: str | None) -> int | None:
-    if column is None:
-        return None
-    return spark.read.parquet(path).agg(F.count_distinct(column).alias("n")).first()["n"]
+    def write(path: str) -> None:
+        for name, df in w.gold().items():
+            if name != GOLD_FACT:
+                counted_write(df, f"{path}/{name}")
+        fact = w.fact_by_month if fact_partition == "posted_month" else w.fact
+        counted_write(fact, f"{path}/{GOLD_FACT}", fact_partition)
+
+    version = publish_checked(w.spark, gold, write, lambda path: audit_gold(w, path))
+    path = f"{gold}/{version.folders[0]}"
+    parts = [
+        table_figures(w.spark, f"{path}/{name}", fact_partition if name == GOLD_FACT else None).select(
+            F.lit(name).alias("table"), "rows", "bytes", "partitions"
+        )
+        for name in w.gold()
+    ]
+    return union_all(parts)
+
+
+def audit_gold(w: Warehouse, path: str) -> DataFrame:
+    """`check, violations` of gold tables as written, against themselves and what they were made from."""
+    written = GoldMarts(w.spark, path, published=False)
+    return union_all(
+        [
+            tests_of(written.fact),
+            repeated_ids(written.fact),
+            monitors.scd2_overlap_count(written),
+            monitors.aggregate_reconciliation(written).select(F.lit("aggregate and fact differ").alias("check"), "violations"),
+            rows_conserved({name: getattr(written, name) for name in GOLD_FLAT}, {name: getattr(w, name) for name in GOLD_FLAT}),
+        ]
+    )
 
 
 def scan_gold(spark: SparkSession, gold: str, table: str, *columns: str) -> DataFrame:
-    df = spark.read.parquet(f"{gold}/{table}")
+    """A table of the published gold layer."""
+    df = spark.read.parquet(f"{current_path(spark, gold)}/{table}")
     return df.select(*columns) if columns else df
 
 
@@ -77,13 +102,34 @@ LOOKUP = {
 
 
 def publish(w: Warehouse, target: str) -> None:
-    """Write the serving copies; the fact additionally in month directories."""
-    for name, df in tables(w).items():
-        keys = LOOKUP.get(name)
-        out = clustered(df, keys) if keys else df.hint("rebalance")
-        out.write.mode("overwrite").parquet(f"{target}/{name}")
-    by_month = tables(w)["fct_card_transaction"].withColumn("posted_month", month_key(F.col("posted_date")))
-    counted_write(by_month, f"{target}/fct_card_transaction_by_month", "posted_month")
+    """Publish the serving copies; the fact additionally in month directories.
+
+    Checked as written, like gold; readers find them below `publishing.current_path`.
+    """
+
+    def write(path: str) -> None:
+        for name, df in tables(w).items():
+            keys = LOOKUP.get(name)
+            out = clustered(df, keys) if keys else df.hint("rebalance")
+            out.write.mode("overwrite").parquet(f"{path}/{name}")
+        by_month = tables(w)[GOLD_FACT].withColumn("posted_month", month_key(F.col("posted_date")))
+        counted_write(by_month, f"{path}/{GOLD_FACT}_by_month", "posted_month")
+
+    def audit(path: str) -> DataFrame:
+        made = tables(w)
+        written = {name: w.spark.read.parquet(f"{path}/{name}") for name in made}
+        monthly = w.spark.read.parquet(f"{path}/{GOLD_FACT}_by_month")
+        fact = written[GOLD_FACT]
+        return union_all(
+            [
+                tests_of(fact),
+                repeated_ids(fact),
+                rows_conserved(written, made),
+                rows_conserved({f"{GOLD_FACT}_by_month": monthly}, {f"{GOLD_FACT}_by_month": made[GOLD_FACT]}),
+            ]
+        )
+
+    publish_checked(w.spark, target, write, audit)
 
 
 def month_ranges(fact: DataFrame) -> DataFrame:

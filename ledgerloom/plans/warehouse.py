@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import month_key
 from ledgerloom.operators.rules import category_medians
 from ledgerloom.plans import marts
+from ledgerloom.plans.publishing import current_path
 from ledgerloom.session import clustered, new_folder, write_and_reload
 from ledgerloom.sources.feeds import Feeds, with_auth_date
 
@@ -91,11 +92,15 @@ class Warehouse:
 
     @cached_property
     def customer_history(self) -> DataFrame:
+        if self.feeds.customer_history is not None:
+            return self.feeds.customer_history
         build = lambda: marts.history(self.feeds.customers, "customer_id", marts.WATCHED_CUSTOMER)
         return self._keep("customer_history", build)
 
     @cached_property
     def account_history(self) -> DataFrame:
+        if self.feeds.account_history is not None:
+            return self.feeds.account_history
         build = lambda: marts.history(self.feeds.accounts, "account_id", marts.WATCHED_ACCOUNT)
         return self._keep("account_history", build)
 
@@ -171,6 +176,26 @@ class Warehouse:
         keys = ("customer_id", "month_key", "category")
         return self._keep_clustered("customer_months", self.agg_customer_category_month, *keys)
 
+    @cached_property
+    def customer_numbers(self) -> DataFrame:
+        """`customer_id, number`: nearly dense numbers from 1, for bitmaps. The rows are written, so they hold."""
+        ids = self.fact.where(F.col("customer_id").isNotNull()).select("customer_id").distinct()
+        rows = self._keep("customer_numbers", lambda: ids.withColumn("at", F.monotonically_increasing_id()))
+        parts = (rows.agg(F.max(F.shiftright("at", 33))).first()[0] or 0) + 1
+        within = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+        return rows.select("customer_id", (within * parts + F.shiftright("at", 33) + 1).alias("number"))
+
+    @cached_property
+    def active_bitmaps(self) -> DataFrame:
+        """`posted_date, bucket, bits`: which customers made a settled purchase on each day, one bit each."""
+        context = self.context(F.col("is_settled") & (F.col("txn_type") == "purchase"))
+        bought = self.fact.join(context, "txn_context_key").select("posted_date", "customer_id").distinct()
+        numbered = bought.join(self.customer_numbers, "customer_id")
+        daily = numbered.groupBy("posted_date", F.bitmap_bucket_number("number").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")
+        )
+        return self._keep("active_bitmaps", lambda: daily)
+
     @cached_property
     def staged_customers(self) -> DataFrame:
         return self.feeds.customers[-1].rows
@@ -191,14 +216,18 @@ class GoldMarts(Warehouse):
     rows, surviving copies) is not part of gold and raises.
     """
 
-    def __init__(self, spark: SparkSession, gold: str) -> None:
+    def __init__(self, spark: SparkSession, gold: str, published: bool = True) -> None:
+        """The version published under `gold`; or the unpublished tables in that very folder."""
         self.spark = spark
         self.row_counts = {}
+        gold = current_path(spark, gold) if published else gold
         for name in GOLD_FLAT:
             self.__dict__[name] = spark.read.parquet(f"{gold}/{name}")
         fact = spark.read.parquet(f"{gold}/{GOLD_FACT}")
-        self.__dict__["fact"] = fact
-        self.__dict__["fact_by_month"] = fact.withColumn("posted_month", month_key(F.col("posted_date")))
+        self.__dict__["fact"] = fact.drop("posted_month")
+        if "posted_month" not in fact.columns:
+            fact = fact.withColumn("posted_month", month_key(F.col("posted_date")))
+        self.__dict__["fact_by_month"] = fact
         self.__dict__["customer_months"] = self.agg_customer_category_month
 
     def broadcastable(self, name: str) -> bool:

@@ -68,11 +68,12 @@ def write_and_reload(df: DataFrame, path: str, partition_by: str | None = None)
     small ones. A flat one keeps the partitions it has and needs no further shuffle.
     """
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    n = F.count(F.lit(1)).alias("n")
+    # Counted in the tasks that write, behind any shuffle: a map stage that runs again is not counted twice.
     if partition_by:
-        counted.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+        df.hint("rebalance", partition_by).observe(seen, n).write.partitionBy(partition_by).parquet(path)
     else:
-        counted.write.parquet(path)
+        df.observe(seen, n).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns), int(seen.get["n"])
 
 

@@ -6,15 +6,22 @@ change-over holds files of both feed versions.
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.checks import union_all
+from ledgerloom.plans import monitors
 from ledgerloom.schemas import FIELDS_ADDED_IN_V2, RAW_TRANSACTIONS
 from ledgerloom.session import new_folder
-from ledgerloom.sources import contracts, feeds, lake, readers, sinks
+from ledgerloom.sources import contracts, feeds, lake, readers, sinks, state_history
+from ledgerloom.sources.arrivals import ArrivalLedger
 from ledgerloom.sources.feeds import Feeds
+from ledgerloom.sources.figures import partition_figures
+from ledgerloom.sources.state_history import StateHistory
 
 
 class Delivery:
@@ -27,17 +34,27 @@ class Delivery:
     @cached_property
     def raw(self) -> str:
         base = new_folder(self.spark, "delivery")
+        self.write_state(base, -1)
+        self.write_cards(base)
+        self.write_merchants(base)
+        self._write_rates(f"{base}/fx_rates")
+        self._write_transactions(f"{base}/card_transactions")
+        return base
+
+    def write_state(self, base: str, snapshot: int) -> None:
+        """The two feeds that deliver their whole current state."""
         s = self.staged
-        s.customers[-1].rows.select("document").write.text(f"{base}/customers/customers.jsonl")
-        accounts = s.accounts[-1].rows.withColumnsRenamed({"opened_on": "opened_date", "closed_on": "closed_date"})
+        s.customers[snapshot].rows.select("document").write.mode("overwrite").text(f"{base}/customers/customers.jsonl")
+        accounts = s.accounts[snapshot].rows.withColumnsRenamed({"opened_on": "opened_date", "closed_on": "closed_date"})
         sinks.write_feed(accounts, f"{base}/accounts/accounts.csv", "csv")
-        cards = s.cards.withColumnsRenamed({"issued_on": "issued_date", "expires_on": "expiry_date"})
+
+    def write_cards(self, base: str) -> None:
+        cards = self.staged.cards.withColumnsRenamed({"issued_on": "issued_date", "expires_on": "expiry_date"})
         sinks.write_feed(cards, f"{base}/cards/cards.csv", "csv")
-        merchants = s.merchants.withColumnRenamed("first_seen_on", "first_seen_date")
+
+    def write_merchants(self, base: str) -> None:
+        merchants = self.staged.merchants.withColumnRenamed("first_seen_on", "first_seen_date")
         sinks.write_feed(merchants, f"{base}/merchants/merchants.parquet", "parquet")
-        self._write_rates(f"{base}/fx_rates")
-        self._write_transactions(f"{base}/card_transactions")
-        return base
 
     def _write_rates(self, path: str) -> None:
         """One JSON array per month: a few currencies for each of its days."""
@@ -97,7 +114,8 @@ def customers(d: Delivery) -> DataFrame:
 
 
 def landed_metrics(d: Delivery) -> DataFrame:
-    return d.metrics.select("feed", "rows", "verdict")
+    """Figures from footers and file status; the size in bytes is the store's own affair, so only whether it is known."""
+    return d.metrics.select("feed", "rows", "partitions", (F.col("bytes") > 0).alias("has_bytes"), "verdict")
 
 
 def row_conservation(d: Delivery) -> DataFrame:
@@ -107,6 +125,7 @@ def row_conservation(d: Delivery) -> DataFrame:
         "accounts": readers.read_accounts(d.spark, f"{d.raw}/accounts/accounts.csv"),
         "cards": readers.read_cards(d.spark, f"{d.raw}/cards/cards.csv"),
         "merchants": readers.read_merchants(d.spark, f"{d.raw}/merchants/merchants.parquet"),
+        "fx_rates": readers.read_fx_rates(d.spark, d.raw),
         "card_transactions": readers.read_transactions(d.spark, f"{d.raw}/card_transactions", "parquet"),
     }
     return lake.row_conservation(d.spark, sources, d.lake)
@@ -115,3 +134,175 @@ def row_conservation(d: Delivery) -> DataFrame:
 def contract_verdicts(d: Delivery) -> DataFrame:
     told = contracts.check_all(contracts.load_contracts(contracts.BUNDLED), readers.observe_all(d.spark, d.raw, "parquet"))
     return contracts.verdict_table(d.spark, told).select("feed", "verdict")
+
+
+# ------------------------------------------------------------------ a delivery that breaks its contracts
+
+
+class FaultyDelivery(Delivery):
+    """The same tables with a renamed field, a field too many, and values outside the code lists.
+
+    Every fault is arithmetic on the keys of the given rows.
+    """
+
+    def write_state(self, base: str, snapshot: int) -> None:
+        s = self.staged
+        people = s.customers[snapshot].rows
+        number = F.substring("customer_id", 5, 9).cast("long")
+        document = F.when(number % 41 == 3, F.replace("document", F.lit('"country":"GB"'), F.lit('"country":"XX"')))
+        people.select(F.coalesce(document, F.col("document")).alias("document")).write.text(f"{base}/customers/customers.jsonl")
+        accounts = s.accounts[snapshot].rows.withColumnsRenamed(
+            {"opened_on": "opened_date", "closed_on": "closed_date", "product_code": "product"}
+        )
+        sinks.write_feed(accounts, f"{base}/accounts/accounts.csv", "csv")
+
+    def write_cards(self, base: str) -> None:
+        number = F.substring_index("card_id", "-", -1).cast("long")
+        cards = self.staged.cards.withColumnsRenamed({"issued_on": "issued_date", "expires_on": "expiry_date"})
+        odd = F.when(number % 37 == 5, "amex").otherwise(F.col("network"))
+        sinks.write_feed(cards.withColumn("network", odd), f"{base}/cards/cards.csv", "csv")
+
+    def write_merchants(self, base: str) -> None:
+        number = F.substring_index("merchant_id", "-", -1).cast("long")
+        merchants = self.staged.merchants.withColumnRenamed("first_seen_on", "first_seen_date")
+        merchants = merchants.withColumn("country", F.when(number % 29 != 0, F.col("country")))
+        sinks.write_feed(merchants.withColumn("vendor_score", number % 5), f"{base}/merchants/merchants.parquet", "parquet")
+
+    def _write_transactions(self, path: str) -> None:
+        line = F.substring_index("transaction_id", "-", -1).cast("long")
+        rows = self.staged.transactions
+        rows = rows.withColumn("channel", F.when((line == 7) & (F.col("mcc") == 5411), "teleport").otherwise(F.col("channel")))
+        Delivery(self.spark, replace(self.staged, transactions=rows))._write_transactions(path)
+
+    @cached_property
+    def refusal(self) -> str:
+        """What the gate says; nothing has been landed then."""
+        target = new_folder(self.spark, "refused")
+        try:
+            lake.land(self.spark, self.raw, target, fmt="parquet")
+        except contracts.SchemaDriftError as drift:
+            return str(drift)
+        return ""
+
+    @cached_property
+    def _landed(self) -> tuple[str, DataFrame]:
+        target = new_folder(self.spark, "landed")
+        return target, lake.land(self.spark, self.raw, target, fmt="parquet", force=True)
+
+
+def faulty_verdicts(d: FaultyDelivery) -> DataFrame:
+    """Every feed's verdict with its message and people, and whether the gate refused the batch."""
+    told = contracts.check_all(contracts.load_contracts(contracts.BUNDLED), readers.observe_all(d.spark, d.raw, "parquet"))
+    table = contracts.verdict_table(d.spark, told)
+    return table.select("feed", "verdict", "message", "owner", "producer", F.lit(bool(d.refusal)).alias("refused"))
+
+
+def verdict_summary(d: FaultyDelivery) -> DataFrame:
+    told = contracts.check_all(contracts.load_contracts(contracts.BUNDLED), readers.observe_all(d.spark, d.raw, "parquet"))
+    found = contracts.summarise(contracts.verdict_table(d.spark, told))
+    return found.select("verdict", "feeds", F.array_join("names", ", ").alias("names"))
+
+
+def value_rule_violations(d: FaultyDelivery) -> DataFrame:
+    """The tags of the quarantine over all six feeds of the forced landing."""
+    return lake.quarantined(d.spark, d.lake, [r["feed"] for r in d.metrics.select("feed").collect()])
+
+
+# ------------------------------------------------------------------ deliveries that follow one another
+
+
+class StateDeliveries:
+    """The snapshots of the current-state feeds, delivered and merged one after another into one lake."""
+
+    def __init__(self, spark: SparkSession, staged: Feeds) -> None:
+        self.spark = spark
+        self.staged = staged
+
+    @cached_property
+    def lake(self) -> str:
+        target = new_folder(self.spark, "state-lake")
+        wire = Delivery(self.spark, self.staged)
+        for i, snapshot in enumerate(self.staged.customers):
+            raw = new_folder(self.spark, "state")
+            wire.write_state(raw, i)
+            lake.land(self.spark, raw, target, fmt="parquet", taken_at=snapshot.taken_at)
+        # The newest delivery comes a second time, which changes nothing.
+        lake.land(self.spark, raw, target, fmt="parquet", taken_at=snapshot.taken_at)
+        return target
+
+    def history(self, feed: str) -> StateHistory:
+        return state_history.histories(self.spark, self.lake)[feed]
+
+
+def landed_versions(d: StateDeliveries) -> DataFrame:
+    """Open and closed customer rows after each landing, each read from its own committed version."""
+    history = d.history("customers")
+    parts = []
+    for number, taken_at in enumerate(history.landed(), start=1):
+        closed = F.count("valid_to").alias("closed_rows")
+        counted = history.read(taken_at).agg((F.count(F.lit(1)) - F.count("valid_to")).alias("open_rows"), closed)
+        parts.append(counted.select(F.lit(number).alias("version"), F.lit(taken_at).alias("taken_at"), "open_rows", "closed_rows"))
+    return union_all(parts)
+
+
+DAYS = 60
+MISSING, BURST = 45, 52
+
+
+class DailyDeliveries:
+    """The newest days of card transactions, landed as day partitions in two runs.
+
+    One day never comes, one comes with every row three times. The first run holds all six feeds and the
+    days before the last ten, the second the rest and no merchants.
+    """
+
+    def __init__(self, spark: SparkSession, staged: Feeds) -> None:
+        self.spark = spark
+        self.staged = staged
+
+    @cached_property
+    def _runs(self) -> tuple[str, list[dt.date]]:
+        raw, target = new_folder(self.spark, "daily"), new_folder(self.spark, "daily-lake")
+        last = self.staged.transactions.agg(F.max("posted_date")).first()[0]
+        place = F.datediff("posted_date", F.lit(last - dt.timedelta(days=DAYS - 1)))
+        rows = self.staged.transactions.where(place >= 0).withColumn("place", place)
+        rows = rows.where(F.col("place") != MISSING)
+        times = F.when(F.col("place") == BURST, 3).otherwise(1)
+        rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), times))).drop("copy")
+        rows = rows.withColumn("txn_timestamp", F.col("txn_timestamp").cast("timestamp"))
+        wire = Delivery(self.spark, self.staged)
+        runs = [last - dt.timedelta(days=10), last + dt.timedelta(days=1)]
+        names = [n for n in RAW_TRANSACTIONS.names if n != "posted_date"]
+        for run, (low, high) in zip(runs, ((0, DAYS - 10), (DAYS - 10, DAYS)), strict=True):
+            part = rows.where((F.col("place") >= low) & (F.col("place") < high)).select(*names, "posted_date")
+            if run == runs[0]:
+                wire.write_state(raw, -1)
+                wire.write_cards(raw)
+                wire.write_merchants(raw)
+                wire._write_rates(f"{raw}/fx_rates")
+                base = raw
+            else:  # the second delivery: files are added to the transactions, the merchants are not there
+                base = new_folder(self.spark, "daily")
+                wire.write_state(base, -1)
+                wire.write_cards(base)
+                wire._write_rates(f"{base}/fx_rates")
+            part.hint("rebalance", "posted_date").write.mode("append").partitionBy("posted_date").parquet(
+                f"{base}/card_transactions"
+            )
+            lake.land(self.spark, base, target, fmt="parquet", run_date=run)
+        return target, runs
+
+    @property
+    def lake(self) -> str:
+        return self._runs[0]
+
+
+def landed_freshness(d: DailyDeliveries) -> DataFrame:
+    landed = partition_figures(d.spark, f"{d.lake}/card_transactions", "posted_date")
+    return monitors.landed_freshness(landed)
+
+
+def arrival_report(d: DailyDeliveries) -> DataFrame:
+    """The second run against the declared calendar and the run before."""
+    ledger = ArrivalLedger(d.spark, f"{d.lake}/_arrivals")
+    return ledger.report(contracts.load_contracts(contracts.BUNDLED), d._runs[1][-1])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import as_utc, home_date
 from ledgerloom.schemas import LAKE_FLAT, LAKE_TRANSACTIONS_READ
+from ledgerloom.sources import state_history
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,9 @@ class Feeds:
     cards: DataFrame
     merchants: DataFrame
     fx_rates: DataFrame
+    # The lasting histories, where a lake keeps them; else they are merged from the snapshots.
+    customer_history: DataFrame | None = None
+    account_history: DataFrame | None = None
 
 
 def with_auth_date(transactions: DataFrame) -> DataFrame:
@@ -76,13 +80,24 @@ def scan_lake(spark: SparkSession, lake: str, table: str, columns: list[str] | N
     return df.select(*columns) if columns else df
 
 
-def load(spark: SparkSession, lake: str, taken_at: str) -> Feeds:
-    """The feeds as landed, with their current state taken at `taken_at`."""
+def load(spark: SparkSession, lake: str, taken_at: str | None = None) -> Feeds:
+    """The feeds as landed.
+
+    Without `taken_at` the Type 2 histories are those that the lake's landings have built up; with it they
+    start from the current state, taken at that instant.
+    """
+    kept = state_history.histories(spark, lake) if taken_at is None else {}
+    landed = {feed: history.landed() for feed, history in kept.items()}
+    if taken_at is None and not all(landed.values()):
+        raise LookupError(f"{lake} keeps no history of {', '.join(f for f, done in landed.items() if not done)}")
+    at = {feed: done[-1] for feed, done in landed.items()} or dict.fromkeys(state_history.WATCHED, taken_at)
     return Feeds(
         transactions=scan_lake(spark, lake, "card_transactions"),
-        customers=(Snapshot(taken_at, stage_customers(scan_lake(spark, lake, "customers"))),),
-        accounts=(Snapshot(taken_at, stage_accounts(scan_lake(spark, lake, "accounts"))),),
+        customers=(Snapshot(at["customers"], stage_customers(scan_lake(spark, lake, "customers"))),),
+        accounts=(Snapshot(at["accounts"], stage_accounts(scan_lake(spark, lake, "accounts"))),),
         cards=stage_cards(scan_lake(spark, lake, "cards")),
         merchants=stage_merchants(scan_lake(spark, lake, "merchants")),
         fx_rates=stage_fx_rates(scan_lake(spark, lake, "fx_rates")),
+        customer_history=kept["customers"].read() if kept else None,
+        account_history=kept["accounts"].read() if kept else None,
     )

@@ -1,15 +1,33 @@
-"""Landing: contract gate first, then every feed into Parquet under its canonical schema."""
+"""Landing: contract gate first, then every delivered feed into Parquet under its canonical schema.
+
+What a lake holds beside its tables:
+
+    _files       which transaction files have been landed (`file_index`)
+    _quarantine  rows that break a value rule of their contract, with the rules; they land all the same
+    _history     Type 2 histories of the current-state feeds (`state_history`)
+    _arrivals    which feed came in which run (`arrivals`)
+    _ingest      the figures of the newest landing
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources import contracts, readers
+from ledgerloom.operators import checks
+from ledgerloom.schemas import RAW_CUSTOMER
+from ledgerloom.sources import contracts, feeds, readers, state_history
+from ledgerloom.sources.arrivals import ArrivalLedger
+from ledgerloom.sources.figures import partition_figures, table_figures
+from ledgerloom.sources.file_index import Changes, FileIndex
 from ledgerloom.sources.sinks import counted_write
 
+TRANSACTIONS = "card_transactions"
+
 
 def gate(spark: SparkSession, raw: str, folder: Path, fmt: str, force: bool = False) -> list[contracts.Verdict]:
     """The verdicts of all delivered feeds; raises before anything is written."""
@@ -18,6 +36,16 @@ def gate(spark: SparkSession, raw: str, folder: Path, fmt: str, force: bool = Fa
     return verdicts
 
 
+def _flat(raw: str) -> dict[str, tuple]:
+    return {
+        "customers": (readers.read_customers, f"{raw}/customers/customers.jsonl"),
+        "accounts": (readers.read_accounts, f"{raw}/accounts/accounts.csv"),
+        "cards": (readers.read_cards, f"{raw}/cards/cards.csv"),
+        "merchants": (readers.read_merchants, f"{raw}/merchants/merchants.parquet"),
+        "fx_rates": (readers.read_fx_rates, raw),
+    }
+
+
 def land(
     spark: SparkSession,
     raw: str,
@@ -25,35 +53,104 @@ def land(
     folder: Path = contracts.BUNDLED,
     fmt: str = "avro",
     force: bool = False,
+    taken_at: str | None = None,
+    run_date: dt.date | None = None,
 ) -> DataFrame:
-    """Land a delivery; returns (and keeps under `_ingest`) the rows written per feed.
+    """Land a delivery; returns (and keeps under `_ingest`) what the lake holds of each delivered feed.
 
-    Each feed is one distributed job; row counts are observed while writing.
+    A feed that did not come keeps its last state. Of the transactions only days with new, changed or
+    vanished files are landed. With `taken_at` the current-state feeds are merged into their histories as
+    of that instant; with `run_date` the run is entered in the arrival ledger.
     """
     verdicts = gate(spark, raw, folder, fmt, force)
-    flat = {
-        "customers": readers.read_customers(spark, f"{raw}/customers/customers.jsonl"),
-        "accounts": readers.read_accounts(spark, f"{raw}/accounts/accounts.csv"),
-        "cards": readers.read_cards(spark, f"{raw}/cards/cards.csv"),
-        "merchants": readers.read_merchants(spark, f"{raw}/merchants/merchants.parquet"),
-        "fx_rates": readers.read_fx_rates(spark, raw),
-    }
-    counts = {feed: counted_write(df, f"{lake}/{feed}") for feed, df in flat.items()}
-    avro_schema = (Path(folder) / "card_transactions.v2.avsc").read_text() if fmt == "avro" else None
-    history = readers.read_transactions(spark, f"{raw}/card_transactions", fmt, avro_schema)
-    counts["card_transactions"] = counted_write(history, f"{lake}/card_transactions", "posted_date")
-
-    days = readers.partition_dates(spark, f"{lake}/card_transactions").count()
-    metrics = spark.createDataFrame(
-        [(feed, n, days if feed == "card_transactions" else None) for feed, n in counts.items()],
-        "feed string, rows bigint, partitions bigint",
-    )
+    came = [v.feed for v in verdicts]
+    for feed, (read, path) in _flat(raw).items():
+        if feed in came:
+            counted_write(read(spark, path), f"{lake}/{feed}")
+    days = land_transactions(spark, raw, lake, folder, fmt).days if TRANSACTIONS in came else []
+    quarantine(spark, lake, came, folder)
+    if taken_at:
+        land_state(spark, lake, taken_at, came)
+    metrics = landed_figures(spark, lake, came)
     told = contracts.verdict_table(spark, verdicts).select("feed", "verdict", "message")
     metrics = metrics.join(told, "feed", "left")
     metrics.write.mode("overwrite").json(f"{lake}/_ingest")
+    if run_date:
+        ArrivalLedger(spark, f"{lake}/_arrivals").record(run_date, arrived(spark, lake, metrics, days))
     return metrics
 
 
+def land_transactions(spark: SparkSession, raw: str, lake: str, folder: Path, fmt: str) -> Changes:
+    """The days whose files changed since the last landing, replaced whole."""
+    base = f"{raw}/{TRANSACTIONS}"
+    index = FileIndex(spark, f"{lake}/_files")
+    changes = index.changes(base, lambda path: readers.writer_version(spark, path, fmt))
+    if changes.days:
+        avro_schema = (Path(folder) / "card_transactions.v2.avsc").read_text() if fmt == "avro" else None
+        rows = readers.read_transactions(spark, base, fmt, avro_schema, changes.files, changes.days)
+        counted_write(rows, f"{lake}/{TRANSACTIONS}", "posted_date")
+    changes.commit()
+    return changes
+
+
+def land_state(spark: SparkSession, lake: str, taken_at: str, came: Iterable[str] = tuple(state_history.WATCHED)) -> None:
+    """Merge the landed current state into the histories."""
+    stage = {"customers": feeds.stage_customers, "accounts": feeds.stage_accounts}
+    for feed, history in state_history.histories(spark, lake).items():
+        if feed in came:
+            history.land(stage[feed](feeds.scan_lake(spark, lake, feed)), taken_at)
+
+
+def _in_contract_shape(spark: SparkSession, lake: str, feed: str) -> DataFrame:
+    """A landed feed under the field names of its contract."""
+    if feed == "customers":
+        documents = feeds.scan_lake(spark, lake, feed, ["document"])
+        return documents.select(F.from_json("document", RAW_CUSTOMER).alias("c")).select("c.*")
+    return feeds.scan_lake(spark, lake, feed)
+
+
+def quarantine(spark: SparkSession, lake: str, landed: Iterable[str], folder: Path = contracts.BUNDLED) -> None:
+    """Tag the rows of the landed feeds that break a value rule of their contract files: one pass a feed."""
+    for feed in landed:
+        rules, key = contracts.feed_rules(folder, feed)
+        broken = contracts.broken_rows(_in_contract_shape(spark, lake, feed), rules, key)
+        broken.hint("rebalance").write.mode("overwrite").parquet(f"{lake}/_quarantine/{feed}")
+
+
+def quarantined(spark: SparkSession, lake: str, landed: Iterable[str]) -> DataFrame:
+    """`feed, check, violations` over the tags of all feeds; rules that nothing breaks have no row."""
+    parts = [
+        spark.read.parquet(f"{lake}/_quarantine/{feed}")
+        .select(F.explode("broken").alias("check"))
+        .groupBy("check")
+        .agg(F.count(F.lit(1)).alias("violations"))
+        .select(F.lit(feed).alias("feed"), "check", "violations")
+        for feed in landed
+    ]
+    return checks.union_all(parts)
+
+
+def landed_figures(spark: SparkSession, lake: str, landed: Iterable[str]) -> DataFrame:
+    """`feed, rows, bytes, partitions`: what lies in the lake, by file footers and file status."""
+    parts = []
+    for feed in landed:
+        by = "posted_date" if feed == TRANSACTIONS else None
+        figures = table_figures(spark, f"{lake}/{feed}", by)
+        parts.append(figures.select(F.lit(feed).alias("feed"), "rows", "bytes", "partitions"))
+    return checks.union_all(parts)
+
+
+def arrived(spark: SparkSession, lake: str, landed: DataFrame, days: list[dt.date]) -> DataFrame:
+    """`feed, rows, bytes` of one run: whole states as they are, and the days of transactions that it landed."""
+    states = landed.where(F.col("feed") != TRANSACTIONS).select("feed", "rows", "bytes")
+    if not days:
+        return states
+    of_run = partition_figures(spark, f"{lake}/{TRANSACTIONS}", "posted_date").where(F.col("posted_date").isin(days))
+    return states.unionByName(of_run.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).select(
+        F.lit(TRANSACTIONS).alias("feed"), "rows", "bytes"
+    ))
+
+
 def row_conservation(spark: SparkSession, raw_counts: dict[str, DataFrame], lake: str) -> DataFrame:
     """Raw and landed rows per feed; `lost` must be zero."""
     parts = []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import datetime as dt
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +20,7 @@ from ledgerloom.schemas import (
     RAW_TRANSACTIONS,
     RAW_TRANSACTIONS_V1_FIELDS,
 )
+from ledgerloom.sources.file_index import listed, versions_of
 
 # The tokens the cards extract uses for "no value".
 NULL_TOKENS = (
@@ -105,22 +106,9 @@ def _source(spark: SparkSession, fmt: str, path: str | list[str], **options: str
         raise
 
 
-def day_files(spark: SparkSession, base: str) -> list[tuple[str, str]]:
-    """`(day, path)` of the files below day directories, in order: one glob of the file system, nothing opened."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/*_date=*/*")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    paths = [status.getPath() for status in found]
-    return sorted(
-        (path.getParent().getName().rpartition("=")[2], path.toString())
-        for path in paths
-        if path.getName()[0] not in "._"
-    )
-
-
 def partition_dates(spark: SparkSession, base: str) -> DataFrame:
     """The day partitions that hold files, in order."""
-    days = sorted({day for day, _ in day_files(spark, base)})
-    return spark.createDataFrame([(day,) for day in days], "day string").select(F.col("day").cast("date")).orderBy("day")
+    return listed(spark, base).select("day").distinct().orderBy("day")
 
 
 def writer_fields(spark: SparkSession, path: str, fmt: str) -> frozenset[str]:
@@ -130,45 +118,42 @@ def writer_fields(spark: SparkSession, path: str, fmt: str) -> frozenset[str]:
     return frozenset(_source(spark, fmt, path).schema.names)
 
 
-def feed_versions(spark: SparkSession, files: list[tuple[str, str]], fmt: str) -> DataFrame:
-    """`day`, `file`, `feed_version`: which writer each file came from, by its own header or footer.
-
-    A delivery's files are looked at one by one, sixteen at a time (metadata only): files of both
-    versions can share a day.
-    """
-
-    def version(path: str) -> int:
-        fields = writer_fields(spark, path, fmt) | {"posted_date"}
-        return 1 if fields == RAW_TRANSACTIONS_V1_FIELDS else 2
-
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        versions = list(pool.map(version, [path for _, path in files]))
-    rows = [(day, path.rpartition("/")[2], v) for (day, path), v in zip(files, versions, strict=True)]
-    table = spark.createDataFrame(rows, "day string, file string, feed_version tinyint")
-    return table.withColumn("day", F.col("day").cast("date"))
+def writer_version(spark: SparkSession, path: str, fmt: str) -> int:
+    """Which writer a transaction file came from, by its own header or footer."""
+    return 1 if writer_fields(spark, path, fmt) | {"posted_date"} == RAW_TRANSACTIONS_V1_FIELDS else 2
 
 
 def read_transactions(
-    spark: SparkSession, base: str, fmt: str = "avro", avro_schema: str | None = None
+    spark: SparkSession,
+    base: str,
+    fmt: str = "avro",
+    avro_schema: str | None = None,
+    index: DataFrame | None = None,
+    days: list[dt.date] | None = None,
 ) -> DataFrame:
-    """The whole mixed history as one frame in canonical columns, `feed_version` saying who wrote it.
+    """The mixed history, or only some days of it, as one frame in canonical columns.
 
     Every file is read with the one full schema: fields a file does not have come back null, none it
-    has is left out. The version is the file's own; `posted_date` is the directory's.
+    has is left out. `feed_version` is the file's own, as `index` knows it (see `file_index`); without
+    an index every file is opened once. `posted_date` is the directory's.
     """
-    files = day_files(spark, base)
-    if not files:
+    if index is None:
+        files = listed(spark, base)
+        index = versions_of(spark, files, lambda path: writer_version(spark, path, fmt))
+    if index.isEmpty():
         return spark.createDataFrame([], LAKE_TRANSACTIONS_READ)
-    reader = spark.read.format(fmt).option("basePath", base)
+    reader = spark.read.format(fmt)
     if fmt == "avro" and avro_schema:
         reader = reader.option("avroSchema", avro_schema)
     else:
         reader = reader.schema(RAW_TRANSACTIONS)
-    history = reader.load([path for _, path in files])
+    history = reader.load(base)
+    if days is not None:
+        history, index = history.where(F.col("posted_date").isin(days)), index.where(F.col("day").isin(days))
     # The metadata column has the name as in a URI.
     name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     history = history.withColumn("_file", name)
-    versions = feed_versions(spark, files, fmt)
+    versions = index.select("day", "file", "feed_version")
     tagged = history.join(
         versions, (history["posted_date"] == versions["day"]) & (history["_file"] == versions["file"]), "left"
     )
@@ -212,9 +197,9 @@ def observe_parquet(spark: SparkSession, path: str) -> frozenset[str]:
 
 
 def _newest(spark: SparkSession, base: str) -> str | None:
-    """The newest partition's last file: the one that would carry a producer's change."""
-    files = day_files(spark, base)
-    return files[-1][1] if files else None
+    """The last file of the last day: a producer's change shows there first."""
+    last = listed(spark, base).agg(F.max(F.struct("day", "path")).alias("f")).first()["f"]
+    return last["path"] if last else None
 
 
 def observe_all(spark: SparkSession, raw: str, transactions_format: str = "avro") -> dict[str, frozenset[str]]:

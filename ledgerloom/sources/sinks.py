@@ -13,11 +13,12 @@ def counted_write(df: DataFrame, path: str, partition_by: str | None = None) ->
     """Write Parquet and return the row count, observed during the write instead of recounted.
 
     `rebalance` splits a hot partition value over several files and merges small ones. Only the
-    partitions that `df` holds are replaced.
+    partitions that `df` holds are replaced. Rows are counted after that shuffle, in the tasks that
+    write them, each of which counts once however often it ran.
     """
     seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("n"))
-    out = out.hint("rebalance", partition_by) if partition_by else out.hint("rebalance")
+    out = df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
+    out = out.observe(seen, F.count(F.lit(1)).alias("n"))
     writer = out.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return int(seen.get["n"])

@@ -661,8 +661,9 @@ QUERIES: dict[str, str] = {
         FROM rule_hits GROUP BY 1""",
     "freshness_3sigma": "SELECT * FROM day_counts",
     "fresh_yesterday": """
-        SELECT posted_date AS due_date, TRUE AS arrived, coalesce(within_limits, FALSE) AS fresh
-        FROM day_counts WHERE posted_date = (SELECT max(posted_date) FROM survivors)""",
+        SELECT max(posted_date) AS due_date, count(*) > 0 AS arrived,
+               count(*) > 0 AND coalesce(bool_and(within_limits), FALSE) AS fresh
+        FROM day_counts WHERE posted_date = DATE '1998-11-01'""",
     "fx_coverage": """
         SELECT count(*) AS pairs_in_use, count(*) FILTER (rate_to_gbp IS NULL) AS pairs_without_rate
         FROM (SELECT DISTINCT posted_date AS rate_date, currency FROM survivors) LEFT JOIN dense_rates USING (rate_date, currency)""",
@@ -742,22 +743,147 @@ QUERIES: dict[str, str] = {
                count(is_recurring) AS with_recurring, count(DISTINCT date_trunc('month', posted_date + 15)) AS days
         FROM txn GROUP BY 1""",
     "landed_metrics": """
-        SELECT 'customers' AS feed, count(*) AS "rows", 'compatible' AS verdict FROM people_now
-        UNION ALL SELECT 'accounts', count(*), 'compatible' FROM acct_now
-        UNION ALL SELECT 'cards', count(*), 'compatible' FROM stg_card
-        UNION ALL SELECT 'merchants', count(*), 'compatible' FROM stg_mer
-        UNION ALL SELECT 'fx_rates', count(*), 'compatible' FROM rates
-        UNION ALL SELECT 'card_transactions', count(*), 'compatible' FROM txn""",
+        SELECT feed, n AS "rows", CAST(parts AS BIGINT) AS partitions, TRUE AS has_bytes, 'compatible' AS verdict FROM (
+          SELECT 'customers' AS feed, count(*) AS n, NULL AS parts FROM people_now
+          UNION ALL SELECT 'accounts', count(*), NULL FROM acct_now
+          UNION ALL SELECT 'cards', count(*), NULL FROM stg_card
+          UNION ALL SELECT 'merchants', count(*), NULL FROM stg_mer
+          UNION ALL SELECT 'fx_rates', count(*), NULL FROM rates
+          UNION ALL SELECT 'card_transactions', count(*), count(DISTINCT date_trunc('month', posted_date + 15)) FROM txn)""",
     "row_conservation": """
         SELECT feed, n AS raw_rows, n AS lake_rows, CAST(0 AS BIGINT) AS lost FROM (
           SELECT 'customers' AS feed, count(*) AS n FROM people_now
           UNION ALL SELECT 'accounts', count(*) FROM acct_now
           UNION ALL SELECT 'cards', count(*) FROM stg_card
           UNION ALL SELECT 'merchants', count(*) FROM stg_mer
+          UNION ALL SELECT 'fx_rates', count(*) FROM rates
           UNION ALL SELECT 'card_transactions', count(*) FROM txn)""",
     "contract_verdicts": """
         SELECT feed, 'compatible' AS verdict FROM (VALUES ('customers'), ('accounts'), ('cards'), ('merchants'),
                                                           ('fx_rates'), ('card_transactions')) AS f(feed)""",
+    "contract_verdicts_faulty": """
+        SELECT *, TRUE AS refused FROM (VALUES
+          ('accounts', 'breaking', 'accounts: breaking, missing product_code; renamed to product? (producer core-banking, owner core-banking@example.com)', 'core-banking@example.com', 'core-banking'),
+          ('card_transactions', 'compatible', 'card_transactions: compatible', 'cards-platform@example.com', 'card-processor-gateway'),
+          ('cards', 'compatible', 'cards: compatible', 'cards-platform@example.com', 'core-banking'),
+          ('customers', 'compatible', 'customers: compatible', 'onboarding@example.com', 'onboarding-platform'),
+          ('fx_rates', 'compatible', 'fx_rates: compatible', 'treasury@example.com', 'treasury-rates-api'),
+          ('merchants', 'additive', 'merchants: additive, unknown vendor_score (owner data-platform@example.com)', 'data-platform@example.com', 'merchant-enrichment-vendor')
+        ) AS v(feed, verdict, message, owner, producer)""",
+    "contract_summary_faulty": """
+        SELECT * FROM (VALUES ('breaking', 1::BIGINT, 'accounts'), ('additive', 1, 'merchants'),
+                              ('compatible', 4, 'card_transactions, cards, customers, fx_rates')) AS v(verdict, feeds, names)""",
+    "value_rule_violations": """
+        SELECT * FROM (
+          SELECT 'customers' AS feed, 'address.country enum' AS "check", count(*) AS violations FROM people_now
+            WHERE CAST(substr(customer_id, 5) AS BIGINT) % 41 = 3
+          UNION ALL SELECT 'customers', 'address.postcode pattern', count(*) FROM people_now
+            WHERE NOT regexp_matches(postcode, '^[A-Z]{1,2}[0-9][A-Z0-9]? ?[0-9][A-Z]{2}$')
+          UNION ALL SELECT 'accounts', 'product_code required', count(*) FROM acct_now
+          UNION ALL SELECT 'cards', 'network enum', count(*) FROM stg_card WHERE CAST(split_part(card_id, '-', 2) AS BIGINT) % 37 = 5
+          UNION ALL SELECT 'merchants', 'country required', count(*) FROM stg_mer WHERE CAST(split_part(merchant_id, '-', 2) AS BIGINT) % 29 = 0
+          UNION ALL SELECT 'card_transactions', 'channel enum', count(*) FROM txn WHERE split_part(transaction_id, '-', 3) = '7' AND mcc = 5411)
+        WHERE violations > 0""",
+    "history_from_lake_customers": """
+        SELECT customer_id, segment, kyc_status, kyc_risk_band, valid_from, valid_to FROM people_history""",
+    "history_from_lake_accounts": """
+        SELECT account_id, product_code, status, closed_on, valid_from, valid_to FROM acct_history""",
+    "history_versions": """
+        SELECT CAST(snap AS INTEGER) AS version, strftime(taken_at, '%Y-%m-%d %H:%M:%S') AS taken_at,
+               count(*) FILTER (valid_to IS NULL OR valid_to > taken_at) AS open_rows,
+               count(*) FILTER (valid_to <= taken_at) AS closed_rows
+        FROM snap_times JOIN people_history ON valid_from <= taken_at GROUP BY 1, 2""",
+    "freshness_landed": """
+        WITH w AS (SELECT max(posted_date) - 59 AS first, max(posted_date) AS last FROM txn),
+             t AS (SELECT posted_date, count(*) * CASE WHEN posted_date - (SELECT first FROM w) = 52 THEN 3 ELSE 1 END AS n
+                   FROM txn WHERE posted_date >= (SELECT first FROM w) AND posted_date - (SELECT first FROM w) <> 45 GROUP BY 1),
+             s AS (SELECT CAST(unnest(generate_series((SELECT min(posted_date) FROM t), (SELECT max(posted_date) FROM t), INTERVAL 1 DAY)) AS DATE) AS posted_date),
+             h AS (SELECT d.posted_date, count(*) AS days, sum(p.n)::DOUBLE AS s1, sum(p.n * p.n)::DOUBLE AS s2
+                   FROM t d JOIN t p ON p.posted_date >= d.posted_date - 28 AND p.posted_date < d.posted_date GROUP BY 1),
+             j AS (SELECT t.posted_date, n, coalesce(days, 0) AS days, s1 / days AS mean,
+                          sqrt((days * s2 - s1 * s1) / nullif(days * (days - 1), 0)) AS sigma FROM t LEFT JOIN h USING (posted_date))
+        SELECT s.posted_date, CAST(coalesce(n, 0) AS BIGINT) AS txn_count, days AS history_days, round(mean, 6) AS trailing_mean,
+               round(sigma, 6) AS trailing_sigma, abs(n - mean) <= 3 * sigma AS within_limits, n IS NOT NULL AS arrived
+        FROM s LEFT JOIN j USING (posted_date)""",
+    "feed_arrival_ledger": """
+        WITH w AS (SELECT max(posted_date) - 59 AS first, max(posted_date) AS last FROM txn),
+             t AS (SELECT posted_date - (SELECT first FROM w) AS place FROM txn WHERE posted_date >= (SELECT first FROM w)),
+             c AS (
+               SELECT 'customers' AS feed, (SELECT count(*) FROM people_now) AS row_count, (SELECT count(*) FROM people_now) AS previous_count
+               UNION ALL SELECT 'accounts', (SELECT count(*) FROM acct_now), (SELECT count(*) FROM acct_now)
+               UNION ALL SELECT 'cards', (SELECT count(*) FROM stg_card), (SELECT count(*) FROM stg_card)
+               UNION ALL SELECT 'fx_rates', (SELECT count(*) FROM rates), (SELECT count(*) FROM rates)
+               UNION ALL SELECT 'merchants', 0, (SELECT count(*) FROM stg_mer)
+               UNION ALL SELECT 'card_transactions',
+                      (SELECT count(*) FILTER (place >= 50) + 2 * count(*) FILTER (place = 52) FROM t),
+                      (SELECT count(*) FILTER (place < 50 AND place <> 45) FROM t))
+        SELECT feed, feed <> 'merchants' OR isodow(last + 1) = 1 AS due, row_count > 0 AS arrived,
+               row_count, previous_count, row_count - previous_count AS change,
+               CASE WHEN row_count > 0 THEN 'arrived' WHEN isodow(last + 1) = 1 THEN 'absent' ELSE 'not due' END AS status
+        FROM c CROSS JOIN w""",
+    "declared_checks": """
+        SELECT 'fact.customer_key' AS "check", count(*) AS violations FROM f WHERE customer_key NOT IN (SELECT customer_key FROM d_customer)
+        UNION ALL SELECT 'fact.account_key', count(*) FROM f WHERE account_key NOT IN (SELECT account_key FROM d_account)
+        UNION ALL SELECT 'fact.merchant_key', count(*) FROM f WHERE merchant_key NOT IN (SELECT merchant_key FROM d_merchant)
+        UNION ALL SELECT 'fact.card_key', count(*) FROM f WHERE card_key NOT IN (SELECT card_key FROM d_card)
+        UNION ALL SELECT 'fact.txn_context_key', count(*) FROM f WHERE txn_context_key NOT IN (SELECT txn_context_key FROM d_context)
+        UNION ALL SELECT 'fact.posted_date_key', count(*) FROM f WHERE posted_date_key NOT IN (SELECT date_key FROM d_date)
+        UNION ALL SELECT 'accounts.customer_id', count(*) FROM acct_now WHERE customer_id NOT IN (SELECT customer_id FROM people_now)
+        UNION ALL SELECT 'cards.account_id', count(*) FROM stg_card WHERE account_id NOT IN (SELECT account_id FROM acct_now)
+        UNION ALL SELECT 'deduped.transaction_id unique' AS "check", count(transaction_id) - count(DISTINCT transaction_id) AS violations FROM survivors
+        UNION ALL SELECT 'fact.transaction_id unique' AS "check", count(transaction_id) - count(DISTINCT transaction_id) AS violations FROM f
+        UNION ALL SELECT 'customers.customer_id unique' AS "check", count(customer_id) - count(DISTINCT customer_id) AS violations FROM people_now
+        UNION ALL SELECT 'accounts.account_id unique' AS "check", count(account_id) - count(DISTINCT account_id) AS violations FROM acct_now
+        UNION ALL SELECT 'cards.card_id unique' AS "check", count(card_id) - count(DISTINCT card_id) AS violations FROM stg_card
+        UNION ALL SELECT 'merchants.merchant_id unique' AS "check", count(merchant_id) - count(DISTINCT merchant_id) AS violations FROM stg_mer
+        UNION ALL SELECT 'dim_customer.customer_key unique' AS "check", count(customer_key) - count(DISTINCT customer_key) AS violations FROM d_customer
+        UNION ALL SELECT 'dim_account.account_key unique' AS "check", count(account_key) - count(DISTINCT account_key) AS violations FROM d_account
+        UNION ALL SELECT 'dim_date.date_key unique' AS "check", count(date_key) - count(DISTINCT date_key) AS violations FROM d_date
+        UNION ALL SELECT 'dim_txn_context.txn_context_key unique' AS "check", count(txn_context_key) - count(DISTINCT txn_context_key) AS violations FROM d_context
+        UNION ALL SELECT 'dim_merchant.merchant_key unique' AS "check", count(merchant_key) - count(DISTINCT merchant_key) AS violations FROM d_merchant
+        UNION ALL SELECT 'dim_card.card_key unique' AS "check", count(card_key) - count(DISTINCT card_key) AS violations FROM d_card
+        UNION ALL SELECT 'transactions.transaction_id not null' AS "check", count(*) - count(transaction_id) AS violations FROM staged
+        UNION ALL SELECT 'transactions.currency not null' AS "check", count(*) - count(currency) AS violations FROM staged
+        UNION ALL SELECT 'customers.customer_id not null' AS "check", count(*) - count(customer_id) AS violations FROM people_now
+        UNION ALL SELECT 'accounts.account_id not null' AS "check", count(*) - count(account_id) AS violations FROM acct_now
+        UNION ALL SELECT 'cards.card_id not null' AS "check", count(*) - count(card_id) AS violations FROM stg_card
+        UNION ALL SELECT 'merchants.merchant_id not null' AS "check", count(*) - count(merchant_id) AS violations FROM stg_mer
+        UNION ALL SELECT 'fx_rates.rate_to_gbp not null' AS "check", count(*) - count(rate_to_gbp) AS violations FROM rates
+        UNION ALL SELECT 'fx_daily.rate_to_gbp not null' AS "check", count(*) - count(rate_to_gbp) AS violations FROM dense_rates
+        UNION ALL SELECT 'deduped.transaction_id not null' AS "check", count(*) - count(transaction_id) AS violations FROM survivors
+        UNION ALL SELECT 'fact.transaction_id not null' AS "check", count(*) - count(transaction_id) AS violations FROM f
+        UNION ALL SELECT 'fact.amount_gbp_minor not null' AS "check", count(*) - count(amount_gbp_minor) AS violations FROM f
+        UNION ALL SELECT 'fact.txn_context_key not null' AS "check", count(*) - count(txn_context_key) AS violations FROM f
+        UNION ALL SELECT 'fact.fx_rate_to_gbp not null' AS "check", count(*) - count(fx_rate_to_gbp) AS violations FROM f
+        UNION ALL SELECT 'fact.dq_score not null' AS "check", count(*) - count(dq_score) AS violations FROM f
+        UNION ALL SELECT 'dim_customer.customer_key not null' AS "check", count(*) - count(customer_key) AS violations FROM d_customer
+        UNION ALL SELECT 'dim_customer.customer_id not null' AS "check", count(*) - count(customer_id) AS violations FROM d_customer
+        UNION ALL SELECT 'dim_account.account_key not null' AS "check", count(*) - count(account_key) AS violations FROM d_account
+        UNION ALL SELECT 'dim_account.customer_id not null' AS "check", count(*) - count(customer_id) AS violations FROM d_account
+        UNION ALL SELECT 'dim_date.date_key not null' AS "check", count(*) - count(date_key) AS violations FROM d_date
+        UNION ALL SELECT 'dim_date.calendar_date not null' AS "check", count(*) - count(calendar_date) AS violations FROM d_date
+        UNION ALL SELECT 'dim_txn_context.txn_context_key not null' AS "check", count(*) - count(txn_context_key) AS violations FROM d_context
+        UNION ALL SELECT 'dim_merchant.merchant_key not null' AS "check", count(*) - count(merchant_key) AS violations FROM d_merchant
+        UNION ALL SELECT 'dim_card.card_key not null' AS "check", count(*) - count(card_key) AS violations FROM d_card
+        UNION ALL SELECT 'agg_customer_category_month.spend_gbp_minor not null' AS "check", count(*) - count(spend_gbp_minor) AS violations FROM monthly_agg
+        UNION ALL SELECT 'agg_dq_scorecard.pass_rate not null' AS "check", count(*) - count(pass_rate) AS violations FROM scorecard
+        UNION ALL SELECT 'transactions.feed_version accepted values' AS "check", count(*) FILTER (feed_version NOT IN (1, 2)) AS violations FROM txn
+        UNION ALL SELECT 'dim_customer.segment accepted values',
+               count(*) FILTER (segment NOT IN ('mass', 'student', 'affluent', 'premier', 'unknown')) FROM d_customer
+        UNION ALL SELECT 'dim_customer.kyc_status accepted values',
+               count(*) FILTER (kyc_status NOT IN ('verified', 'pending', 'referred', 'rejected', 'unknown')) FROM d_customer""",
+    "publish_audit": """
+        SELECT attempt, attempt = 'clean' AS published, CAST(1 AS INTEGER) AS version,
+               CASE WHEN attempt = 'clean' THEN ''
+                    WHEN (SELECT sum(amount_gbp_minor) FROM wide WHERE is_settled AND posted_date = (SELECT min(posted_date) FROM f)) <> 0
+                    THEN 'aggregate and fact differ, transaction repeated' ELSE 'transaction repeated' END AS violated,
+               (SELECT count(*) FROM f) AS fact_rows
+        FROM (VALUES ('clean'), ('overlapping load')) AS v(attempt)""",
+    "active_customers_daily": """
+        WITH a AS (SELECT DISTINCT posted_date, customer_id FROM wide WHERE is_settled AND txn_type = 'purchase'),
+             d AS (SELECT CAST(unnest(generate_series((SELECT min(posted_date) FROM a), (SELECT max(posted_date) FROM a), INTERVAL 1 DAY)) AS DATE) AS day)
+        SELECT day AS posted_date, count(DISTINCT customer_id) AS active_customers
+        FROM d JOIN a ON a.posted_date > day - 30 AND a.posted_date <= day GROUP BY 1""",
     "serving_customers": """
         SELECT customer_id, segment, kyc_status, kyc_risk_band, onboarded_on, first_name, last_name, email, city,
                CAST(NULL AS VARCHAR) AS postcode FROM now_customers""",

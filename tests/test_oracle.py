@@ -9,7 +9,7 @@ from tests.conftest import SF_DIR
 from tests.oracle_compare import compare, connect
 
 # Queries of the optional package have tests of their own.
-OWN = {*entry._BUILDERS, *entry._INGEST}
+OWN = {*entry._BUILDERS, *entry._INGEST, *entry._OTHER_DELIVERIES}
 QUERIES = {name: query for name, query in entry.queries().items() if name in OWN}
 ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if name in OWN}
 
