@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ledgerloom.operators import asof, reshape, scd2
-from ledgerloom.plans import marts, metrics, patterns, reports, serving, spend
+from ledgerloom.plans import marts, metrics, patterns, publishing, reports, serving, spend
 from ledgerloom.plans.warehouse import GoldMarts, Warehouse
 from ledgerloom.session import build_session, new_folder, shared_folder
 from ledgerloom.sources import sinks
@@ -191,13 +192,14 @@ def test_segment_by_time_differs_from_segment_today(w):
 
 @pytest.fixture(scope="module")
 def small(spark, w):
-    """The warehouse with the fact cut to a few days, so that daily directories stay few."""
+    """The warehouse with the fact cut to a few days, so that daily directories stay few, and its aggregates made anew."""
     class Few(Warehouse):
         pass
 
     few = Few(spark, w.feeds)
     days = [dt.date(1998, 5, d) for d in range(1, 8)]
-    few.__dict__.update({k: v for k, v in w.__dict__.items() if k not in ("fact", "fact_by_month")})
+    of_fact = ("fact", "fact_by_month", "agg_customer_category_month", "agg_dq_scorecard", "customer_months")
+    few.__dict__.update({k: v for k, v in w.__dict__.items() if k not in of_fact})
     few.__dict__["fact_by_month"] = w.fact_by_month.where(F.col("posted_date").isin(days))
     few.__dict__["fact"] = few.fact_by_month.drop("posted_month")
     return few
@@ -239,11 +241,12 @@ def test_reports_run_on_the_exported_gold(spark, small, tmp_path):
 
 def test_serving_copies(spark, small, tmp_path):
     serving.publish(small, str(tmp_path / "serving"))
+    found = Path(publishing.current_path(spark, str(tmp_path / "serving")))
     for name, df in serving.tables(small).items():
-        assert spark.read.parquet(str(tmp_path / "serving" / name)).count() == df.count()
-    people = spark.read.parquet(str(tmp_path / "serving/dim_customer_current"))
+        assert spark.read.parquet(str(found / name)).count() == df.count()
+    people = spark.read.parquet(str(found / "dim_customer_current"))
     assert people.where("customer_id = 'UNKNOWN' or postcode is not null").count() == 0
-    months = list((tmp_path / "serving/fct_card_transaction_by_month").glob("posted_month=*"))
+    months = list((found / "fct_card_transaction_by_month").glob("posted_month=*"))
     assert [m.name for m in months] == ["posted_month=1998-05"]
 
 
