@@ -2,7 +2,9 @@
 
 A page is read into text blocks with the open elements around them. A small classifier turns each block's
 surroundings and text into a cost of calling it content or boilerplate: the block's capacities to the two
-terminals. Blocks that follow each other, and blocks in one container, are joined by smoothness edges whose
+terminals. Names of classes and ids are evidence and no proof: words of layout state (`no-sidebar`,
+`comments-open`, `login-page`) say nothing, and an element that holds most of the page, or mostly one article,
+or without which no paragraph is left, condemns nothing. Blocks that follow each other, and blocks in one container, are joined by smoothness edges whose
 capacity falls with the DOM distance. The minimum cut (Dinic's maximum flow) parts content from the rest.
 
 Null and empty pages have an empty text. Character references are decoded, white space inside a block
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -44,6 +46,11 @@ BAD_WORDS = frozenset(
 )
 COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond responses discussion".split())
 GOOD_WORDS = frozenset("article content main post entry story text body articlebody postbody".split())
+# A class name that begins or ends so tells how a page is laid out and not what the element is.
+STATE_FIRST = frozenset("no non not has have with without is hide hidden show js".split())
+STATE_LAST = frozenset("open closed on off enabled disabled active inactive allowed page layout true false".split())
+# What an element says of all it holds.
+COMMENTS, BOILERPLATE, NAMED_SO, CONTENT_NAMED, CONTENT_ELEMENT = -3, -2, -1, 1, 2
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -60,18 +67,38 @@ class Block:
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     path: tuple[tuple[str, int], ...] = ()
-    verdicts: tuple[int, ...] = ()
+    # The elements around with something to say, outermost first: their number and what they say.
+    verdicts: tuple[tuple[int, int], ...] = ()
     text: str = ""
 
 
+def _named(attributes: str) -> set[str]:
+    """The words of class, id and role, without names of layout state and of an article's own header."""
+    words: set[str] = set()
+    for m in _NAMED.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").split():
+            parts = [w.lower() for w in _WORDS.findall(name)]
+            if len(parts) > 1 and (parts[0] in STATE_FIRST or parts[-1] in STATE_LAST):
+                continue
+            if "header" in parts and GOOD_WORDS.intersection(parts):
+                parts.remove("header")
+            words.update(parts)
+    return words
+
+
 def _verdict(name: str, attributes: str) -> int:
-    """What an element says of all it holds: 2 reader comments, -1 boilerplate, 1 content, 0 nothing."""
-    words = {w.lower() for m in _NAMED.finditer(attributes) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")}
+    if name in {"html", "body"}:
+        return 0
+    words = _named(attributes)
     if words & COMMENT_WORDS:
-        return 2
-    if name in NOT_CONTENT or words & BAD_WORDS:
-        return -1
-    return 1 if name in CONTENT or words & GOOD_WORDS else 0
+        return COMMENTS
+    if name in NOT_CONTENT:
+        return NAMED_SO if name == "form" else BOILERPLATE
+    if words & BAD_WORDS:
+        return 0 if name in CONTENT else NAMED_SO
+    if name in CONTENT:
+        return CONTENT_ELEMENT
+    return CONTENT_NAMED if words & GOOD_WORDS else 0
 
 
 def _raw_end(page: str, name: str, at: int) -> int:
@@ -127,7 +154,7 @@ def read_blocks(page: str) -> list[Block]:
             current.text = text
             around = [s for s in stack if s[0] in BLOCKS]
             current.path = tuple((s[0], s[1]) for s in around)
-            current.verdicts = tuple(s[2] for s in stack)
+            current.verdicts = tuple((s[1], s[2]) for s in stack if s[2])
             blocks.append(current)
         current = Block()
 
@@ -199,27 +226,63 @@ def read_blocks(page: str) -> list[Block]:
             continue
         serial += 1
         verdict = _verdict(name, attributes)
-        if name == "header" and not any(s[2] == 1 for s in stack):
-            verdict = -1
+        if name == "header" and not any(s[2] > 0 for s in stack):
+            verdict = BOILERPLATE
         stack.append((name, serial, verdict))
         links += name == "a"
     close()
     return blocks
 
 
-def evidence(block: Block) -> float:
-    """Above zero: what it costs to call the block boilerplate; below: to call it content."""
-    if 2 in block.verdicts:
+def evidence(block: Block, unheard: frozenset[int] | set[int] = frozenset()) -> float:
+    """Above zero: what it costs to call the block boilerplate; below: to call it content.
+
+    `unheard` are elements whose names are not believed.
+    """
+    said = [verdict for element, verdict in block.verdicts if element not in unheard]
+    if COMMENTS in said:
         return -8.0
-    nearest = next((v for v in reversed(block.verdicts) if v), 0)
+    if any(verdict < 0 for verdict in said):
+        return -6.0
+    if CONTENT_ELEMENT in said:
+        return 6.0
     name = block.path[-1][0] if block.path else ""
     share = min(1.0, block.linked / len(block.text))
-    if nearest:
-        return 6.0 if nearest > 0 else -6.0
     score = min(len(block.text), 200) / 100 - 3.0 * share
     score += 0.5 if name in HEADINGS or name in {"p", "pre", "blockquote"} else 0.0
     score -= 1.0 if len(block.text) < 40 and not re.search(r"[.!?:;]", block.text) else 0.0
-    return score - 0.3
+    # An element that calls itself content is believed for all but links.
+    return score - 0.3 + (3.0 * (1 - share) if said else 0.0)
+
+
+def disbelieved(blocks: list[Block]) -> set[int]:
+    """Elements that call themselves boilerplate and cannot be: by what they hold."""
+    total = sum(len(b.text) for b in blocks)
+    held: Counter[int] = Counter()
+    articles: dict[int, Counter[int]] = {}
+    names: dict[int, int] = {}
+    for block in blocks:
+        for i, (element, verdict) in enumerate(block.verdicts):
+            held[element] += len(block.text)
+            if verdict < 0:
+                names[element] = verdict
+                inside = articles.setdefault(element, Counter())
+                if any(kind == CONTENT_ELEMENT for _, kind in block.verdicts[:i]):
+                    continue  # a box inside an article may well hold another one
+                for inner, kind in block.verdicts[i + 1 :]:
+                    if kind == CONTENT_ELEMENT:
+                        inside[inner] += len(block.text)
+    out = {
+        e for e, verdict in names.items()
+        if verdict == NAMED_SO and (2 * held[e] > total or 2 * max(articles[e].values(), default=0) >= held[e])
+    }
+    # Whole pages in what is named after comments or boilerplate: the largest name is dropped first.
+    large = sorted((e for e in names if names[e] != BOILERPLATE and 2 * held[e] > total), key=lambda e: (-held[e], e))
+    for element in large:
+        if any(evidence(b, out) > 0 for b in blocks):
+            break
+        out.add(element)
+    return out
 
 
 def _nearness(a: Block, b: Block) -> float:
@@ -296,7 +359,8 @@ def main_text(page: str) -> str:
         if last.get(container, i - 1) < i - 1:
             edges.append((last[container], i, 0.5))
         last[container] = i
-    kept = minimum_cut([evidence(b) for b in blocks], edges)
+    unheard = disbelieved(blocks)
+    kept = minimum_cut([evidence(b, unheard) for b in blocks], edges)
     return " ".join(b.text for b, keep in zip(blocks, kept, strict=True) if keep)
 
 

@@ -157,6 +157,48 @@ def test_left_out_end_tags():
     assert op2_extract.main_text(kept) == f"{one} x {two} End."
 
 
+P1 = "The council met on Tuesday to discuss the new bridge, and the debate went on until late at night."
+P2 = "Nobody could say what it will cost, but most of those present were in favour of building it soon."
+BOTH = f"<p>{P1}</p><p>{P2}</p>"
+AROUND = "<header><a href=/>Site</a></header><nav><a>Home</a> <a>News</a></nav>{}<footer>&copy; 2026 Site Ltd.</footer>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body class='no-sidebar'>{BOTH}",
+        f"<body class='page login-page'>{BOTH}",
+        f"<body class='post comments-open'><article>{BOTH}</article>",
+        f"<div class='main-content with-sidebar'>{BOTH}</div>",
+        f"<div class='wrapper has-header'>{BOTH}</div>",
+        f"<form id=aspnetForm><div>{BOTH}</div></form>",
+        f"<article class='share'>{BOTH}</article>",
+        f"<body class='single single-post postid-7 has-sidebar'><div id=page class=hfeed><div id=content class='site-content'><main id=main class='site-main'><article id=post-7 class='post type-post'>{BOTH}</article></main></div><aside id=secondary class='widget-area sidebar'><section class=widget><h2>Recent posts</h2><ul><li><a>One of the stories of last week</a></ul></section></aside></div>",
+        f"<body class='td-boxed-layout ad-enabled'><div class='td-main-content-wrap'><div class='td-post-content tagdiv-type'>{BOTH}<div class='td-a-rec ad-slot'>Advertisement: buy one of these fine watches today.</div></div></div>",
+        f"<div class='l-page l-page--with-ads'><main class='article-page'><div class='article__body'>{BOTH}</div><div class='article__share'><a>Share</a> <a>Tweet</a></div></main></div>",
+        f"<div class='sidebar-layout'><div class='social-page'><article itemprop=articleBody>{BOTH}</article></div></div>",
+        f"<div id=notice-board><div class='newsletter-archive'><article>{BOTH}</article></div></div>",
+        f"<table class=layout><tr><td class='menu'><a>Home</a><td class='text'>{BOTH}</table>",
+        f"<div class='promo-site'><div class='story'>{BOTH}</div></div>",
+        f"<main>{BOTH}<section class='related'><article><a>Bridge over the river: the story so far, in pictures and maps.</a></article></section></main>",
+        f"<article>{BOTH}</article><div id=comments class='comments-area'><ol class=comment-list>" + "<li><article class=comment><p>I was there and I can tell you that this is not at all what happened.</p></article>" * 9 + "</ol></div>",
+    ],
+)
+def test_names_of_classes_do_not_condemn_a_page(page):
+    assert op2_extract.main_text(AROUND.format(page)) == f"{P1} {P2}"
+
+
+def test_an_articles_own_header_stays():
+    page = f"<article class=post><header class='entry-header'><h1 class='entry-title'>A bridge</h1></header><div class='entry-content'>{BOTH}</div><footer class='entry-footer'>Filed under: <a>News</a></footer></article>"
+    assert op2_extract.main_text(AROUND.format(page)) == f"A bridge {P1} {P2}"
+
+
+def test_a_page_of_boilerplate_only_is_empty(spark):
+    assert op2_extract.main_text(AROUND.format("<aside>Most read: five stories of the day, which are long.</aside>")) == ""
+    empty = spark.createDataFrame([], "page_id long, url string, html string")
+    assert op2_extract.main_texts(empty).count() == 0
+
+
 def test_cut_against_all_labellings():
     rng = np.random.default_rng(1)
     for _ in range(40):
