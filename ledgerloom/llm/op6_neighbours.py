@@ -7,8 +7,10 @@ exact cosine, and widening stops when enough were verified. Arrays are built per
 block of queries meets every block of vectors, so no task holds more than two blocks.
 
 Vectors that are null, zero, or hold a null or non-finite component take no part. Vectors of unequal
-dimension are never compared. Rows that repeat an id count once (the smallest by hash). Fewer candidates
-than asked for are all returned; ties go to the smaller id. Null ids take no part.
+dimension are never compared. Rows equal in id and vector count once. Rows of one id with different vectors are
+candidates of their own, for each other too, and as queries each gets its own list under the id. Fewer
+candidates than asked for are all returned; ties go to the smaller id. Null ids take no part. Other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -39,19 +41,25 @@ SEED = 20
 
 
 def usable(vectors: DataFrame, column: str) -> DataFrame:
-    """`(vec_id, dim, v)` rows that take part, one per id."""
+    """`(row, vec_id, dim, v)` of the vectors that take part; `row` numbers the different ones."""
     v = F.col(column).cast("array<double>")
     bad = F.exists(F.col("v"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists(F.col("v"), lambda x: x != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(
         "vec_id IS NOT NULL AND v IS NOT NULL"
     )
-    one = rows.where(~bad & some).groupBy("vec_id").agg(F.min_by("v", F.xxhash64("v")).alias("v"))
-    return staged(one.select("vec_id", F.size("v").alias("dim"), "v"), "vectors")
+    different = rows.where(~bad & some).distinct()
+    numbered = different.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.size("v").alias("dim"), "v")
+    return staged(numbered, "vectors")
 
 
-def search(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """`(query row, vec_id, cosine)` of the nearest verified vectors of one block."""
+def search(
+    x: np.ndarray, ids: np.ndarray, rows: np.ndarray, q: np.ndarray, own: np.ndarray, k: int
+) -> tuple[np.ndarray, ...]:
+    """`(index of the query, index of the vector, cosine)` of the nearest verified vectors of one block.
+
+    `own` are the rows of the queries themselves.
+    """
     n, dim = x.shape
     directions = np.random.default_rng(SEED).standard_normal((dim, DIRECTIONS))
     x_norm, q_norm = np.sqrt((x * x).sum(axis=1)), np.sqrt((q * q).sum(axis=1))
@@ -83,25 +91,28 @@ def search(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: in
             near = np.flatnonzero(count >= needed)
             if len(near) >= enough:
                 break
-        near = near[ids[near] != own[i]]
+        near = near[rows[near] != own[i]]
         cosine = (x[near] @ q[i]) / (x_norm[near] * q_norm[i])
-        best = np.lexsort((ids[near], -cosine))[:k]
-        out.append((np.full(len(best), i), ids[near][best], cosine[best]))
+        best = np.lexsort((rows[near], ids[near], -cosine))[:k]
+        out.append((np.full(len(best), i), near[best], cosine[best]))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
+FOUND = "query_row long, query_id long, row long, vec_id long, score double"
+
+
 def _block_search(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     def found(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        names = [field.split()[0] for field in FOUND.split(", ")]
         if not len(vectors) or not len(queries):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-                {"query_id": "int64", "vec_id": "int64", "score": "float64"}
-            )
-        own = queries["vec_id"].to_numpy()
-        row, vec_id, score = search(
-            np.stack(vectors["v"].to_numpy()).astype(float), vectors["vec_id"].to_numpy(),
+            return pd.DataFrame(np.empty((0, len(names))), columns=names).astype(dict.fromkeys(names[:-1], "int64"))
+        ids, rows = vectors["vec_id"].to_numpy(), vectors["row"].to_numpy()
+        own, asked = queries["row"].to_numpy(), queries["vec_id"].to_numpy()
+        at, near, score = search(
+            np.stack(vectors["v"].to_numpy()).astype(float), ids, rows,
             np.stack(queries["v"].to_numpy()).astype(float), own, k,
         )
-        return pd.DataFrame({"query_id": own[row], "vec_id": vec_id, "score": score})
+        return pd.DataFrame(dict(zip(names, (own[at], asked[at], rows[near], ids[near], score), strict=True)))
 
     return found
 
@@ -120,8 +131,8 @@ def nearest(vectors: DataFrame, column: str = "embedding", k: int = NEIGHBOURS,
     found = (
         placed.groupBy(*keys)
         .cogroup(queries.groupBy(*keys))
-        .applyInPandas(_block_search(k), "query_id long, vec_id long, score double")
+        .applyInPandas(_block_search(k), FOUND)
     )
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -218,6 +218,15 @@ def test_neighbour_recall_and_scores(spark):
     assert hits / (5 * len(queries)) >= 0.9
 
 
+def test_neighbours_of_one_id_with_different_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (7, [0.0, 1.0]), (7, [1.0, 0.1]), (7, [1.0, 0.1])]
+    got = op6_neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=2).collect()
+    lists = sorted((r["rank"], r["vec_id"], round(r["score"], 6)) for r in got if r["query_id"] == 0)
+    near = round(1 / np.sqrt(1.01), 6)
+    # The query (1, 0) finds 7's second vector and its own id's other one, or 7's first, both at a right angle.
+    assert lists == [(1, 7, near), (1, 7, 1.0), (2, 0, 0.0), (2, 7, round(0.1 / np.sqrt(1.01), 6))]
+
+
 def test_neighbours_of_odd_vectors(spark):
     v = lambda *x: [float(c) if c is not None else None for c in x]
     rows = [
