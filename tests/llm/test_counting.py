@@ -203,8 +203,8 @@ def test_coordinates_estimate_the_similarity():
 
 
 def plain_audit(docs, labels):
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
     first = {}
     for doc_id, text, _ in docs:
         if doc_id is not None:
