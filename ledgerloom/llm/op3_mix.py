@@ -1,14 +1,16 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Every source's documents are shuffled by a hash and sent up to three times, pass after pass. A
-document's virtual finish time is the words its source has sent by its end, divided by the source's
-target. The queues are served in the order of finish times until the total budget is spent. The targets
-add up to the budget, so it is spent at the finish time 1 in every queue; the document being served then
-is cut there.
+Every source's documents are shuffled by a hash and sent up to three times, pass after pass. A document's virtual
+finish time is the words its source has sent by its end, divided by the source's target. All documents of all
+sources are range-sorted by finish time, a running total of their words is taken over the whole order, and
+the order is cut where the total budget is spent. The one document that each queue is sending as its target
+is reached goes word by word around that place, so the cut falls inside it and a source comes within a few
+words of its target, however long its documents are.
 
 Null texts have no words, a null source is a source of its own and ordered last, rows with equal ids are
 separate rows. Equal rows may swap their places. Everything is a function of the rows: reruns agree.
-An empty table gives an empty mix. Sources without words have the target 0.
+An empty table gives an empty mix. Sources without words have the target 0. Texts of any length are counted
+whole; columns other than the document's own are passed on by `mixed_documents` and not read.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from ledgerloom.llm.prefix import running_totals
 from ledgerloom.llm.shared import staged, text_or_empty
 
 MAX_PASSES = 3
+# So many words behind a target are sent one by one.
+SINGLE_WORDS = 64
 WEIGHTS = 3
 _WORD = r"[^\x20\x09-\x0D]+"
 _SAME_ROW = ("doc_id", "text", "lang", "source", "n_chars")
@@ -73,12 +77,12 @@ def with_targets(sources: DataFrame, max_passes: int = MAX_PASSES) -> DataFrame:
 
 
 def queued(documents: DataFrame) -> DataFrame:
-    """Every document row with its place in its source's queue: `start` words were sent before it."""
+    """Every document row, numbered by `at`, with its place in its source's queue: `start` words go before it."""
     sizes = sized(documents)
     sources = with_targets(weighted_sources(sizes))
     order = [F.col("source").isNull(), F.col("source"), F.xxhash64("row", F.lit("mix")), F.col("row")]
     lined = running_totals(sizes, order, F.col("size"), "sent").withColumn("sent", F.col("sent") - F.col("size"))
-    lined = staged(lined, "mix-queue")
+    lined = staged(lined.withColumn("at", F.monotonically_increasing_id()), "mix-queue")
     first = lined.groupBy("source").agg(F.min("sent").alias("first"))
     both = sources.join(first, sources["source"].eqNullSafe(first["source"])).drop(first["source"])
     return (
@@ -88,42 +92,57 @@ def queued(documents: DataFrame) -> DataFrame:
     )
 
 
-def taken_words() -> Column:
-    """Words of the row that finish by the virtual time 1, over all passes."""
-    limit = F.floor("target")
-    parts = [
-        F.least(F.greatest(limit - p * F.col("source_size") - F.col("start"), F.lit(0)), F.col("size"))
-        for p in range(MAX_PASSES)
-    ]
-    return sum(parts[1:], parts[0]).cast("long")
+def packets(queue: DataFrame) -> DataFrame:
+    """`(at, row, size, pass, words, finish)` of everything that the queues have to send."""
+    one = F.explode(F.sequence(F.lit(0), F.lit(MAX_PASSES - 1))).alias("pass")
+    sent = queue.where("size > 0").select("at", "row", "size", "target", "start", "source_size", one)
+    sent = sent.withColumn("before", F.col("pass") * F.col("source_size") + F.col("start"))
+    # Where the target is reached, counted in words of this document.
+    place = F.floor("target") - F.col("before")
+    singles = F.transform(F.sequence(F.lit(0), F.lit(SINGLE_WORDS)), lambda i: place + i)
+    inside = (place >= 0) & (place < F.col("size"))
+    ends = F.when(inside, F.array_distinct(F.concat(singles, F.array("size")))).otherwise(F.array("size"))
+    sent = sent.withColumn("ends", F.filter(ends, lambda e: (e > 0) & (e <= F.col("size"))))
+    cut = F.transform(
+        "ends",
+        lambda e, i: F.struct(e.alias("end"), (e - F.when(i > 0, F.col("ends")[i - 1]).otherwise(0)).alias("words")),
+    )
+    each = sent.select("at", "row", "size", "pass", "before", "target", F.explode(cut).alias("p"))
+    finish = (F.col("before") + F.col("p.end")) / F.col("target")
+    return each.select("at", "row", "size", "pass", "p.words", finish.alias("finish"))
+
+
+def served(queue: DataFrame) -> DataFrame:
+    """The packets with the words `taken` of each before the budget is spent."""
+    budget = queue.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("budget")).scalar()
+    order = [F.col(c) for c in ("finish", "row", "at", "pass")]
+    total = running_totals(packets(queue), order, F.col("words"), "total")
+    left = budget - (F.col("total") - F.col("words"))
+    return total.withColumn("taken", F.greatest(F.least(left, F.col("words")), F.lit(0)))
 
 
 def mixture(documents: DataFrame) -> DataFrame:
     """One row per document row with its size, its source's size and target, and the words taken."""
-    return queued(documents).select("doc_id", "size", "source_size", "target", taken_words().alias("taken"))
+    queue = queued(documents)
+    taken = served(queue).groupBy("at").agg(F.sum("taken").alias("taken"))
+    found = queue.join(taken, "at", "left")
+    return found.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
-    """The mix as whole documents in serving order: a pass is in if its middle finishes by time 1."""
-    middle = F.col("start") + F.col("size") / 2
-    passes = F.filter(
-        F.array(*[F.lit(p) for p in range(MAX_PASSES)]),
-        lambda p: (F.col("target") > 0) & (p * F.col("source_size") + middle <= F.col("target")),
+    """The mix as whole documents in serving order: a pass is in if at least half of its words are taken."""
+    whole = served(queued(documents)).groupBy("at", "row", "size", "pass").agg(
+        F.sum("taken").alias("taken"), F.max("finish").alias("finish")
     )
-    served = (
-        queued(documents)
-        .select("row", F.explode(passes).alias("pass"), "start", "size", "source_size", "target")
-        .select(
-            "row",
-            ((F.col("pass") * F.col("source_size") + F.col("start") + F.col("size")) / F.col("target")).alias("finish"),
-        )
+    chosen = (
+        whole.where("2 * taken >= size")
         .groupBy(F.col("row").alias("_mix_served"))
         .agg(F.collect_list("finish").alias("_mix_finishes"))
     )
     keyed = documents.withColumn("_mix_row", row_hash(documents))
     return (
         # Equal rows are one row here: the finishes already hold the passes of each of them.
-        keyed.join(served, F.col("_mix_row") == F.col("_mix_served"))
+        keyed.join(chosen, F.col("_mix_row") == F.col("_mix_served"))
         .dropDuplicates(["_mix_row"])
         .withColumn("_mix_finish", F.explode("_mix_finishes"))
         .repartitionByRange("_mix_finish", "_mix_row")

@@ -56,6 +56,24 @@ def test_mix_of_real_documents(small):
     assert sorted(map(tuple, first)) == sorted(map(tuple, op3_mix.mixture(small.repartition(5)).collect()))
 
 
+def test_documents_are_served_in_the_order_of_finish_times(small):
+    """A plain queue that serves single words by finish time until the budget is spent."""
+    queue = op3_mix.queued(small).collect()
+    single = []
+    for r in queue:
+        for p in range(3):
+            sent = p * r["source_size"] + r["start"]
+            single += [((sent + k + 1) / r["target"], r["row"], r["at"], p) for k in range(r["size"])]
+    taken = defaultdict(int)
+    for _, _, at, _ in sorted(single)[: sum(r["size"] for r in queue)]:
+        taken[at] += 1
+    ours = sorted((r["doc_id"], r["taken"]) for r in op3_mix.mixture(small).collect())
+    assert sum(t for _, t in ours) == sum(r["size"] for r in queue)
+    plain = sorted((r["doc_id"], taken.get(r["at"], 0)) for r in queue)
+    # Words of equal finish times may be exchanged at the cut.
+    assert sum(abs(a - b) for (_, a), (_, b) in zip(ours, plain, strict=True)) <= 20
+
+
 def test_mix_shares_the_excess_of_small_sources(spark):
     docs = [(i, "w " * n, s) for i, (s, n) in enumerate([("a", 900), ("b", 5), ("c", 7), ("c", 7), ("é", 40), (None, 11)])]
     checked_mix(spark.createDataFrame(docs, "doc_id long, text string, source string"))
