@@ -12,8 +12,9 @@ Equal sets are one node. Nodes that share a band are not all compared with each
  - the pairs of a band that are still unconnected after that are checked one by one, so no link is lost.
 Before sets are fetched, a pair must be near enough in size for the bound, and, where both have been checked
 against one centre, near enough in their distances to it (Jaccard distance is a metric; both tests are
-exact). Its signatures, kept as four bits a coordinate, must agree in `LEAST_AGREEING` places, five standard
-deviations below what the bound makes expected (3e-7 of the pairs at the bound). Links are then confirmed on the whole sets, in whole numbers.
+exact). Its signatures, kept as four bits a coordinate, must agree in as many places as five standard deviations
+below what the bound makes expected (missed: 3e-7 of the pairs at the bound); for the pairs of the last step
+the signature is four times as long. Links are then confirmed on the whole sets, in whole numbers.
 
 A text with fewer words than a shingle has its whole sequence as its one shingle; null, empty and blank
 texts have the empty set and are linked with nothing, not even with each other. Repeated rows and rows of
@@ -24,6 +25,7 @@ columns other than `doc_id` and `text` are ignored. An empty table gives no rows
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +41,9 @@ from ledgerloom.llm.shared import staged, text_or_empty
 PART, WHOLE = 80, 100
 BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
-# At similarity J four kept bits agree with probability J + (1 - J) / 16: 104 of 128 at the bound, spread 4.4.
-LEAST_AGREEING = 82
+LONG_COORDINATES = 4 * COORDINATES
+# Standard deviations that the agreement of a similar pair may fall short of what is expected.
+SHORTFALL = 5
 STAR_ROUNDS = 2
 _CHUNK = 1 << 16
 _SLICE_ROWS = 512
@@ -99,9 +102,9 @@ def _folded(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> _U64(32))).astype(_U32)
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
+def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray:
     """The coordinates of non-empty sets, one row a set."""
-    out = np.full((len(sets), COORDINATES), 0xFFFFFFFF, dtype=_U32)
+    out = np.full((len(sets), coordinates), 0xFFFFFFFF, dtype=_U32)
     first = 0
     while first < len(sets):
         # As many sets as fit into the processor's cache; a larger set goes alone, piece by piece.
@@ -113,7 +116,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
         placed = _scramble(_folded(np.concatenate(sets[first:last])), SCATTER)
         for at in range(0, total, _CHUNK) if last == first + 1 else [0]:
             piece = placed[at : at + _CHUNK] if last == first + 1 else placed
-            for k in range(COORDINATES):
+            for k in range(coordinates):
                 least = np.minimum.reduceat(_scramble(piece + _U32(k), ORDER), starts)
                 np.minimum(out[first:last, k], least, out=out[first:last, k])
         first = last
@@ -130,6 +133,12 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def four_bits(signature: np.ndarray) -> np.ndarray:
+    """The last four bits of every coordinate, sixteen coordinates to a number."""
+    low = (signature & _U32(15)).astype(np.uint8)
+    return np.ascontiguousarray(low[:, ::2] << 4 | low[:, 1::2]).view(np.int64).reshape(len(signature), -1)
+
+
 def _digest(hashes: np.ndarray) -> tuple[int, int]:
     d = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), dtype=np.int64)
     return int(d[0]), int(d[1])
@@ -150,8 +159,7 @@ def sketched(documents: DataFrame, width: int) -> DataFrame:
             some = [i for i, s in enumerate(sets) if len(s)]
             signed = signatures([sets[i] for i in some])
             keys = band_keys(signed)
-            low = (signed & _U32(15)).astype(np.uint8)
-            bits = np.ascontiguousarray(low[:, ::2] << 4 | low[:, 1::2]).view(np.int64).reshape(len(some), -1)
+            bits = four_bits(signed)
             digests = [_digest(s) if len(s) else (None, None) for s in sets]
             out = batch[passed].copy()
             out["n_shingles"] = [len(s) for s in sets]
@@ -174,14 +182,17 @@ def similar_size(a: Column, b: Column, bound: tuple[int, int]) -> Column:
     return (a * bound[1] >= b * bound[0]) & (b * bound[1] >= a * bound[0])
 
 
-def similar_signature(a: Column, b: Column) -> Column:
+def similar_signature(a: Column, b: Column, bound: tuple[int, int], coordinates: int = COORDINATES) -> Column:
+    # At similarity J four kept bits agree with probability J + (1 - J) / 16.
+    agreeing = bound[0] / bound[1] * 15 / 16 + 1 / 16
+    least = coordinates * agreeing - SHORTFALL * math.sqrt(coordinates * agreeing * (1 - agreeing))
     differing = F.lit(0)
-    for i in range(COORDINATES // 16):
+    for i in range(coordinates // 16):
         x = a[i].bitwiseXOR(b[i])
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))  # the last bit of each four says whether any of them differs
         differing = differing + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return differing <= COORDINATES - LEAST_AGREEING
+    return differing <= coordinates - math.floor(least)
 
 
 def measured(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -199,20 +210,22 @@ def similar(shared: Column, total: Column, bound: tuple[int, int]) -> Column:
 
 
 def shingle_arrays(homes: DataFrame, keyed: DataFrame, width: int) -> DataFrame:
-    """`(set_id, doc_id, text_hash)` to `(set_id, shingles)`, reading one text of each set again."""
+    """`(set_id, doc_id, text_hash)` to `(set_id, shingles, long_bits)`, reading one text of each set again."""
 
     def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = _Words()
         for batch in _slices(batches):
-            sets = [shingle_set(t, width, seen).view(np.int64) for t in batch["text"]]
+            sets = [shingle_set(t, width, seen) for t in batch["text"]]
             seen.trim()
-            yield pd.DataFrame({"set_id": batch["set_id"].to_numpy(), "shingles": pd.Series(sets, dtype=object)})
+            bits = four_bits(signatures(sets, LONG_COORDINATES))
+            plain = {"shingles": [s.view(np.int64) for s in sets], "long_bits": list(bits)}
+            yield pd.DataFrame({"set_id": batch["set_id"].to_numpy(), **{k: pd.Series(v, dtype=object) for k, v in plain.items()}})
 
     # Copies under one id come along; their ids and hashes are the same, so they are cut before the sets are made.
     named = homes.select("set_id", F.col("doc_id").alias("home_id"), F.col("text_hash").alias("home_hash"))
     rows = keyed.join(named, (keyed["text_hash"] == named["home_hash"]) & keyed["doc_id"].eqNullSafe(named["home_id"]))
     one = rows.select("set_id", "text").dropDuplicates(["set_id"])
-    return one.mapInPandas(arrays, "set_id long, shingles array<long>")
+    return one.mapInPandas(arrays, "set_id long, shingles array<long>, long_bits array<long>")
 
 
 def _rooted(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -233,7 +246,7 @@ def _centred(open_: DataFrame, bound: tuple[int, int]) -> DataFrame:
     met = open_.join(centres, "key").where(
         (F.col("root") != F.col("c.root"))
         & similar_size(F.col("n_shingles"), F.col("c.n_shingles"), bound)
-        & similar_signature(F.col("bits"), F.col("c.bits"))
+        & similar_signature(F.col("bits"), F.col("c.bits"), bound)
     )
     best = met.groupBy("set_id").agg(F.max(F.struct("c.popular", "c.set_id")).alias("c"))
     return best.select(F.col("set_id").alias("member"), F.col("c.set_id").alias("centre"))
@@ -245,9 +258,10 @@ def _remaining(open_: DataFrame, bound: tuple[int, int]) -> DataFrame:
         "key",
         F.col("set_id").alias("v"),
         F.col("n_shingles").alias("v_n"),
-        F.col("bits").alias("v_bits"),
+        F.col("long_bits").alias("v_bits"),
         F.col("root").alias("v_root"),
         F.col("pivots").alias("v_pivots"),
+        F.col("bands").alias("v_bands"),
     )
     # Two sets within the bound differ by no more than that in their distances to any third.
     most = 1 - bound[0] / bound[1] + 1e-9
@@ -260,8 +274,10 @@ def _remaining(open_: DataFrame, bound: tuple[int, int]) -> DataFrame:
     met = open_.join(other, "key").where(
         (F.col("root") < F.col("v_root"))
         & similar_size(F.col("n_shingles"), F.col("v_n"), bound)
-        & similar_signature(F.col("bits"), F.col("v_bits"))
+        & similar_signature(F.col("long_bits"), F.col("v_bits"), bound, LONG_COORDINATES)
         & ~apart
+        # A pair that shares several bands is made in the first of them.
+        & (F.array_intersect("bands", "v_bands")[0] == F.col("key"))
     )
     return met.select(F.least("set_id", "v").alias("u"), F.greatest("set_id", "v").alias("v"))
 
@@ -318,8 +334,9 @@ def similar_sets(
         new = found.where(enough).select("u", "v")
         links = staged(new if links is None else links.unionByName(new), "similar")
         roots = connected_components(links)
-    open_ = staged(_with_pivots(_rooted(postings, roots), pivots), "open")
-    new = measured(_remaining(open_, bound).distinct(), arrays).where(enough).select("u", "v")
+    open_ = _with_pivots(_rooted(postings, roots).drop("bits"), pivots)
+    open_ = open_.join(sets.select("set_id", "bands"), "set_id").join(arrays.select("set_id", "long_bits"), "set_id")
+    new = measured(_remaining(staged(open_, "open"), bound), arrays).where(enough).select("u", "v")
     return connected_components(links.unionByName(new))
 
 
