@@ -304,6 +304,34 @@ def test_quality_on_held_out_rows(spark):
     assert sum(r["predicted"] == r["y"] for r in rows) >= 0.98 * len(rows)
 
 
+def test_scores_are_those_of_the_models(small, labels):
+    """Both classifiers' scores, recomputed text by text from the trained model alone."""
+    rows = [r["text"] or "" for r in small.orderBy("doc_id").collect()]
+    model = op7_toxicity.train(small, labels)
+    ordinary, toxic = op7_toxicity.compressor(model.ordinary), op7_toxicity.compressor(model.toxic)
+    low, high = op7_toxicity.GAIN_LOW, op7_toxicity.GAIN_HIGH
+    plain = []
+    for text in rows:
+        ws = text.lower().split()
+        cut = [" ".join(ws[i : i + 8]).encode() for i in range(0, len(ws), 8)] or [b""]
+        total = 0.0
+        for window in cut:
+            gain = len(ordinary.compress(window)) - len(toxic.compress(window))
+            total += model.evidence[min(max(gain, low), high) - low]
+        total = min(max(total, -30.0), 30.0)
+        plain.append(1 / (1 + math.exp(-(model.slope * total + model.intercept))))
+    got = [r["s"] for r in small.orderBy("doc_id").select(op7_toxicity.score(F.col("text"), model).alias("s")).collect()]
+    assert got == pytest.approx(plain, abs=1e-9)
+    other = op9_nbsvm.train(small, labels)
+    plain = []
+    for text in rows:
+        hit = [other.weights[f] for f in op9_nbsvm.features(text) if f in other.weights]
+        margin = sum(hit) / math.sqrt(len(hit) + 1) + other.bias
+        plain.append(1 / (1 + math.exp(-(other.slope * margin + other.intercept))))
+    got = [r["s"] for r in small.orderBy("doc_id").select(op9_nbsvm.score(F.col("text"), other).alias("s")).collect()]
+    assert got == pytest.approx(plain, abs=1e-9)
+
+
 def test_dual_descent_reaches_the_primal_optimum():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(60, 5))
