@@ -14,12 +14,13 @@ from ledgerloom.operators import checks, detection, rules
 from ledgerloom.operators.asof import asof_join
 from ledgerloom.operators.percentile import grouped_percentile
 from ledgerloom.plans import metrics, monitors, patterns, reports, serving, spend
-from ledgerloom.plans.publishing import PublishRefused
+from ledgerloom.plans.publishing import PublishRefused, current_path
 from ledgerloom.plans.warehouse import Warehouse
 from ledgerloom.session import new_folder
-from ledgerloom.sources import driver_delivery, driver_feeds
+from ledgerloom.sources import driver_delivery, driver_feeds, readers, sinks
 from ledgerloom.sources.contracts import customer_value_rules
 from ledgerloom.sources.driver_delivery import DailyDeliveries, Delivery, FaultyDelivery, StateDeliveries
+from ledgerloom.sources.figures import partition_figures
 from ledgerloom.sources.versions import VersionedTable
 
 try:  # the training-data operators are optional: their folder and the pipeline can be absent
@@ -174,6 +175,39 @@ def publish_audit(w: Warehouse) -> DataFrame:
     return checks.union_all(parts)
 
 
+def gold_report(w: Warehouse) -> DataFrame:
+    """What publishing all marts wrote, by file footers and file status."""
+    report = serving.export_gold(w, new_folder(w.spark, "gold"), fact_partition="posted_month")
+    return report.select("table", "rows", "partitions", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+def serving_months(w: Warehouse) -> DataFrame:
+    """The month directories of the published serving fact, which readers reach through the pointer."""
+    target = new_folder(w.spark, "serving")
+    serving.publish(w, target)
+    path = f"{current_path(w.spark, target)}/fct_card_transaction_by_month"
+    months = partition_figures(w.spark, path, "posted_month")
+    loaded = F.lit(sinks.is_loaded(w.spark, path) and not sinks.is_loaded(w.spark, f"{target}/nothing"))
+    return months.select(F.col("posted_month").cast("string").alias("posted_month"), "rows", loaded.alias("loaded"))
+
+
+def report_csv(w: Warehouse) -> DataFrame:
+    """A report written as CSV with a header, and read back."""
+    path = new_folder(w.spark, "report")
+    sinks.write_csv(reports.dq_by_dimension(w), path)
+    back = w.spark.read.csv(path, header=True)
+    return back.select(
+        "dimension", *[F.col(c).cast("long").alias(c) for c in ("rows_checked", "rows_failed")],
+        F.col("pass_rate").cast("double").alias("pass_rate"),
+    )
+
+
+def defect_ledger_written(w: Warehouse) -> DataFrame:
+    path = new_folder(w.spark, "ledger")
+    sinks.write_ledger(driver_feeds.defect_ledger(w.deduped), path)
+    return w.spark.read.parquet(path)
+
+
 _FLAGS = list(rules.FLAGS.values())
 _WATCHED = ["segment", "kyc_status", "kyc_risk_band"]
 
@@ -281,6 +315,10 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "feed_arrival": feed_arrival,
     "declared_checks": monitors.declared_checks,
     "publish_audit": publish_audit,
+    "gold_report": gold_report,
+    "serving_months": serving_months,
+    "report_csv": report_csv,
+    "defect_ledger_written": defect_ledger_written,
     "publish_gate": monitors.publish_gate,
     # business metrics
     "active_customers_30d": metrics.active_customers,
@@ -308,6 +346,7 @@ _INGEST: dict[str, Callable[[Delivery], DataFrame]] = {
     "landed_metrics": driver_delivery.landed_metrics,
     "row_conservation": driver_delivery.row_conservation,
     "contract_verdicts": driver_delivery.contract_verdicts,
+    "landed_partitions": lambda d: readers.partition_dates(d.spark, f"{d.lake}/card_transactions"),
 }
 
 _OTHER_DELIVERIES: dict[str, tuple[type, Callable[[Any], DataFrame]]] = {

@@ -1,9 +1,8 @@
 """Shared shapes of the reports: which rows count, and how they roll up.
 
-A dimension counted small when it was written is broadcast into the scan, and one aggregate follows.
-Otherwise roll-ups count per key before they look anything up: the dimension then joins one row per
-key, so a merchant or customer with a third of all rows is summed on the map side and never becomes
-a hot join key.
+Roll-ups count per key before they look anything up: the dimension then joins one row per key, so a
+merchant or customer with a third of all rows is summed on the map side and never becomes a hot join
+key. How a dimension is joined is left to Catalyst, which knows the written tables' sizes.
 """
 
 from __future__ import annotations

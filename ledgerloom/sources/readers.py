@@ -197,7 +197,7 @@ def observe_parquet(spark: SparkSession, path: str) -> frozenset[str]:
 
 
 def _newest(spark: SparkSession, base: str) -> str | None:
-    """The last file of the last day: a producer's change shows there first."""
+    """The greatest path of the greatest day."""
     last = listed(spark, base).agg(F.max(F.struct("day", "path")).alias("f")).first()["f"]
     return last["path"] if last else None
 

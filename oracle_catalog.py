@@ -872,6 +872,22 @@ QUERIES: dict[str, str] = {
                count(*) FILTER (segment NOT IN ('mass', 'student', 'affluent', 'premier', 'unknown')) FROM d_customer
         UNION ALL SELECT 'dim_customer.kyc_status accepted values',
                count(*) FILTER (kyc_status NOT IN ('verified', 'pending', 'referred', 'rejected', 'unknown')) FROM d_customer""",
+    "gold_report": """
+        SELECT "table", "rows", CASE WHEN "table" = 'fct_card_transaction' THEN (SELECT count(DISTINCT date_trunc('month', posted_date)) FROM f) END AS partitions,
+               TRUE AS has_bytes
+        FROM (SELECT 'dim_customer' AS "table", count(*) AS "rows" FROM d_customer
+              UNION ALL SELECT 'dim_account', count(*) FROM d_account UNION ALL SELECT 'dim_card', count(*) FROM d_card
+              UNION ALL SELECT 'dim_merchant', count(*) FROM d_merchant UNION ALL SELECT 'dim_txn_context', count(*) FROM d_context
+              UNION ALL SELECT 'dim_date', count(*) FROM d_date UNION ALL SELECT 'fx_rate', count(*) FROM dense_rates
+              UNION ALL SELECT 'agg_customer_category_month', count(*) FROM monthly_agg
+              UNION ALL SELECT 'agg_dq_scorecard', count(*) FROM scorecard
+              UNION ALL SELECT 'customer_document', count(*) FROM people_now
+              UNION ALL SELECT 'fct_card_transaction', count(*) FROM f)""",
+    "serving_months": """
+        SELECT strftime(posted_date, '%Y-%m') AS posted_month, count(*) AS "rows", TRUE AS loaded FROM f GROUP BY 1""",
+    "report_csv": "SELECT * FROM by_dimension",
+    "defect_ledger_written": "SELECT transaction_id, defect_code FROM planted",
+    "landed_partitions": "SELECT DISTINCT CAST(date_trunc('month', posted_date + 15) AS DATE) AS day FROM txn",
     "publish_audit": """
         SELECT attempt, attempt = 'clean' AS published, CAST(1 AS INTEGER) AS version,
                CASE WHEN attempt = 'clean' THEN ''
