@@ -269,6 +269,7 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "customer_document": _with_parameters(patterns.customer_document),
     "customer_profile": _with_parameters(patterns.customer_profile),
     "customer_12m_from_fact": _with_parameters(patterns.customer_12m_from_fact),
+    "customer_12m_clustered": _with_parameters(patterns.customer_12m_clustered),
     "customer_12m_from_agg": _with_parameters(patterns.customer_12m_from_agg),
     "aggregate_against_fact": _with_parameters(patterns.aggregate_against_fact),
     "category_month_all": patterns.category_month_all,

@@ -100,6 +100,14 @@ def customer_12m_from_fact(w: Warehouse, p: Parameters) -> DataFrame:
     return monthly.orderBy("month_key", "category")
 
 
+def customer_12m_clustered(w: Warehouse, p: Parameters) -> DataFrame:
+    """The same from the copy of the fact that is clustered by customer."""
+    recent = w.fact_by_customer.where((F.col("customer_id") == p.customer_id) & (F.col("posted_date") >= F.lit(p.from_date)))
+    rows = spend.by_month(recent.join(w.context(F.col("is_settled")), "txn_context_key"))
+    monthly = spend.named_month(spend.by_category(w, rows, [spend.MONTH]))
+    return monthly.orderBy("month_key", "category")
+
+
 def customer_12m_from_agg(w: Warehouse, p: Parameters) -> DataFrame:
     """Whole months, and spend net of what does not count towards it."""
     return (
@@ -227,7 +235,7 @@ PATTERNS: dict[str, Pattern] = {
         ),
         Pattern(
             "customer_12m_spend_by_category", "What did this customer spend, by category and month?",
-            {"lake": customer_12m_from_fact, "serving": customer_12m_from_agg},
+            {"lake": customer_12m_from_fact, "clustered": customer_12m_clustered, "serving": customer_12m_from_agg},
         ),
         Pattern(
             "category_month_spend_all_customers", "How does the whole book split by category and month?",

@@ -488,6 +488,9 @@ QUERIES: dict[str, str] = {
     "customer_12m_from_fact": """
         SELECT month_key, category, count(*) AS txn_count, CAST(sum(amount_gbp_minor) AS BIGINT) AS spend_minor
         FROM wide JOIN busy USING (customer_id) WHERE is_settled AND posted_date >= from_date GROUP BY 1, 2""",
+    "customer_12m_clustered": """
+        SELECT month_key, category, count(*) AS txn_count, CAST(sum(amount_gbp_minor) AS BIGINT) AS spend_minor
+        FROM wide JOIN busy USING (customer_id) WHERE is_settled AND posted_date >= from_date GROUP BY 1, 2""",
     "customer_12m_from_agg": """
         SELECT month_key, category, txn_count, net_spend_gbp_minor AS spend_minor
         FROM monthly_agg JOIN busy USING (customer_id) WHERE month_key >= from_month""",

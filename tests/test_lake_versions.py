@@ -283,3 +283,24 @@ def test_daily_actives_end_at_the_trailing_answer(w):
     found = days.where(F.col("posted_date") == F.lit(last)).collect()
     assert (found[0]["active_customers"] if found else 0) == one
     assert days.agg(F.max("active_customers")).first()[0] >= one
+
+
+def test_a_customer_lookup_reads_few_files(spark, w, monkeypatch):
+    from ledgerloom.plans import patterns
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep the tiny ranges apart
+    try:
+        copy = w._keep_clustered("fact_by_customer_test", w.fact, "customer_id", "posted_date", "transaction_id")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    p = patterns.pick_parameters(w)
+    spread = copy.select(F.col("_metadata.file_path").alias("f"), "customer_id").groupBy("f").agg(
+        F.min("customer_id").alias("low"), F.max("customer_id").alias("high")
+    )
+    holding = spread.where((F.col("low") <= p.customer_id) & (F.col("high") >= p.customer_id)).count()
+    assert holding <= 2 < spread.count()
+    assert "PushedFilters: [IsNotNull(customer_id), IsNotNull(posted_date), EqualTo(customer_id" in plan_text(
+        copy.where((F.col("customer_id") == p.customer_id) & (F.col("posted_date") >= F.lit(p.from_date)))
+    )
+    monkeypatch.setitem(w.__dict__, "fact_by_customer", copy)
+    assert patterns.customer_12m_clustered(w, p).collect() == patterns.customer_12m_from_fact(w, p).collect()
