@@ -7,8 +7,9 @@ probability of 5e-8, a pair above it with less.
 
 Equal sets are one node. Nodes that share a band are not all compared with each other:
  - round by round every node is checked against one centre of its bands that is not yet known to be
-   connected to it: the member that shares most bands with others, as the original of a group of copies
-   does. So a group is held together by one check a member;
+   connected to it: first the member that shares most bands with others, as the original of a group of
+   copies does, then the one that agrees with it most among other members of its bands. So a group is held
+   together by a few checks a member;
  - the pairs of a band that are still unconnected after that are checked one by one, so no link is lost.
 Before sets are fetched, a pair must be near enough in size for the bound, and, where both have been checked
 against one centre, near enough in their distances to it (Jaccard distance is a metric; both tests are
@@ -44,7 +45,7 @@ COORDINATES = BANDS * ROWS
 LONG_COORDINATES = 4 * COORDINATES
 # Standard deviations that the agreement of a similar pair may fall short of what is expected.
 SHORTFALL = 5
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
 _CHUNK = 1 << 16
 _SLICE_ROWS = 512
 _U32, _U64 = np.uint32, np.uint64
@@ -182,17 +183,22 @@ def similar_size(a: Column, b: Column, bound: tuple[int, int]) -> Column:
     return (a * bound[1] >= b * bound[0]) & (b * bound[1] >= a * bound[0])
 
 
-def similar_signature(a: Column, b: Column, bound: tuple[int, int], coordinates: int = COORDINATES) -> Column:
-    # At similarity J four kept bits agree with probability J + (1 - J) / 16.
-    agreeing = bound[0] / bound[1] * 15 / 16 + 1 / 16
-    least = coordinates * agreeing - SHORTFALL * math.sqrt(coordinates * agreeing * (1 - agreeing))
-    differing = F.lit(0)
+def differing(a: Column, b: Column, coordinates: int = COORDINATES) -> Column:
+    """In how many coordinates the kept bits differ."""
+    out = F.lit(0)
     for i in range(coordinates // 16):
         x = a[i].bitwiseXOR(b[i])
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))  # the last bit of each four says whether any of them differs
-        differing = differing + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return differing <= coordinates - math.floor(least)
+        out = out + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return out
+
+
+def most_differing(bound: tuple[int, int], coordinates: int = COORDINATES) -> int:
+    # At similarity J four kept bits agree with probability J + (1 - J) / 16.
+    agreeing = bound[0] / bound[1] * 15 / 16 + 1 / 16
+    least = coordinates * agreeing - SHORTFALL * math.sqrt(coordinates * agreeing * (1 - agreeing))
+    return coordinates - math.floor(least)
 
 
 def measured(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -239,16 +245,22 @@ def _rooted(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
     return found.join(mixed, "key", "left_semi")
 
 
-def _centred(open_: DataFrame, bound: tuple[int, int]) -> DataFrame:
-    """One pair `(member, centre)` for each set: with the most popular centre it may be connected to."""
-    member = F.struct("popular", "set_id", "n_shingles", "bits", "root")
+def _centred(open_: DataFrame, step: int, bound: tuple[int, int]) -> DataFrame:
+    """One pair `(member, centre)` for each set, with a centre of its bands it may be connected to.
+
+    First the most popular one; later, where bands have other centres each time, the one that agrees most.
+    """
+    order = F.col("popular") if step == 0 else F.xxhash64("set_id", F.lit(step))
+    member = F.struct(order.alias("order"), "set_id", "n_shingles", "bits", "root")
     centres = open_.groupBy("key").agg(F.max(member).alias("c"))
+    apart = differing(F.col("bits"), F.col("c.bits"))
     met = open_.join(centres, "key").where(
         (F.col("root") != F.col("c.root"))
         & similar_size(F.col("n_shingles"), F.col("c.n_shingles"), bound)
-        & similar_signature(F.col("bits"), F.col("c.bits"), bound)
+        & (apart <= most_differing(bound))
     )
-    best = met.groupBy("set_id").agg(F.max(F.struct("c.popular", "c.set_id")).alias("c"))
+    rank = F.col("c.order") if step == 0 else -apart
+    best = met.groupBy("set_id").agg(F.max(F.struct(rank.alias("rank"), F.col("c.set_id"))).alias("c"))
     return best.select(F.col("set_id").alias("member"), F.col("c.set_id").alias("centre"))
 
 
@@ -274,7 +286,7 @@ def _remaining(open_: DataFrame, bound: tuple[int, int]) -> DataFrame:
     met = open_.join(other, "key").where(
         (F.col("root") < F.col("v_root"))
         & similar_size(F.col("n_shingles"), F.col("v_n"), bound)
-        & similar_signature(F.col("long_bits"), F.col("v_bits"), bound, LONG_COORDINATES)
+        & (differing(F.col("long_bits"), F.col("v_bits"), LONG_COORDINATES) <= most_differing(bound, LONG_COORDINATES))
         & ~apart
         # A pair that shares several bands is made in the first of them.
         & (F.array_intersect("bands", "v_bands")[0] == F.col("key"))
@@ -323,9 +335,9 @@ def similar_sets(
     if proposed is not None:
         links = staged(measured(proposed.distinct(), arrays).where(enough).select("u", "v"), "similar")
         roots = connected_components(links)
-    for _ in range(STAR_ROUNDS):
+    for step in range(STAR_ROUNDS):
         open_ = staged(_rooted(postings, roots), "open")
-        pairs = _centred(open_, bound).select(F.col("member").alias("u"), F.col("centre").alias("v"))
+        pairs = _centred(open_, step, bound).select(F.col("member").alias("u"), F.col("centre").alias("v"))
         found = staged(measured(pairs, arrays), "measured")
         distances = found.select(
             F.col("u").alias("member"), F.col("v").alias("centre"), (1 - F.col("shared") / F.col("total")).alias("distance")
