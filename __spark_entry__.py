@@ -332,6 +332,7 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "onboarded_customers": metrics.onboarded_customers,
     "date_basis_comparison": metrics.date_basis_comparison,
     "dormancy": metrics.dormancy,
+    "dormant_accounts": metrics.dormant_accounts,
     "segment_concentration": metrics.segment_concentration,
     "online_share_by_segment": metrics.online_share_by_segment,
 }

@@ -131,8 +131,8 @@ def date_basis_comparison(w: Warehouse) -> DataFrame:
     )
 
 
-def dormancy(w: Warehouse, months: int = DORMANT_MONTHS, card_months: int = CARD_DORMANT_MONTHS) -> DataFrame:
-    """Accounts not closed, dormant by either definition, per product.
+def dormant_accounts(w: Warehouse, months: int = DORMANT_MONTHS, card_months: int = CARD_DORMANT_MONTHS) -> DataFrame:
+    """Every account that is not closed, with both definitions of dormant as fields of its own.
 
     Core banking looks for any transaction in `months`; the card team for card purchases in the
     shorter `card_months`. Both are published because neither is agreed.
@@ -148,10 +148,19 @@ def dormancy(w: Warehouse, months: int = DORMANT_MONTHS, card_months: int = CARD
     def silent(column: str, span: int) -> Column:
         return F.coalesce(F.col(column) < F.add_months("today", -span), F.lit(True))
 
-    return joined.groupBy("product_code").agg(
+    return joined.select(
+        "account_id", "product_code",
+        silent("last_any", months).alias("is_dormant_core_banking"),
+        silent("last_card", card_months).alias("is_dormant_card_activity"),
+    )
+
+
+def dormancy(w: Warehouse, months: int = DORMANT_MONTHS, card_months: int = CARD_DORMANT_MONTHS) -> DataFrame:
+    """Accounts not closed, dormant by either definition, per product."""
+    return dormant_accounts(w, months, card_months).groupBy("product_code").agg(
         F.count(F.lit(1)).alias("accounts"),
-        count_if(silent("last_any", months)).alias("dormant_core_banking"),
-        count_if(silent("last_card", card_months)).alias("dormant_card_activity"),
+        count_if(F.col("is_dormant_core_banking")).alias("dormant_core_banking"),
+        count_if(F.col("is_dormant_card_activity")).alias("dormant_card_activity"),
     )
 
 

@@ -726,6 +726,13 @@ QUERIES: dict[str, str] = {
                count(*) FILTER (coalesce(any_day < today - INTERVAL 12 MONTH, TRUE)) AS dormant_core_banking,
                count(*) FILTER (coalesce(card_day < today - INTERVAL 6 MONTH, TRUE)) AS dormant_card_activity
         FROM acct_now LEFT JOIN v USING (account_id), t WHERE status <> 'closed' GROUP BY 1""",
+    "dormant_accounts": """
+        WITH t AS (SELECT max(posted_date) AS today FROM survivors),
+             v AS (SELECT account_id, max(posted_date) AS any_day, max(posted_date) FILTER (txn_type = 'purchase') AS card_day
+                   FROM survivors GROUP BY 1)
+        SELECT account_id, product_code, coalesce(any_day < today - INTERVAL 12 MONTH, TRUE) AS is_dormant_core_banking,
+               coalesce(card_day < today - INTERVAL 6 MONTH, TRUE) AS is_dormant_card_activity
+        FROM acct_now LEFT JOIN v USING (account_id), t WHERE status <> 'closed'""",
     "segment_concentration": """
         SELECT segment, customers, customers::DOUBLE / (SELECT sum(customers) FROM per_segment)::DOUBLE AS customer_share,
                minor::DOUBLE / (SELECT sum(minor) FROM per_segment)::DOUBLE AS spend_share FROM per_segment""",
