@@ -297,3 +297,12 @@ def test_by_segment_counts_each_customer_once(w):
     total = spend.by_segment(w, rows, F.col("amount_gbp_minor")).agg(F.sum("customers")).first()[0]
     known = rows.join(spend.current_customers(w), "customer_id").select("customer_id").distinct().count()
     assert total == known
+
+
+def test_fresh_yesterday_asks_for_the_newest_day_of_the_book(w):
+    from types import SimpleNamespace
+
+    book = w.deduped.where(F.col("posted_date") < dt.date(1997, 3, 8))
+    row = entry.fresh_yesterday(SimpleNamespace(deduped=book)).first()
+    assert row["due_date"] == dt.date(1997, 3, 7)
+    assert row["arrived"]
