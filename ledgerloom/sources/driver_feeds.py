@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import ntz
 from ledgerloom.functions.text import padded_id
 from ledgerloom.operators.asof import daily
-from ledgerloom.sources.feeds import Feeds, Snapshot
+from ledgerloom.sources.feeds import GROUP, Feeds, Snapshot
 
 FIRST_SNAPSHOT = "1995-06-01 00:00:00"
 SECOND_SNAPSHOT = "1998-07-01 00:00:00"
@@ -57,31 +57,24 @@ def _posted_date() -> Column:
     return F.date_add(F.to_date("l_shipdate"), lag.cast("int"))
 
 
-def _spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core when the input is one small file of one row group.
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card transactions as staged input: lineitem with its order and part.
 
-    A scan with at least as many splits as cores, which any large input has, stays as it is.
+    `GROUP` is the order, which every copy of a transaction shares. The lines are distributed by it last and
+    while they are narrow, so that copies can be found where they lie.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Card transactions as staged input: lineitem with its order and part."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag",
-        "l_linestatus", "l_shipdate", _row_number_key().alias("k"),
+        "l_orderkey", "l_partkey", (F.col("l_suppkey") % 10).alias("supplier"), "l_linenumber",
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("minor"), "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    lines = _spread(lines, "l_orderkey", "l_linenumber")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
     )
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_type")
     k = F.col("k")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
-    )
-    supplier = F.col("l_suppkey") % 10
+    of_part = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey").repartition("l_orderkey")
+    joined = of_part.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("k", _row_number_key())
+    supplier = F.col("supplier")
     kind = (
         F.when(F.col("l_returnflag") == "R", "refund")
         .when((F.col("l_returnflag") == "N") & (supplier == 0), "atm_withdrawal")
@@ -111,7 +104,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_partkey") % 24)).alias("txn_timestamp"),
         "posted_date",
         (
-            F.round(F.col("l_extendedprice") * 100).cast("bigint")
+            F.col("minor")
             * F.when(negative, -1).otherwise(1)
             * F.when(k % 1999 == 0, 100).otherwise(1)
         ).alias("amount_minor"),
@@ -131,6 +124,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("pos_entry_mode"),
         F.when(newer, (F.col("mcc") == 4816) & (k % 5 < 3)).alias("is_recurring"),
         "feed_version",
+        F.col("l_orderkey").alias(GROUP),
     )
 
 
@@ -283,11 +277,13 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load(spark: SparkSession, sf_dir: str) -> Feeds:
     taken = {1: FIRST_SNAPSHOT, 2: SECOND_SNAPSHOT, 3: THIRD_SNAPSHOT}
+    grouped = transactions(spark, sf_dir)
     return Feeds(
-        transactions=transactions(spark, sf_dir),
+        transactions=grouped.drop(GROUP),
         customers=tuple(Snapshot(at, customers(spark, sf_dir, n)) for n, at in taken.items()),
         accounts=tuple(Snapshot(at, accounts(spark, sf_dir, n)) for n, at in taken.items()),
         cards=cards(spark, sf_dir),
         merchants=merchants(spark, sf_dir),
         fx_rates=fx_rates(spark, sf_dir),
+        grouped_transactions=grouped,
     )
