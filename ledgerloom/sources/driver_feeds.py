@@ -57,11 +57,20 @@ def _posted_date() -> Column:
     return F.date_add(F.to_date("l_shipdate"), lag.cast("int"))
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use every core when the input is one small file of one row group.
+
+    A scan with at least as many splits as cores, which any large input has, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
+def transactions(spark: SparkSession, sf_dir: str, grouped: bool = False) -> DataFrame:
     """Card transactions as staged input: lineitem with its order and part.
 
-    `GROUP` is the order, which every copy of a transaction shares. The lines are distributed by it last and
-    while they are narrow, so that copies can be found where they lie.
+    `grouped` adds `GROUP`, the order, which every copy of a transaction shares. The lines are then distributed
+    by it last and while they are narrow, so that copies can be found where they lie.
     """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", (F.col("l_suppkey") % 10).alias("supplier"), "l_linenumber",
@@ -72,7 +81,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_type")
     k = F.col("k")
-    of_part = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey").repartition("l_orderkey")
+    lines = lines if grouped else _spread(lines, "l_orderkey", "l_linenumber")
+    of_part = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
+    of_part = of_part.repartition("l_orderkey") if grouped else of_part
     joined = of_part.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("k", _row_number_key())
     supplier = F.col("supplier")
     kind = (
@@ -124,7 +135,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("pos_entry_mode"),
         F.when(newer, (F.col("mcc") == 4816) & (k % 5 < 3)).alias("is_recurring"),
         "feed_version",
-        F.col("l_orderkey").alias(GROUP),
+        *([F.col("l_orderkey").alias(GROUP)] if grouped else []),
     )
 
 
@@ -277,13 +288,12 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load(spark: SparkSession, sf_dir: str) -> Feeds:
     taken = {1: FIRST_SNAPSHOT, 2: SECOND_SNAPSHOT, 3: THIRD_SNAPSHOT}
-    grouped = transactions(spark, sf_dir)
     return Feeds(
-        transactions=grouped.drop(GROUP),
+        transactions=transactions(spark, sf_dir),
         customers=tuple(Snapshot(at, customers(spark, sf_dir, n)) for n, at in taken.items()),
         accounts=tuple(Snapshot(at, accounts(spark, sf_dir, n)) for n, at in taken.items()),
         cards=cards(spark, sf_dir),
         merchants=merchants(spark, sf_dir),
         fx_rates=fx_rates(spark, sf_dir),
-        grouped_transactions=grouped,
+        grouped_transactions=transactions(spark, sf_dir, grouped=True),
     )

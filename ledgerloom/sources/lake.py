@@ -27,6 +27,7 @@ from ledgerloom.sources.file_index import Changes, FileIndex
 from ledgerloom.sources.sinks import counted_write
 
 TRANSACTIONS = "card_transactions"
+FEW_FILES = 16  # a day, on average
 
 
 def gate(spark: SparkSession, raw: str, folder: Path, fmt: str, force: bool = False) -> list[contracts.Verdict]:
@@ -88,7 +89,10 @@ def land_transactions(spark: SparkSession, raw: str, lake: str, folder: Path, fm
     if changes.days:
         avro_schema = (Path(folder) / "card_transactions.v2.avsc").read_text() if fmt == "avro" else None
         rows = readers.read_transactions(spark, base, fmt, avro_schema, changes.files, changes.days)
-        counted_write(rows, f"{lake}/{TRANSACTIONS}", "posted_date")
+        # Files of one day each, as they were delivered: at most a few a day, there is nothing to merge.
+        landed = changes.files.where(F.col("day").isin(changes.days))
+        arranged = landed.count() <= FEW_FILES * len(changes.days)
+        counted_write(rows, f"{lake}/{TRANSACTIONS}", "posted_date", arranged)
     changes.commit()
     return changes
 

@@ -153,7 +153,8 @@ def read_transactions(
     # The metadata column has the name as in a URI.
     name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     history = history.withColumn("_file", name)
-    versions = index.select("day", "file", "feed_version")
+    # One row a file; the paths have been on the driver already.
+    versions = F.broadcast(index.select("day", "file", "feed_version"))
     tagged = history.join(
         versions, (history["posted_date"] == versions["day"]) & (history["_file"] == versions["file"]), "left"
     )

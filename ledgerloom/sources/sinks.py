@@ -9,16 +9,20 @@ from pyspark.sql import functions as F
 from ledgerloom.schemas import DEFECT_LEDGER
 
 
-def counted_write(df: DataFrame, path: str, partition_by: str | None = None) -> int:
+def counted_write(df: DataFrame, path: str, partition_by: str | None = None, arranged: bool = False) -> int:
     """Write Parquet and return the row count, observed during the write instead of recounted.
 
     `rebalance` splits a hot partition value over several files and merges small ones. Only the
     partitions that `df` holds are replaced. Rows are counted after that shuffle, in the tasks that
     write them, each of which counts once however often it ran.
+
+    `arranged`: the rows are scanned from files that each hold one partition value. A task then writes no more
+    files than it read pieces of files, so the rows stay where they are and nothing is shuffled.
     """
     seen = Observation()
-    out = df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
-    out = out.observe(seen, F.count(F.lit(1)).alias("n"))
+    if not arranged:
+        df = df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
+    out = df.observe(seen, F.count(F.lit(1)).alias("n"))
     writer = out.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return int(seen.get["n"])

@@ -269,3 +269,22 @@ def test_landing_again_replaces_only_the_delivered_days(spark, tmp_path):
     sinks.counted_write(days, str(tmp_path / "t"), "posted_date")
     sinks.counted_write(days.where("v = 2").withColumn("v", F.lit(20)), str(tmp_path / "t"), "posted_date")
     assert sorted(r["v"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 20]
+
+
+def test_arranged_days_are_written_without_a_shuffle(spark, tmp_path):
+    days = spark.range(40_000).select(
+        F.col("id").alias("v"), F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 20).cast("int")).alias("posted_date")
+    )
+    sinks.counted_write(days, str(tmp_path / "raw"), "posted_date")
+    delivered = spark.read.parquet(str(tmp_path / "raw"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("arranged", "arranged")
+    try:
+        assert sinks.counted_write(delivered, str(tmp_path / "t"), "posted_date", arranged=True) == 40_000
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for job in tracker.getJobIdsForGroup("arranged") for s in tracker.getJobInfo(job).stageIds]
+    assert len(stages) == 1
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) <= len(list((tmp_path / "raw").rglob("*.parquet")))
+    landed = spark.read.parquet(str(tmp_path / "t"))
+    assert landed.exceptAll(days).count() == 0 and landed.count() == 40_000
