@@ -193,7 +193,7 @@ def customers(spark: SparkSession, sf_dir: str, snapshot: int) -> DataFrame:
     Some join after the first, some are missing from the second and return; the third has all.
     """
     c = F.col("c_custkey")
-    people = spark.read.parquet(f"{sf_dir}/customer.parquet").where({1: c % 89 != 1, 2: c % 97 != 5}.get(snapshot, F.lit(True)))
+    people = _spread(spark.read.parquet(f"{sf_dir}/customer.parquet"), "c_custkey").where({1: c % 89 != 1, 2: c % 97 != 5}.get(snapshot, F.lit(True)))
     segment = _pick("c_mktsegment", SEGMENTS, "mass")
     if snapshot >= 2:
         segment = F.when(c % 10 == 3, "premier").otherwise(segment)
@@ -243,7 +243,7 @@ def accounts(spark: SparkSession, sf_dir: str, snapshot: int) -> DataFrame:
         product = F.when(c % 13 == 4, "PREMIER").otherwise(product)
     opened = F.date_add(F.lit("1995-01-01").cast("date"), (c % 300).cast("int"))
     shut = (c % 17 == 2) & F.lit(snapshot == 3)
-    there = spark.read.parquet(f"{sf_dir}/customer.parquet").where(c % 101 != 7 if snapshot == 2 else F.lit(True))
+    there = _spread(spark.read.parquet(f"{sf_dir}/customer.parquet"), "c_custkey").where(c % 101 != 7 if snapshot == 2 else F.lit(True))
     return there.select(
         F.concat(F.lit("ACC-"), c).alias("account_id"),
         padded_id("CUS-", c, 9).alias("customer_id"),

@@ -67,7 +67,8 @@ def land(
     came = [v.feed for v in verdicts]
     for feed, (read, path) in _flat(raw).items():
         if feed in came:
-            counted_write(read(spark, path), f"{lake}/{feed}")
+            # A scan packs small files and splits large ones, so the rows are written on where they are read.
+            counted_write(read(spark, path), f"{lake}/{feed}", arranged=True)
     days = land_transactions(spark, raw, lake, folder, fmt).days if TRANSACTIONS in came else []
     quarantine(spark, lake, came, folder)
     if taken_at:
@@ -109,7 +110,8 @@ def _in_contract_shape(spark: SparkSession, lake: str, feed: str) -> DataFrame:
     """A landed feed under the field names of its contract."""
     if feed == "customers":
         documents = feeds.scan_lake(spark, lake, feed, ["document"])
-        return documents.select(F.from_json("document", RAW_CUSTOMER).alias("c")).select("c.*")
+        # As a generator: a filter on the fields stays above it and does not parse the document again for each of them.
+        return documents.select(F.inline(F.array(F.from_json("document", RAW_CUSTOMER))))
     return feeds.scan_lake(spark, lake, feed)
 
 

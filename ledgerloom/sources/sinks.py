@@ -17,7 +17,8 @@ def counted_write(df: DataFrame, path: str, partition_by: str | None = None, arr
     write them, each of which counts once however often it ran.
 
     `arranged`: the rows are scanned from files that each hold one partition value. A task then writes no more
-    files than it read pieces of files, so the rows stay where they are and nothing is shuffled.
+    files than it read pieces of files, so the rows stay where they are and nothing is shuffled. So are rows scanned
+    from files when nothing is partitioned: a task writes one file.
     """
     seen = Observation()
     if not arranged:

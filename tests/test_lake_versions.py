@@ -254,6 +254,24 @@ def test_rows_that_break_a_rule_land_and_are_tagged(quick, tmp_path):
     assert tagged["record_key"] == "TXN-9" and sorted(tagged["broken"]) == ["channel enum", "currency required"]
 
 
+def test_documents_are_parsed_once_for_all_rules(quick, tmp_path):
+    rows = quick.createDataFrame([('{"customer_id":"CUS-000000001"}',), ("broken",), (None,)], "document string")
+    rows.write.parquet(str(tmp_path / "customers"))
+    rules, key = contracts.feed_rules(contracts.BUNDLED, "customers")
+    broken = contracts.broken_rows(lake._in_contract_shape(quick, str(tmp_path), "customers"), rules, key)
+    assert plan_text(broken).count("from_json(") == 1
+    found = sorted((r["record_key"], "customer_id required" in r["broken"]) for r in broken.collect())
+    assert found == [("", True), ("", True), ("CUS-000000001", False)]
+
+
+def test_flat_feeds_are_landed_without_a_shuffle(quick, tmp_path, monkeypatch):
+    plans, write = [], sinks.counted_write
+    monkeypatch.setattr(lake, "counted_write", lambda df, path, *a, **k: plans.append((path, k)) or write(df, path, *a, **k))
+    lake.land(quick, str(deliver(quick, tmp_path / "raw")), str(tmp_path / "lake"), fmt="parquet")
+    flat = [k for path, k in plans if not path.endswith("card_transactions")]
+    assert len(flat) == 5 and all(k == {"arranged": True} for k in flat)
+
+
 # ------------------------------------------------------------------ checks and windows
 
 
