@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.checks import union_all
 from ledgerloom.plans import monitors
 from ledgerloom.schemas import FIELDS_ADDED_IN_V2, RAW_TRANSACTIONS
-from ledgerloom.session import new_folder
+from ledgerloom.session import new_folder, write_and_reload
 from ledgerloom.sources import contracts, feeds, lake, readers, sinks, state_history
 from ledgerloom.sources.arrivals import ArrivalLedger
 from ledgerloom.sources.feeds import Feeds
@@ -260,17 +260,34 @@ class DailyDeliveries:
         self.spark = spark
         self.staged = staged
 
+    def newest_rows(self, rates: DataFrame) -> tuple[DataFrame, dt.date]:
+        """Transactions that hold the newest `DAYS` days, and the newest day.
+
+        Rates end near the newest day, so the rows from twice as long before are made and written once, and both
+        runs read them. Where they do not reach back far enough after all, the whole book is asked.
+        """
+        rows, newest = self.staged.transactions, F.max("posted_date")
+        near = rates.agg(F.max("rate_date")).first()[0]
+        if near is not None:
+            kept = rows.where(F.col("posted_date") > F.lit(near - dt.timedelta(days=2 * DAYS)))
+            kept, _ = write_and_reload(kept, new_folder(self.spark, "newest-days"))
+            last = kept.agg(newest).first()[0]
+            if last is not None and last - near >= dt.timedelta(days=-DAYS):
+                return kept, last
+        return rows, rows.agg(newest).first()[0]
+
     @cached_property
     def _runs(self) -> tuple[str, list[dt.date]]:
         raw, target = new_folder(self.spark, "daily"), new_folder(self.spark, "daily-lake")
-        last = self.staged.transactions.agg(F.max("posted_date")).first()[0]
+        rates, _ = write_and_reload(self.staged.fx_rates, new_folder(self.spark, "rates"))
+        rows, last = self.newest_rows(rates)
         place = F.datediff("posted_date", F.lit(last - dt.timedelta(days=DAYS - 1)))
-        rows = self.staged.transactions.where(place >= 0).withColumn("place", place)
+        rows = rows.where(place >= 0).withColumn("place", place)
         rows = rows.where(F.col("place") != MISSING)
         times = F.when(F.col("place") == BURST, 3).otherwise(1)
         rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), times))).drop("copy")
         rows = rows.withColumn("txn_timestamp", F.col("txn_timestamp").cast("timestamp"))
-        wire = Delivery(self.spark, self.staged)
+        wire = Delivery(self.spark, replace(self.staged, fx_rates=rates))
         runs = [last - dt.timedelta(days=10), last + dt.timedelta(days=1)]
         names = [n for n in RAW_TRANSACTIONS.names if n != "posted_date"]
         for run, (low, high) in zip(runs, ((0, DAYS - 10), (DAYS - 10, DAYS)), strict=True):

@@ -258,7 +258,7 @@ def accounts(spark: SparkSession, sf_dir: str, snapshot: int) -> DataFrame:
 
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    return _spread(spark.read.parquet(f"{sf_dir}/customer.parquet"), "c_custkey").select(
         F.concat(F.lit("CRD-"), c).alias("card_id"),
         F.concat(F.lit("ACC-"), c).alias("account_id"),
         F.when(c % 7 == 0, "credit").otherwise("debit").alias("card_type"),

@@ -13,7 +13,7 @@ from ledgerloom.plans import metrics, monitors, publishing, serving
 from ledgerloom.plans.patterns import plan_text
 from ledgerloom.plans.warehouse import GoldMarts, Warehouse
 from ledgerloom.schemas import RAW_TRANSACTIONS
-from ledgerloom.sources import contracts, feeds, figures, lake, readers, sinks
+from ledgerloom.sources import contracts, driver_delivery, feeds, figures, lake, readers, sinks
 from ledgerloom.sources.arrivals import ArrivalLedger, calendar
 from ledgerloom.sources.file_index import FileIndex
 from ledgerloom.sources.state_history import OutOfOrder, StateHistory
@@ -264,6 +264,20 @@ def test_documents_are_parsed_once_for_all_rules(quick, tmp_path):
     assert found == [("", True), ("", True), ("CUS-000000001", False)]
 
 
+def test_newest_days_are_made_once(w):
+    daily = driver_delivery.DailyDeliveries(w.spark, w.feeds)
+    newest = w.feeds.transactions.agg(F.max("posted_date")).first()[0]
+    days = F.datediff(F.lit(newest), "posted_date") < driver_delivery.DAYS
+    expected = w.feeds.transactions.where(days).count()
+    rates = w.feeds.fx_rates
+    rows, last = daily.newest_rows(rates)
+    assert last == newest and rows.where(days).count() == expected and "Join" not in plan_text(rows)
+    # Rates that go on long after the newest day: the written rows do not hold all of the newest days.
+    for ahead in (driver_delivery.DAYS + 40, 10 * driver_delivery.DAYS):
+        rows, last = daily.newest_rows(rates.withColumn("rate_date", F.date_add("rate_date", ahead)))
+        assert last == newest and rows.where(days).count() == expected
+
+
 def test_flat_feeds_are_landed_without_a_shuffle(quick, tmp_path, monkeypatch):
     plans, write = [], sinks.counted_write
     monkeypatch.setattr(lake, "counted_write", lambda df, path, *a, **k: plans.append((path, k)) or write(df, path, *a, **k))
