@@ -15,7 +15,8 @@ Before sets are fetched, a pair must be near enough in size for the bound, and,
 against one centre, near enough in their distances to it (Jaccard distance is a metric; both tests are
 exact). Its signatures, kept as four bits a coordinate, must agree in as many places as five standard deviations
 below what the bound makes expected (missed: 3e-7 of the pairs at the bound); for the pairs of the last step
-the signature is four times as long. Links are then confirmed on the whole sets, in whole numbers.
+the signature is four times as long, and sets of at most `FOLDED_SHINGLES` must share enough of their shingles folded
+to 16 bits, which never understates what two sets share. Links are then confirmed on the whole sets, in whole numbers.
 
 A text with fewer words than a shingle has its whole sequence as its one shingle; null, empty and blank
 texts have the empty set and are linked with nothing, not even with each other. Repeated rows and rows of
@@ -46,6 +47,8 @@ LONG_COORDINATES = 4 * COORDINATES
 # Standard deviations that the agreement of a similar pair may fall short of what is expected.
 SHORTFALL = 5
 STAR_ROUNDS = 3
+# Sets of more shingles than this are not folded: their pairs go by the signature.
+FOLDED_SHINGLES = 512
 _CHUNK = 1 << 16
 _SLICE_ROWS = 512
 _U32, _U64 = np.uint32, np.uint64
@@ -140,6 +143,17 @@ def four_bits(signature: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(low[:, ::2] << 4 | low[:, 1::2]).view(np.int64).reshape(len(signature), -1)
 
 
+def folded_shingles(hashes: np.ndarray) -> np.ndarray | None:
+    """The distinct last 16 bits of the shingles of a small set."""
+    return np.unique((hashes & _U64(0xFFFF)).astype(np.uint16)).view(np.int16) if len(hashes) <= FOLDED_SHINGLES else None
+
+
+def most_shared(n: Column, folded: Column, other_n: Column, other: Column) -> Column:
+    """At least as many shingles as two folded sets share: what folding merged in one of them is added."""
+    merged = F.least(n - F.size(folded), other_n - F.size(other))
+    return F.size(F.array_intersect(folded, other)).cast("long") + merged
+
+
 def _digest(hashes: np.ndarray) -> tuple[int, int]:
     d = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), dtype=np.int64)
     return int(d[0]), int(d[1])
@@ -216,7 +230,7 @@ def similar(shared: Column, total: Column, bound: tuple[int, int]) -> Column:
 
 
 def shingle_arrays(homes: DataFrame, keyed: DataFrame, width: int) -> DataFrame:
-    """`(set_id, doc_id, text_hash)` to `(set_id, shingles, long_bits)`, reading one text of each set again."""
+    """`(set_id, doc_id, text_hash)` to `(set_id, shingles, long_bits, folded)`, reading one text of each set again."""
 
     def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = _Words()
@@ -225,13 +239,14 @@ def shingle_arrays(homes: DataFrame, keyed: DataFrame, width: int) -> DataFrame:
             seen.trim()
             bits = four_bits(signatures(sets, LONG_COORDINATES))
             plain = {"shingles": [s.view(np.int64) for s in sets], "long_bits": list(bits)}
+            plain["folded"] = [folded_shingles(s) for s in sets]
             yield pd.DataFrame({"set_id": batch["set_id"].to_numpy(), **{k: pd.Series(v, dtype=object) for k, v in plain.items()}})
 
     # Copies under one id come along; their ids and hashes are the same, so they are cut before the sets are made.
     named = homes.select("set_id", F.col("doc_id").alias("home_id"), F.col("text_hash").alias("home_hash"))
     rows = keyed.join(named, (keyed["text_hash"] == named["home_hash"]) & keyed["doc_id"].eqNullSafe(named["home_id"]))
     one = rows.select("set_id", "text").dropDuplicates(["set_id"])
-    return one.mapInPandas(arrays, "set_id long, shingles array<long>, long_bits array<long>")
+    return one.mapInPandas(arrays, "set_id long, shingles array<long>, long_bits array<long>, folded array<smallint>")
 
 
 def _rooted(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -271,6 +286,7 @@ def _remaining(open_: DataFrame, bound: tuple[int, int]) -> DataFrame:
         F.col("set_id").alias("v"),
         F.col("n_shingles").alias("v_n"),
         F.col("long_bits").alias("v_bits"),
+        F.col("folded").alias("v_folded"),
         F.col("root").alias("v_root"),
         F.col("pivots").alias("v_pivots"),
         F.col("bands").alias("v_bands"),
@@ -283,11 +299,15 @@ def _remaining(open_: DataFrame, bound: tuple[int, int]) -> DataFrame:
             "v_pivots", lambda q: (p["centre"] == q["centre"]) & (F.abs(p["distance"] - q["distance"]) > most)
         ),
     )
+    n, v_n = F.col("n_shingles"), F.col("v_n")
+    shared = most_shared(n, F.col("folded"), v_n, F.col("v_folded"))
+    enough = F.coalesce(similar(shared, n + v_n - shared, bound), F.lit(True))  # unknown where a set is not folded
     met = open_.join(other, "key").where(
         (F.col("root") < F.col("v_root"))
-        & similar_size(F.col("n_shingles"), F.col("v_n"), bound)
+        & similar_size(n, v_n, bound)
         & (differing(F.col("long_bits"), F.col("v_bits"), LONG_COORDINATES) <= most_differing(bound, LONG_COORDINATES))
         & ~apart
+        & enough
         # A pair that shares several bands is made in the first of them.
         & (F.array_intersect("bands", "v_bands")[0] == F.col("key"))
     )
@@ -347,7 +367,7 @@ def similar_sets(
         links = staged(new if links is None else links.unionByName(new), "similar")
         roots = connected_components(links)
     open_ = _with_pivots(_rooted(postings, roots).drop("bits"), pivots)
-    open_ = open_.join(sets.select("set_id", "bands"), "set_id").join(arrays.select("set_id", "long_bits"), "set_id")
+    open_ = open_.join(sets.select("set_id", "bands"), "set_id").join(arrays.select("set_id", "long_bits", "folded"), "set_id")
     new = measured(_remaining(staged(open_, "open"), bound), arrays).where(enough).select("u", "v")
     return connected_components(links.unionByName(new))
 

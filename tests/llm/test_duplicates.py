@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerloom.llm import anchors, components, op6_neighbours, op8_simhash, op10_substrings
+from ledgerloom.llm import anchors, components, op6_neighbours, op8_simhash, op10_substrings, op12_circulant
 
 
 def plain_simhash(text):
@@ -239,3 +239,29 @@ def test_neighbours_of_odd_vectors(spark):
         (0, 1), (0, 2), (0, 8), (0, 50), (50, 8), (50, 0), (50, 1), (50, 2),
     ]
     assert op6_neighbours.nearest(table.limit(0)).count() == 0
+
+
+def test_the_last_pairs_are_only_those_that_small_sets_allow(spark):
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 2**63, 700, dtype=np.uint64)
+    # Against the first set: 0.74 and 0.77 (under the bound), 0.80 and 0.9 (links).
+    sets = [pool[:148], *(np.concatenate([pool[:k], pool[300 + 100 * i : 300 + 100 * i + extra]])
+                          for i, (k, extra) in enumerate([(126, 22), (129, 20), (132, 17), (140, 8)]))]
+    sets = [np.unique(s) for s in sets]
+    long_bits = op12_circulant.four_bits(op12_circulant.signatures(sets, op12_circulant.LONG_COORDINATES))
+    rows = [
+        (i, 7, len(s), i, long_bits[i].tolist(), op12_circulant.folded_shingles(s).tolist(), [7], []) for i, s in enumerate(sets)
+    ]
+    schema = (
+        "set_id long, key long, n_shingles long, root long, long_bits array<long>, folded array<smallint>, bands array<long>, "
+        f"pivots {op12_circulant.PIVOTS}"
+    )
+    exact = {
+        (i, j) for i in range(5) for j in range(i + 1, 5)
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))
+    }
+    found = op12_circulant._remaining(spark.createDataFrame(rows, schema), (80, 100))
+    assert {tuple(r) for r in found.collect()} == exact and (0, 4) in exact and (0, 1) not in exact
+    # Sets that are not folded go by the signature, which lets the near misses through and no link out.
+    unfolded = spark.createDataFrame([(*r[:5], None, *r[6:]) for r in rows], schema)
+    assert exact < {tuple(r) for r in op12_circulant._remaining(unfolded, (80, 100)).collect()}
