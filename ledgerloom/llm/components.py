@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.shared import staged
@@ -12,19 +12,22 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
+def _least_neighbour() -> Column:
+    """A node's neighbours are one window: two ids a row, on disk where they are many."""
+    return F.min("v").over(Window.partitionBy("u"))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest of the node and its neighbours."""
-    near = _both_ways(edges)
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return near.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    near = _both_ways(edges).withColumn("m", F.least(_least_neighbour(), "u"))
+    return near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours are tied to the smallest of them."""
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    tied = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return tied.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v")
+    """A node and its smaller neighbours are tied to the smallest of them; expects the smaller id in `v`."""
+    down = edges.withColumn("m", _least_neighbour())
+    ties = F.array(*[F.struct(F.col(c).alias("u"), F.col("m").alias("v")) for c in ("u", "v")])
+    return down.select(F.explode(ties).alias("tie")).select("tie.u", "tie.v").where("u <> v")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -40,4 +43,4 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if sign == seen or sign[0] == 0:
             return current
         seen = sign
-        current = staged(_small_star(_large_star(current).distinct()).distinct(), "links")
+        current = staged(_small_star(_large_star(current)).distinct(), "links")

@@ -6,17 +6,19 @@ sets that agree in a band are candidates. A pair at the bound of 0.8 misses all
 probability of 5e-8, a pair above it with less.
 
 Equal sets are one node. Nodes that share a band are not all compared with each other:
- - round by round every node is checked against one centre of its bands that is not yet known to be
+ - in two rounds every node is checked against one centre of its bands that is not yet known to be
    connected to it: first the member that shares most bands with others, as the original of a group of
-   copies does, then the one that agrees with it most among other members of its bands. So a group is held
-   together by a few checks a member;
- - the pairs of a band that are still unconnected after that are checked one by one, so no link is lost.
-Before sets are fetched, a pair must be near enough in size for the bound, and, where both have been checked
-against one centre, near enough in their distances to it (Jaccard distance is a metric; both tests are
-exact). Its signatures, kept as four bits a coordinate, must agree in as many places as five standard deviations
-below what the bound makes expected (missed: 3e-7 of the pairs at the bound); for the pairs of the last step
-the signature is four times as long, and sets of at most `FOLDED_SHINGLES` must share enough of their shingles folded
-to 16 bits, which never understates what two sets share. Links are then confirmed on the whole sets, in whole numbers.
+   copies does, then the one that agrees with it most among two other members of each of its bands. So a
+   group is held together by a few checks a member;
+ - the pairs of a band that are still unconnected after that are tested one by one, so no link is lost. A band
+   of more than `BLOCK` members is cut into blocks, and every two blocks meet in a task's tile of their own.
+Before sets are fetched, a pair must be near enough in size for the bound, and its signatures, kept as four bits a
+coordinate, must agree in as many places as five standard deviations below what the bound makes expected (missed:
+3e-7 of the pairs at the bound). In the last step sets of at most `FOLDED_SHINGLES` must instead share enough of
+their shingles folded to 16 bits, which never understates what two sets share; all pairs of a tile are counted by
+one product of matrices. Larger sets go by a signature four times as long and, where both have been checked against
+one centre, by their distances to it (Jaccard distance is a metric, so that test is exact). Links are then confirmed
+on the whole sets, in whole numbers.
 
 A text with fewer words than a shingle has its whole sequence as its one shingle; null, empty and blank
 texts have the empty set and are linked with nothing, not even with each other. Repeated rows and rows of
@@ -32,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,9 +49,13 @@ COORDINATES = BANDS * ROWS
 LONG_COORDINATES = 4 * COORDINATES
 # Standard deviations that the agreement of a similar pair may fall short of what is expected.
 SHORTFALL = 5
-STAR_ROUNDS = 3
+# Centres of each band by round: the most popular member, then others.
+STAR_ROUNDS = (1, 2)
 # Sets of more shingles than this are not folded: their pairs go by the signature.
-FOLDED_SHINGLES = 512
+FOLDED_SHINGLES = 4_096
+# Members of a band that meet those of another block in one tile, and columns of a tile counted at a time.
+BLOCK = 1_024
+_COLUMNS = 4_096
 _CHUNK = 1 << 16
 _SLICE_ROWS = 512
 _U32, _U64 = np.uint32, np.uint64
@@ -140,7 +147,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 def four_bits(signature: np.ndarray) -> np.ndarray:
     """The last four bits of every coordinate, sixteen coordinates to a number."""
     low = (signature & _U32(15)).astype(np.uint8)
-    return np.ascontiguousarray(low[:, ::2] << 4 | low[:, 1::2]).view(np.int64).reshape(len(signature), -1)
+    return np.ascontiguousarray(low[:, ::2] << 4 | low[:, 1::2]).view(np.int64).reshape(len(signature), signature.shape[1] // 16)
 
 
 def folded_shingles(hashes: np.ndarray) -> np.ndarray | None:
@@ -148,12 +155,6 @@ def folded_shingles(hashes: np.ndarray) -> np.ndarray | None:
     return np.unique((hashes & _U64(0xFFFF)).astype(np.uint16)).view(np.int16) if len(hashes) <= FOLDED_SHINGLES else None
 
 
-def most_shared(n: Column, folded: Column, other_n: Column, other: Column) -> Column:
-    """At least as many shingles as two folded sets share: what folding merged in one of them is added."""
-    merged = F.least(n - F.size(folded), other_n - F.size(other))
-    return F.size(F.array_intersect(folded, other)).cast("long") + merged
-
-
 def _digest(hashes: np.ndarray) -> tuple[int, int]:
     d = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), dtype=np.int64)
     return int(d[0]), int(d[1])
@@ -229,16 +230,22 @@ def similar(shared: Column, total: Column, bound: tuple[int, int]) -> Column:
     return shared * bound[1] >= total * bound[0]
 
 
-def shingle_arrays(homes: DataFrame, keyed: DataFrame, width: int) -> DataFrame:
-    """`(set_id, doc_id, text_hash)` to `(set_id, shingles, long_bits, folded)`, reading one text of each set again."""
+def shingle_arrays(homes: DataFrame, keyed: DataFrame, width: int, bound: tuple[int, int] = (PART, WHOLE)) -> DataFrame:
+    """`(set_id, doc_id, text_hash)` to `(set_id, shingles, long_bits, folded)`, reading one text of each set again.
+
+    Small sets that no set too large to be folded can be similar to have no `long_bits`.
+    """
 
     def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = _Words()
         for batch in _slices(batches):
             sets = [shingle_set(t, width, seen) for t in batch["text"]]
             seen.trim()
-            bits = four_bits(signatures(sets, LONG_COORDINATES))
-            plain = {"shingles": [s.view(np.int64) for s in sets], "long_bits": list(bits)}
+            large = [i for i, s in enumerate(sets) if len(s) * bound[1] > FOLDED_SHINGLES * bound[0]]
+            bits: list[np.ndarray | None] = [None] * len(sets)
+            for i, row in zip(large, four_bits(signatures([sets[i] for i in large], LONG_COORDINATES)), strict=True):
+                bits[i] = row
+            plain = {"shingles": [s.view(np.int64) for s in sets], "long_bits": bits}
             plain["folded"] = [folded_shingles(s) for s in sets]
             yield pd.DataFrame({"set_id": batch["set_id"].to_numpy(), **{k: pd.Series(v, dtype=object) for k, v in plain.items()}})
 
@@ -263,11 +270,11 @@ def _rooted(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
 def _centred(open_: DataFrame, step: int, bound: tuple[int, int]) -> DataFrame:
     """One pair `(member, centre)` for each set, with a centre of its bands it may be connected to.
 
-    First the most popular one; later, where bands have other centres each time, the one that agrees most.
+    First the most popular one; later, where bands have other centres, the one that agrees most.
     """
-    order = F.col("popular") if step == 0 else F.xxhash64("set_id", F.lit(step))
-    member = F.struct(order.alias("order"), "set_id", "n_shingles", "bits", "root")
-    centres = open_.groupBy("key").agg(F.max(member).alias("c"))
+    orders = [F.col("popular") if step == 0 else F.xxhash64("set_id", F.lit(i)) for i in range(STAR_ROUNDS[step])]
+    firsts = [F.max(F.struct(o.alias("order"), "set_id", "n_shingles", "bits", "root")) for o in orders]
+    centres = open_.groupBy("key").agg(F.array(*firsts).alias("c")).select("key", F.explode("c").alias("c"))
     apart = differing(F.col("bits"), F.col("c.bits"))
     met = open_.join(centres, "key").where(
         (F.col("root") != F.col("c.root"))
@@ -279,48 +286,112 @@ def _centred(open_: DataFrame, step: int, bound: tuple[int, int]) -> DataFrame:
     return best.select(F.col("set_id").alias("member"), F.col("c.set_id").alias("centre"))
 
 
-def _remaining(open_: DataFrame, bound: tuple[int, int]) -> DataFrame:
-    """Every pair of a band that is not connected yet and that the known distances leave possible."""
-    other = open_.select(
-        "key",
-        F.col("set_id").alias("v"),
-        F.col("n_shingles").alias("v_n"),
-        F.col("long_bits").alias("v_bits"),
-        F.col("folded").alias("v_folded"),
-        F.col("root").alias("v_root"),
-        F.col("pivots").alias("v_pivots"),
-        F.col("bands").alias("v_bands"),
+def _tiled(open_: DataFrame) -> DataFrame:
+    """Postings once for every tile `(key, i, j)` of two blocks, or of one with itself, that their own block is in."""
+    sized = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    own = F.pmod(F.xxhash64("set_id"), F.col("blocks"))
+    placed = open_.join(sized, "key").withColumn("block", own)
+    tiles = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+        lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")),
     )
-    # Two sets within the bound differ by no more than that in their distances to any third.
-    most = 1 - bound[0] / bound[1] + 1e-9
-    apart = F.exists(
-        "pivots",
-        lambda p: F.exists(
-            "v_pivots", lambda q: (p["centre"] == q["centre"]) & (F.abs(p["distance"] - q["distance"]) > most)
-        ),
-    )
-    n, v_n = F.col("n_shingles"), F.col("v_n")
-    shared = most_shared(n, F.col("folded"), v_n, F.col("v_folded"))
-    enough = F.coalesce(similar(shared, n + v_n - shared, bound), F.lit(True))  # unknown where a set is not folded
-    met = open_.join(other, "key").where(
-        (F.col("root") < F.col("v_root"))
-        & similar_size(n, v_n, bound)
-        & (differing(F.col("long_bits"), F.col("v_bits"), LONG_COORDINATES) <= most_differing(bound, LONG_COORDINATES))
-        & ~apart
-        & enough
-        # A pair that shares several bands is made in the first of them.
-        & (F.array_intersect("bands", "v_bands")[0] == F.col("key"))
-    )
-    return met.select(F.least("set_id", "v").alias("u"), F.greatest("set_id", "v").alias("v"))
-
-
-def _with_pivots(open_: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Adds each set's known distances to centres, at most one a round, and 0 to itself where it is one."""
-    held = pivots.groupBy(F.col("member").alias("set_id")).agg(
+    return placed.withColumn("tile", F.explode(tiles)).drop("blocks")
+
+
+def _items(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column without its nulls, and the number of values of each row."""
+    return lists.flatten().to_numpy(), lists.value_lengths().fill_null(0).to_numpy()
+
+
+def _most_shared(folded: pa.Array, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """At least as many shingles as the sets `a` share with the sets `b`: what folding merged in one of two is added."""
+    values, sizes = _items(folded)
+    values, rows = values.view(np.uint16), np.repeat(np.arange(len(sizes)), sizes)
+    often = np.bincount(values, minlength=1 << 16) > 1
+    column = np.cumsum(often) - 1
+    rows, places = rows[often[values]], column[values[often[values]]]
+    shared = np.zeros((len(a), len(b)), dtype=np.float32)
+    for at in range(0, column[-1] + 1, _COLUMNS):
+        here = (places >= at) & (places < at + _COLUMNS)
+        holds = np.zeros((len(sizes), min(_COLUMNS, column[-1] + 1 - at)), dtype=np.float32)
+        holds[rows[here], places[here] - at] = 1
+        shared += holds[a] @ holds[b].T
+    merged = n - sizes
+    return shared.astype(np.int64) + np.minimum.outer(merged[a], merged[b])
+
+
+def _agreeing(bits: np.ndarray, a: int, b: np.ndarray, most: int) -> np.ndarray:
+    x = bits[b] ^ bits[a]
+    x |= x >> _U64(1)
+    x |= x >> _U64(2)
+    return np.bitwise_count(x & _U64(0x1111111111111111)).sum(axis=1, dtype=np.int64) <= most
+
+
+def _apart(p: list[dict], q: list[dict], most: float) -> bool:
+    known = {x["centre"]: x["distance"] for x in p}
+    return any(abs(known.get(x["centre"], x["distance"]) - x["distance"]) > most for x in q)
+
+
+def _tile_pairs(members: pa.StructArray, same: bool, bound: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the members of a tile that the tests leave possible, unconnected ones only."""
+    n, root, block = (members.field(c).to_numpy() for c in ("n_shingles", "root", "block"))
+    a, b = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+    if not same and block.min() == block.max():
+        return a[:0], b[:0]
+    open_ = root[a][:, None] < root[b] if same else root[a][:, None] != root[b]
+    shared = _most_shared(members.field("folded"), n, a, b)
+    close = open_ & (shared * bound[1] >= (n[a][:, None] + n[b] - shared) * bound[0])
+    whole = members.field("folded").is_null().to_numpy(zero_copy_only=False)
+    if whole.any():
+        close &= ~(whole[a][:, None] | whole[b])
+        some = np.flatnonzero(members.field("long_bits").is_valid().to_numpy(zero_copy_only=False))
+        bits = np.zeros((len(n), LONG_COORDINATES // 16), dtype=_U64)
+        bits[some] = _items(members.field("long_bits"))[0].view(_U64).reshape(len(some), -1)
+        pivots = members.field("pivots").to_pylist()
+        most, far = most_differing(bound, LONG_COORDINATES), 1 - bound[0] / bound[1] + 1e-9
+        for i, x in enumerate(a):
+            sized = (n[b] * bound[1] >= n[x] * bound[0]) & (n[x] * bound[1] >= n[b] * bound[0])
+            todo = np.flatnonzero(open_[i] & sized & (whole[x] | whole[b]))
+            todo = todo[_agreeing(bits, x, b[todo], most)]
+            close[i, [k for k in todo if not _apart(pivots[x] or [], pivots[b[k]] or [], far)]] = True
+    i, j = np.nonzero(close)
+    return a[i], b[j]
+
+
+def _remaining(open_: DataFrame, bound: tuple[int, int], facts: DataFrame | None = None) -> DataFrame:
+    """Every pair of a band that is not connected yet and that shingles, signatures and known distances leave possible.
+
+    What is tested comes with the postings or, by `set_id`, from `facts`, which join where the tiles are known.
+    """
+    dealt = _tiled(open_)
+    if facts is not None:
+        dealt = dealt.select("set_id", "n_shingles", "root", "key", "block", "tile").join(facts, "set_id")
+    member = F.struct("set_id", "n_shingles", "root", "block", "folded", "long_bits", "pivots")
+    tiles = dealt.groupBy("key", "tile").agg(F.collect_list(member).alias("members"))
+    tiles = tiles.where(F.size("members") > 1).select((F.col("tile.i") == F.col("tile.j")).alias("same"), "members")
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, same in enumerate(batch.column("same").to_pylist()):
+                members = batch.column("members").slice(row, 1).flatten()
+                members = pa.StructArray.from_arrays(members.flatten(), names=[f.name for f in members.type])
+                ids = members.field("set_id").to_numpy()
+                i, j = _tile_pairs(members, same, bound)
+                if len(i):
+                    u, v = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    return tiles.mapInArrow(pairs, "u long, v long").distinct()
+
+
+def _pivots(sets: DataFrame, distances: DataFrame) -> DataFrame:
+    """Each set's known distances to centres, at most one a round, and 0 to itself where it is one; null for folded sets."""
+    held = distances.groupBy(F.col("member").alias("set_id")).agg(
         F.collect_list(F.struct("centre", "distance")).alias("pivots")
     )
     own = F.array(F.struct(F.col("set_id").alias("centre"), F.lit(0.0).alias("distance")))
-    return open_.join(held, "set_id", "left").withColumn("pivots", F.concat(own, F.coalesce("pivots", F.array().cast(PIVOTS))))
+    all_ = F.concat(own, F.coalesce("pivots", F.array().cast(PIVOTS)))
+    return sets.join(held, "set_id", "left").withColumn("pivots", F.when(F.col("folded").isNull(), all_))
 
 
 PIVOTS = "array<struct<centre: bigint, distance: double>>"
@@ -337,7 +408,7 @@ def similar_sets(
 
     `sets` has one row a set: `set_id`, `n_shingles`, `bands`, `bits` and its home `(doc_id, text_hash)`;
     `keyed` has the texts as `(doc_id, text_hash, text)`. Pairs `(u, v)` of set ids that are `proposed` are
-    checked before any band is looked at.
+    checked together with the first centres.
     """
     placed = sets.select("set_id", F.explode("bands").alias("key"))
     shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -349,27 +420,26 @@ def similar_sets(
     if proposed is not None:
         named = named.unionByName(proposed.select(F.explode(F.array("u", "v")).alias("set_id"))).distinct()
     near = sets.join(named, "set_id", "left_semi")
-    arrays = staged(shingle_arrays(near.select("set_id", "doc_id", "text_hash"), keyed, width), "shingles")
+    arrays = staged(shingle_arrays(near.select("set_id", "doc_id", "text_hash"), keyed, width, bound), "shingles")
     enough = similar(F.col("shared"), F.col("total"), bound)
-    links, roots, pivots = None, None, None
-    if proposed is not None:
-        links = staged(measured(proposed.distinct(), arrays).where(enough).select("u", "v"), "similar")
-        roots = connected_components(links)
-    for step in range(STAR_ROUNDS):
+    links, roots, distances = None, None, None
+    for step in range(len(STAR_ROUNDS)):
         open_ = staged(_rooted(postings, roots), "open")
         pairs = _centred(open_, step, bound).select(F.col("member").alias("u"), F.col("centre").alias("v"))
+        if step == 0 and proposed is not None:
+            pairs = pairs.unionByName(proposed).distinct()
         found = staged(measured(pairs, arrays), "measured")
-        distances = found.select(
-            F.col("u").alias("member"), F.col("v").alias("centre"), (1 - F.col("shared") / F.col("total")).alias("distance")
-        )
-        pivots = distances if pivots is None else pivots.unionByName(distances)
         new = found.where(enough).select("u", "v")
-        links = staged(new if links is None else links.unionByName(new), "similar")
+        links = new if links is None else roots.unionByName(new)
         roots = connected_components(links)
-    open_ = _with_pivots(_rooted(postings, roots).drop("bits"), pivots)
-    open_ = open_.join(sets.select("set_id", "bands"), "set_id").join(arrays.select("set_id", "long_bits", "folded"), "set_id")
-    new = measured(_remaining(staged(open_, "open"), bound), arrays).where(enough).select("u", "v")
-    return connected_components(links.unionByName(new))
+        # Folded sets need no distances.
+        known = found.where(F.col("total") > FOLDED_SHINGLES).select(
+            F.col("u").alias("member"), F.col("v").alias("centre"), (1 - F.col("shared") / F.col("total")).alias("distance")
+        )
+        distances = known if distances is None else distances.unionByName(known)
+    facts = _pivots(arrays.select("set_id", "long_bits", "folded"), distances)
+    last = _remaining(_rooted(postings.select("set_id", "key", "n_shingles"), roots), bound, facts)
+    return connected_components(roots.unionByName(measured(last, arrays).where(enough).select("u", "v")))
 
 
 def text_rows(documents: DataFrame) -> DataFrame:

@@ -265,3 +265,49 @@ def test_the_last_pairs_are_only_those_that_small_sets_allow(spark):
     # Sets that are not folded go by the signature, which lets the near misses through and no link out.
     unfolded = spark.createDataFrame([(*r[:5], None, *r[6:]) for r in rows], schema)
     assert exact < {tuple(r) for r in op12_circulant._remaining(unfolded, (80, 100)).collect()}
+
+
+def test_the_last_pairs_of_a_band_cut_into_blocks(spark, monkeypatch):
+    """Folded sets give exactly the links, in blocks or not; larger ones, by their signature, lose none."""
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 2**63, 900, dtype=np.uint64)
+    sets = []
+    for size in (90, 118, 130, 600, 800):
+        for _ in range(12):
+            own = rng.integers(0, 2**63, int(rng.integers(0, size // 6)), dtype=np.uint64)
+            sets.append(np.unique(np.concatenate([rng.permutation(base[:size])[: size - len(own)], own])))
+    long_bits = op12_circulant.four_bits(op12_circulant.signatures(sets, op12_circulant.LONG_COORDINATES))
+    schema = (
+        "set_id long, key long, n_shingles long, root long, long_bits array<long>, folded array<smallint>, bands array<long>, "
+        f"pivots {op12_circulant.PIVOTS}"
+    )
+
+    def found(largest):
+        rows = [
+            (i, key, len(s), i // 2, bits.tolist() if len(s) * 100 > largest * 80 else None,
+             op12_circulant.folded_shingles(s).tolist() if len(s) <= largest else None, [7, 8], None)
+            for i, (s, bits) in enumerate(zip(sets, long_bits, strict=True)) for key in (7, 8)
+        ]
+        return {tuple(r) for r in op12_circulant._remaining(spark.createDataFrame(rows, schema), (80, 100)).collect()}
+
+    exact = {
+        (i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if i // 2 != j // 2
+        and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))
+    }
+    assert len(exact) > 50
+    by_folding, by_signature = found(4_096), found(120)
+    assert exact <= by_folding and len(by_folding) <= 1.2 * len(exact) and exact <= by_signature
+    monkeypatch.setattr(op12_circulant, "BLOCK", 5)
+    assert found(4_096) == by_folding and found(120) == by_signature
+
+
+def test_tables_of_blank_texts_only(spark):
+    table = spark.createDataFrame([(1, " "), (2, ""), (3, None)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in op12_circulant.near_duplicates(table).collect())
+    assert got == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
+
+
+def test_a_round_of_components_shuffles_its_links_three_times(spark):
+    links = spark.range(0, 100).select((F.col("id") + 1).alias("u"), F.col("id").alias("v"))
+    plan = components._small_star(components._large_star(links)).distinct()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 3 and "Join" not in plan
