@@ -36,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components
@@ -411,8 +411,9 @@ def similar_sets(
     checked together with the first centres.
     """
     placed = sets.select("set_id", F.explode("bands").alias("key"))
-    shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = staged(placed.join(shared, "key"), "bands")
+    # Postings are shuffled once; a band is a window of two numbers a row, on disk where it is long.
+    counted = placed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    met = staged(counted.where("n > 1"), "bands")
     popular = met.groupBy("set_id").agg(F.sum("n").alias("popular"))
     facts = sets.select("set_id", "n_shingles", "bits").join(popular, "set_id")
     postings = staged(met.select("set_id", "key").join(facts, "set_id"), "postings")
